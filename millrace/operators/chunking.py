@@ -30,27 +30,47 @@ FAN_IN = 256
 
 
 class Cuts:
-    """Closing rows of one sorted run."""
+    """Closing rows of one sorted run.
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, limit: int):
-        self.a, self.b, self.limit = a, b, limit
-        self.top = np.maximum.accumulate(b) if len(b) else b
+    ``since`` is, per row, the start of the island it belongs to: no chunk reaches over two islands.
+    """
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, since: np.ndarray, limit: int):
+        self.a, self.b, self.since, self.limit = a, b, since, limit
+        self.top = np.maximum.accumulate(b)
         self.rising = bool(np.array_equal(self.top, b))
         self.close = np.searchsorted(b, a + limit) if self.rising else None
+        # One past the last row of each row's island.
+        self.island_end = np.searchsorted(since, since, side="right")
 
-    def closing_row(self, i: int) -> int:
-        """Row that closes the chunk begun at row ``i``, or the row count if none does."""
+    def next_start(self, i: int) -> int:
+        """First row after the chunk begun at row ``i``; past the row count if that chunk stays open."""
+        n, end = len(self.a), int(self.island_end[i])
         if self.rising:
-            return int(self.close[i])
-        hits = np.flatnonzero(self.b[i:] >= self.a[i] + self.limit)
-        return i + int(hits[0]) if len(hits) else len(self.b)
+            j = int(self.close[i])
+        else:
+            hits = np.flatnonzero(self.b[i:end] >= self.a[i] + self.limit)
+            j = i + int(hits[0]) if len(hits) else n
+        if j < end:
+            return j + 1
+        return end if end < n else n + 1
+
+    def next_after(self, opened: int) -> int:
+        """As ``next_start`` for a chunk that began before the run, at ``opened``."""
+        if opened < self.since[0]:
+            return 0
+        n, end = len(self.a), int(self.island_end[0])
+        j = int(np.searchsorted(self.top[:end], opened + self.limit))
+        if j < end:
+            return j + 1
+        return end if end < n else n + 1
 
     def starts(self, first: int) -> list[int]:
         """First rows of the chunks from row ``first`` on."""
-        out, n = [], len(self.a)
-        while first < n:
+        out = []
+        while first < len(self.a):
             out.append(first)
-            first = self.closing_row(first) + 1
+            first = self.next_start(first)
         return out
 
     def steps(self) -> tuple[list[int], list[int], int]:
@@ -59,24 +79,28 @@ class Cuts:
         A chunk open since ``s`` leaves the run with a chunk open since ``out[k]``, for the first ``k`` with
         ``s <= hi[k]``; above the last step it passes through still open.
         """
-        n, leaves = len(self.a), {}
-        need = int(np.searchsorted(self.top, self.a[0] + self.limit)) + 1
-        for entry in [0, *range(1, min(need, n) + 1)]:
-            path, i = [], entry
-            while i < n and i not in leaves:
+        n, leaves = len(self.a), {len(self.a): CLOSED}
+
+        def leaving(i: int) -> int:
+            path = []
+            while i not in leaves:
                 path.append(i)
-                j = self.closing_row(i)
-                if j >= n:
-                    leaves[i] = int(self.a[i])
-                    break
-                i = j + 1
-            end = leaves.get(i, CLOSED)
+                i = self.next_start(i)
+                if i > n:
+                    leaves[path[-1]] = int(self.a[path[-1]])
+                    i = path[-1]
             for p in path:
-                leaves.setdefault(p, end)
-        his = (self.top[:need] - self.limit).tolist()
-        outs = [leaves.get(j + 1, CLOSED) for j in range(len(his))]
-        hi, out = _merge_steps(his, outs)
-        return hi, out, leaves[0]
+                leaves[p] = leaves[i]
+            return leaves[i]
+
+        fresh, end = leaving(0), int(self.island_end[0])
+        need = min(int(np.searchsorted(self.top[:end], self.a[0] + self.limit)) + 1, end)
+        his = [int(self.since[0]) - 1, *(self.top[:need] - self.limit).tolist()]
+        outs = [fresh, *[leaving(j + 1) for j in range(need)]]
+        if end < n:
+            his.append(int(self.a[0]))
+            outs.append(leaving(end))
+        return *_merge_steps(his, outs), fresh
 
 
 def _merge_steps(his: list[int], outs: list[int]) -> tuple[list[int], list[int]]:
@@ -126,7 +150,7 @@ def _open_at_slices(rows: DataFrame, part: list[str], limit: int) -> DataFrame:
 
     def slice_steps(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_seq")
-        hi, out, fresh = Cuts(pdf["_a"].to_numpy(), pdf["_b"].to_numpy(), limit).steps()
+        hi, out, fresh = Cuts(*[pdf[c].to_numpy() for c in ("_a", "_b", "_since")], limit).steps()
         head = pdf[part + [SLICE]].iloc[:1].reset_index(drop=True)
         return head.assign(hi=[hi], out=[out], fresh=[fresh])
 
@@ -147,7 +171,7 @@ def _open_at_slices(rows: DataFrame, part: list[str], limit: int) -> DataFrame:
     # Only groups that reach over several slices need it: fewer than there are slices.
     wide = rows.groupBy(*part).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi")).where("_lo < _hi")
     wide = F.broadcast(wide.select(*[F.col(k).alias("_w_" + k) for k in part]))
-    narrow = rows.select(*part, SLICE, "_seq", "_a", "_b")
+    narrow = rows.select(*part, SLICE, "_seq", "_a", "_b", "_since")
     narrow = narrow.join(wide, same_keys(narrow, wide, part, "_w_"), "left_semi")
     steps = narrow.groupBy(*part, SLICE).applyInPandas(
         slice_steps, T.StructType([*keys, T.StructField(SLICE, T.LongType()), *step_fields])
@@ -169,7 +193,7 @@ def _open_at_slices(rows: DataFrame, part: list[str], limit: int) -> DataFrame:
 
 
 def greedy_chunks(rows: DataFrame, part: list[str], limit: int, members: str | None = None, split: bool = False) -> DataFrame:
-    """Chunks of rows with ``_seq`` (order), ``_a``, ``_b`` and ``_slice``.
+    """Chunks of rows with ``_seq`` (order), ``_a``, ``_b``, ``_since`` (start of the row's island) and ``_slice``.
 
     Output: group columns, ``start`` (``_a`` of the first row), ``stop`` (largest ``_b``), ``n`` (rows) and, if
     ``members`` names an id column, ``members`` (ids in order).  A chunk is one row, so its members fit in memory.
@@ -184,12 +208,10 @@ def greedy_chunks(rows: DataFrame, part: list[str], limit: int, members: str | N
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_seq")
         a, b = pdf["_a"].to_numpy(), pdf["_b"].to_numpy()
-        cuts = Cuts(a, b, limit)
+        cuts = Cuts(a, b, pdf["_since"].to_numpy(), limit)
         opened = int(pdf["_open"].iloc[0]) if split else CLOSED
-        first, bounds, starts = 0, [], []
-        if opened != CLOSED:
-            first = min(int(np.searchsorted(cuts.top, opened + limit)) + 1, len(a))
-            bounds, starts = [0], [opened]
+        first = 0 if opened == CLOSED else cuts.next_after(opened)
+        bounds, starts = ([0], [opened]) if first > 0 else ([], [])
         own = cuts.starts(first)
         bounds, starts = bounds + own, starts + [int(a[i]) for i in own]
         ends = bounds[1:] + [len(a)]
@@ -203,7 +225,7 @@ def greedy_chunks(rows: DataFrame, part: list[str], limit: int, members: str | N
             "members": [ids[i:j] if members else [] for i, j in zip(bounds, ends)],
         })
 
-    narrow = rows.select(*part, SLICE, "_seq", "_a", "_b", *([members] if members and members not in part else []))
+    narrow = rows.select(*part, SLICE, "_seq", "_a", "_b", "_since", *([members] if members and members not in part else []))
     columns = [*part, "start", "stop", "n", *(["members"] if members else [])]
     if not split:
         return narrow.groupBy(*part).applyInPandas(cut, schema).select(*columns)
@@ -234,7 +256,7 @@ def chunk(
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
     frame, split = with_slices(sized, part, order)
     rows = run_over(frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")})
-    rows = rows.withColumn("_a", F.col("_b") - F.col("_size"))
+    rows = rows.withColumn("_a", F.col("_b") - F.col("_size")).withColumn("_since", F.lit(0).cast("long"))
     chunks = _as_extents(greedy_chunks(rows, part, limit + 1 if strict else limit, members, split))
     return chunks if strict else chunks.where("total > 0")
 
@@ -245,18 +267,19 @@ def chunk_islands(
 ) -> DataFrame:
     """As ``chunk`` over the accepted rows, also closing where accepted rows are not adjacent.
 
-    Offsets count the sizes of all rows, so a chunk is a contiguous extent of the original order.
+    Offsets count the sizes of all rows, so a chunk is a contiguous extent of the original order.  Rows that are not
+    accepted have a positive size, as only an offset tells two islands apart.
     """
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
     sized = sized.withColumn("_ok", F.coalesce(accepted, F.lit(False)))
     frame, split = with_slices(sized, part, order)
-    rows = run_over(frame, part, order, split, {
-        "_seq": F.lit(1).cast("long"), "_b": F.col("_size"), "_kept": F.col("_ok").cast("long"),
-    })
-    rows = rows.where("_ok").withColumn("_a", F.col("_b") - F.col("_size"))
-    rows = rows.withColumn("_island", F.col("_seq") - F.col("_kept"))
-    chunks = greedy_chunks(rows, [*part, "_island"], limit, members, split).drop("_island")
-    return _as_extents(chunks).where("total > 0")
+    rows = run_over(
+        frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")}, previous={"_was_ok": F.col("_ok")}
+    )
+    rows = rows.withColumn("_a", F.col("_b") - F.col("_size"))
+    begins = F.when(F.col("_ok") & ~F.coalesce("_was_ok", F.lit(False)), F.col("_a"))
+    rows = run_over(rows, part, ["_seq"], split, lasts={"_since": begins}).where("_ok")
+    return _as_extents(greedy_chunks(rows, part, limit, members, split)).where("total > 0")
 
 
 def merge_ranges(
@@ -272,10 +295,11 @@ def merge_ranges(
     end = F.col(offset) + F.col(length)
     frame, split = with_slices(df, part, order)
     gaps = run_over(frame, part, order, split, previous={"_before": end})
-    far = F.when(F.col(offset) - F.col("_before") > limit // 2, 1).otherwise(0).cast("long")
-    rows = run_over(gaps, part, order, split, {"_island": far, "_seq": F.lit(1).cast("long")})
+    alone = F.col("_before").isNull() | (F.col(offset) - F.col("_before") > limit // 2)
+    begins = F.when(alone, F.col(offset).cast("long"))
+    rows = run_over(gaps, part, order, split, {"_seq": F.lit(1).cast("long")}, {"_since": begins})
     rows = rows.withColumn("_a", F.col(offset).cast("long")).withColumn("_b", end.cast("long"))
-    return _as_extents(greedy_chunks(rows, [*part, "_island"], limit, members, split).drop("_island"))
+    return _as_extents(greedy_chunks(rows, part, limit, members, split))
 
 
 def _as_extents(chunks: DataFrame) -> DataFrame:
