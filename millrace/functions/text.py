@@ -12,7 +12,7 @@ def tokens(line: Column) -> Column:
     Empty words at the start and inside are kept, those at the end are dropped; a line of blanks has no words
     and an empty line has one empty word.
     """
-    body = F.regexp_replace(line, " +$", "")
+    body = F.rtrim(line)
     return F.when((line != "") & (body == ""), F.array().cast("array<string>")).otherwise(F.split(body, " ", -1))
 
 

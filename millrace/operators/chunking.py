@@ -1,7 +1,7 @@
 """Greedy chunks of ordered rows: a chunk closes at the first row that brings it to a limit.
 
 Where a chunk ends decides where the next begins, so running sums in a window cannot express it.  Each task scans
-the sorted rows of one group with numpy.  A group too large for one task is cut into slices (``ordered.sliced``)
+the sorted rows of its groups in Arrow batches, holding the chunk that is open.  A group too large for one task is cut into slices (``ordered.sliced``)
 and stays exact: what a slice does to the chunk that is open when it starts depends only on where that chunk
 began, and as a function of that start it is a step function.  Every slice reports its steps, the steps are folded
 in two levels to find the chunk open at the start of each slice, and then all slices are cut at once.
@@ -12,9 +12,12 @@ with ``b - a0 >= limit``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,54 +33,38 @@ FAN_IN = 256
 
 
 class Cuts:
-    """Closing rows of one sorted run.
-
-    ``since`` is, per row, the start of the island it belongs to: no chunk reaches over two islands.
-    """
+    """Closing rows of one sorted run.  No chunk reaches over two islands; ``island`` numbers them in order."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, since: np.ndarray, limit: int):
-        self.a, self.b, self.since, self.limit = a, b, since, limit
-        self.top = np.maximum.accumulate(b)
-        self.rising = bool(np.array_equal(self.top, b))
-        self.close = np.searchsorted(b, a + limit) if self.rising else None
+    def __init__(self, a: np.ndarray, b: np.ndarray, island: np.ndarray, limit: int):
+        self.a, self.b, self.limit = a, b, limit
         # One past the last row of each row's island.
-        self.island_end = np.searchsorted(since, since, side="right")
+        self.end = np.searchsorted(island, island, side="right")
+        self.jump = None
+        if len(b) and (b[1:] >= b[:-1]).all():
+            close = np.searchsorted(b, a + limit)
+            past = np.where(self.end < len(a), self.end, len(a) + 1)
+            self.jump = np.where(close < self.end, close + 1, past).tolist()
 
-    def next_start(self, i: int) -> int:
-        """First row after the chunk begun at row ``i``; past the row count if that chunk stays open."""
-        n, end = len(self.a), int(self.island_end[i])
-        if self.rising:
-            j = int(self.close[i])
-        else:
-            hits = np.flatnonzero(self.b[i:end] >= self.a[i] + self.limit)
-            j = i + int(hits[0]) if len(hits) else n
-        if j < end:
-            return j + 1
-        return end if end < n else n + 1
+    def next_start(self, i: int, opened: int | None = None) -> int:
+        """First row after the chunk that holds row ``i``; past the row count if that chunk stays open.
 
-    def next_after(self, opened: int) -> int:
-        """As ``next_start`` for a chunk that began before the run, at ``opened``."""
-        if opened < self.since[0]:
-            return 0
-        n, end = len(self.a), int(self.island_end[0])
-        j = int(np.searchsorted(self.top[:end], opened + self.limit))
-        if j < end:
-            return j + 1
+        The chunk began at row ``i``, or before the run at ``opened``.
+        """
+        if opened is None and self.jump is not None:
+            return self.jump[i]
+        n, end = len(self.a), int(self.end[i])
+        start = self.a[i] if opened is None else opened
+        hits = np.flatnonzero(self.b[i:end] >= start + self.limit)
+        if len(hits):
+            return i + int(hits[0]) + 1
         return end if end < n else n + 1
 
-    def starts(self, first: int) -> list[int]:
-        """First rows of the chunks from row ``first`` on."""
-        out = []
-        while first < len(self.a):
-            out.append(first)
-            first = self.next_start(first)
-        return out
-
-    def steps(self) -> tuple[list[int], list[int], int]:
+    def steps(self, since: int) -> tuple[list[int], list[int], int]:
         """Steps ``(hi, out)`` and the result when no chunk is open.
 
         A chunk open since ``s`` leaves the run with a chunk open since ``out[k]``, for the first ``k`` with
-        ``s <= hi[k]``; above the last step it passes through still open.
+        ``s <= hi[k]``; above the last step it passes through still open.  ``since`` is where the first island
+        began: a chunk begun before it ends before the run.
         """
         n, leaves = len(self.a), {len(self.a): CLOSED}
 
@@ -93,9 +80,10 @@ class Cuts:
                 leaves[p] = leaves[i]
             return leaves[i]
 
-        fresh, end = leaving(0), int(self.island_end[0])
-        need = min(int(np.searchsorted(self.top[:end], self.a[0] + self.limit)) + 1, end)
-        his = [int(self.since[0]) - 1, *(self.top[:need] - self.limit).tolist()]
+        fresh, end = leaving(0), int(self.end[0])
+        top = np.maximum.accumulate(self.b[:end])
+        need = min(int(np.searchsorted(top, self.a[0] + self.limit)) + 1, end)
+        his = [since - 1, *(top[:need] - self.limit).tolist()]
         outs = [fresh, *[leaving(j + 1) for j in range(need)]]
         if end < n:
             his.append(int(self.a[0]))
@@ -103,6 +91,47 @@ class Cuts:
         return *_merge_steps(his, outs), fresh
 
 
+def _cut_table(rows: pa.Table, keys: list[str], limit: int, members: str | None, done: bool) -> tuple[int, pa.Table]:
+    """Chunks of sorted rows of any number of groups, and the first row of the chunk that is still open.
+
+    With ``done`` there are no more rows and the last chunk counts as well.
+    """
+    def numbers(name: str) -> np.ndarray:
+        return rows[name].to_numpy()
+
+    a, b, since, opened = numbers("_a"), numbers("_b"), numbers("_since"), numbers("_open")
+    fresh = np.zeros(len(a), dtype=bool)
+    fresh[1:] = since[1:] != since[:-1]
+    for key in keys:
+        codes = rows[key].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+        fresh[1:] |= codes[1:] != codes[:-1]
+    island = np.cumsum(fresh)
+    # Lay the islands out one after another on the axis.
+    heads = np.flatnonzero(np.append(True, fresh[1:]))
+    span = np.maximum.reduceat(b, heads) - a[heads]
+    shift = (np.cumsum(span) - span - a[heads])[island]
+    cuts = Cuts(a + shift, b + shift, island, limit)
+
+    bounds, starts, i, keep = [], [], 0, len(a)
+    while i < len(a):
+        from_before = opened[i] != CLOSED and opened[i] >= since[i]
+        bounds.append(i)
+        starts.append(int(opened[i]) if from_before else int(a[i]))
+        i = cuts.next_start(i, int(opened[i] + shift[i]) if from_before else None)
+    if i > len(a) and not done:
+        keep = bounds.pop()
+        starts.pop()
+    edges = np.array([*bounds, keep], dtype=np.int32)
+    at = pa.array(edges[:-1])
+    columns = {k: rows[k].take(at) for k in keys}
+    columns["start"] = pa.array(starts, pa.int64())
+    columns["stop"] = pa.array(b[edges[1:] - 1], pa.int64())
+    columns["n"] = pa.array(np.diff(edges), pa.int64())
+    if members:
+        columns["members"] = pa.ListArray.from_arrays(pa.array(edges), rows[members].combine_chunks().slice(0, keep))
+    return keep, pa.table(columns)
+
+
 def _merge_steps(his: list[int], outs: list[int]) -> tuple[list[int], list[int]]:
     """Drop steps that never apply and join neighbours with the same result."""
     hi: list[int] = []
@@ -150,7 +179,8 @@ def _open_at_slices(rows: DataFrame, part: list[str], limit: int) -> DataFrame:
 
     def slice_steps(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_seq")
-        hi, out, fresh = Cuts(*[pdf[c].to_numpy() for c in ("_a", "_b", "_since")], limit).steps()
+        a, b, since = (pdf[c].to_numpy() for c in ("_a", "_b", "_since"))
+        hi, out, fresh = Cuts(a, b, since, limit).steps(int(since[0]))
         head = pdf[part + [SLICE]].iloc[:1].reset_index(drop=True)
         return head.assign(hi=[hi], out=[out], fresh=[fresh])
 
@@ -192,56 +222,59 @@ def _open_at_slices(rows: DataFrame, part: list[str], limit: int) -> DataFrame:
     )
 
 
-def greedy_chunks(rows: DataFrame, part: list[str], limit: int, members: str | None = None, split: bool = False) -> DataFrame:
+def greedy_chunks(
+    rows: DataFrame, part: list[str], limit: int, members: str | None = None, split: bool = False
+) -> DataFrame:
     """Chunks of rows with ``_seq`` (order), ``_a``, ``_b``, ``_since`` (start of the row's island) and ``_slice``.
 
-    Output: group columns, ``start`` (``_a`` of the first row), ``stop`` (largest ``_b``), ``n`` (rows) and, if
-    ``members`` names an id column, ``members`` (ids in order).  A chunk is one row, so its members fit in memory.
+    The rows of a group (of a group in a slice, if ``split``) lie in one partition.  Output: group columns, ``start``
+    (``_a`` of the first row), ``stop`` (``_b`` of the last), ``n`` (rows) and, if ``members`` names an id column,
+    ``members`` (ids in order).  A chunk is one row, so its members fit in memory.
     """
-    id_type = rows.schema[members].dataType if members else T.LongType()
-    schema = T.StructType([
-        *_fields(rows, part), T.StructField(SLICE, T.LongType()), T.StructField("start", T.LongType()),
-        T.StructField("stop", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("members", T.ArrayType(id_type)),
-    ])
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_seq")
-        a, b = pdf["_a"].to_numpy(), pdf["_b"].to_numpy()
-        cuts = Cuts(a, b, pdf["_since"].to_numpy(), limit)
-        opened = int(pdf["_open"].iloc[0]) if split else CLOSED
-        first = 0 if opened == CLOSED else cuts.next_after(opened)
-        bounds, starts = ([0], [opened]) if first > 0 else ([], [])
-        own = cuts.starts(first)
-        bounds, starts = bounds + own, starts + [int(a[i]) for i in own]
-        ends = bounds[1:] + [len(a)]
-        ids = pdf[members].tolist() if members else None
-        head = {k: [pdf[k].iloc[0]] * len(bounds) for k in [*part, SLICE]}
-        return pd.DataFrame({
-            **head,
-            "start": starts,
-            "stop": [int(b[i:j].max()) for i, j in zip(bounds, ends)],
-            "n": [j - i for i, j in zip(bounds, ends)],
-            "members": [ids[i:j] if members else [] for i, j in zip(bounds, ends)],
-        })
-
-    narrow = rows.select(*part, SLICE, "_seq", "_a", "_b", "_since", *([members] if members and members not in part else []))
+    keys = [*part, SLICE] if split else part
+    fields = [*_fields(rows, keys), *[T.StructField(n, T.LongType()) for n in ("start", "stop", "n")]]
+    if members:
+        fields.append(T.StructField("members", T.ArrayType(rows.schema[members].dataType)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            fresh = pa.Table.from_batches([batch])
+            held = fresh if held is None else pa.concat_tables([held, fresh])
+            if held.num_rows:
+                keep, chunks = _cut_table(held, keys, limit, members, done=False)
+                yield from chunks.to_batches()
+                held = held.slice(keep)
+        if held is not None and held.num_rows:
+            yield from _cut_table(held, keys, limit, members, done=True)[1].to_batches()
+
+    narrow = rows.select(*keys, "_seq", "_a", "_b", "_since", *([members] if members and members not in keys else []))
+    if split:
+        opens = _open_at_slices(rows, part, limit).where(F.col("_open") != CLOSED)
+        opens = opens.select(*[F.col(k).alias("_o_" + k) for k in keys], "_open")
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy("_seq")) == 1
+        # A chunk can be open only at a slice that begins inside its group: fewer rows than slices.
+        seeded = narrow.withColumn("_first", first).join(F.broadcast(opens), same_keys(narrow, opens, keys, "_o_"), "left")
+        opened = F.when(F.col("_first"), F.col("_open"))
+        narrow = seeded.select(*narrow.columns, F.coalesce(opened, F.lit(CLOSED)).alias("_open"))
+    else:
+        narrow = narrow.withColumn("_open", F.lit(CLOSED))
+    cut_rows = narrow.sortWithinPartitions(*keys, "_seq").mapInArrow(cut, T.StructType(fields))
     columns = [*part, "start", "stop", "n", *(["members"] if members else [])]
     if not split:
-        return narrow.groupBy(*part).applyInPandas(cut, schema).select(*columns)
-
-    opens = _open_at_slices(rows, part, limit).where(F.col("_open") != CLOSED)
-    opens = opens.select(*[F.col(k).alias("_o_" + k) for k in [*part, SLICE]], "_open")
-    # A chunk can be open only at a slice that begins inside its group: fewer rows than slices.
-    seeded = narrow.join(F.broadcast(opens), same_keys(narrow, opens, [*part, SLICE], "_o_"), "left")
-    seeded = seeded.select(*narrow.columns, F.coalesce("_open", F.lit(CLOSED)).alias("_open"))
-    pieces = seeded.groupBy(*part, SLICE).applyInPandas(cut, schema)
-    whole = pieces.groupBy(*part, "start").agg(
-        F.max("stop").alias("stop"), F.sum("n").alias("n"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(SLICE, "members"))), lambda p: p["members"]))
-        .alias("members"),
+        return cut_rows.select(*columns)
+    pieces = F.array_sort(F.collect_list(F.struct(SLICE, "members"))) if members else None
+    return cut_rows.groupBy(*part, "start").agg(
+        F.max_by("stop", SLICE).alias("stop"), F.sum("n").alias("n"),
+        *([F.flatten(F.transform(pieces, lambda p: p["members"])).alias("members")] if members else []),
     )
-    return whole.select(*columns)
+
+
+def _together(df: DataFrame, part: list[str], order: list[str | Column]) -> tuple[DataFrame, bool]:
+    """``with_slices``, with the rows of a group (of a group in a slice) in one partition."""
+    frame, split = with_slices(df, part, order)
+    keys = [*part, SLICE] if split else part
+    return (frame.repartition(*keys) if keys else frame.coalesce(1)), split
 
 
 def chunk(
@@ -254,7 +287,7 @@ def chunk(
     (sum of the sizes before the chunk), ``total``, ``n`` and ``members``.
     """
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
-    frame, split = with_slices(sized, part, order)
+    frame, split = _together(sized, part, order)
     rows = run_over(frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")})
     rows = rows.withColumn("_a", F.col("_b") - F.col("_size")).withColumn("_since", F.lit(0).cast("long"))
     chunks = _as_extents(greedy_chunks(rows, part, limit + 1 if strict else limit, members, split))
@@ -272,7 +305,7 @@ def chunk_islands(
     """
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
     sized = sized.withColumn("_ok", F.coalesce(accepted, F.lit(False)))
-    frame, split = with_slices(sized, part, order)
+    frame, split = _together(sized, part, order)
     rows = run_over(
         frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")}, previous={"_was_ok": F.col("_ok")}
     )
@@ -293,7 +326,7 @@ def merge_ranges(
     """
     order = [offset, *(tie or [])]
     end = F.col(offset) + F.col(length)
-    frame, split = with_slices(df, part, order)
+    frame, split = _together(df, part, order)
     gaps = run_over(frame, part, order, split, previous={"_before": end})
     alone = F.col("_before").isNull() | (F.col(offset) - F.col("_before") > limit // 2)
     begins = F.when(alone, F.col(offset).cast("long"))
