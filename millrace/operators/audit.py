@@ -37,7 +37,7 @@ def audit_delivery(
 
     ``expected`` has group and key.  Adds to ``audit_complete`` the number of damaged copies seen.
     """
-    kept = ledger.join(small_side(accepted.select(attempt).distinct()), attempt, "left_semi")
+    kept = ledger.join(small_side(accepted.select(attempt).distinct(), computed=True), attempt, "left_semi")
     kept = kept.withColumn("_intact", F.coalesce(intact, F.lit(False)))
     damaged = kept.where(~F.col("_intact")).groupBy(group).agg(F.count(F.lit(1)).alias("damaged"))
     good = first_rows(kept.where("_intact").select(group, key, *[o for o in order if o not in (group, key)]),

@@ -66,7 +66,7 @@ def cross(inputs: list[DataFrame], names: list[str], copies: str = "n") -> DataF
 
 def keep_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """Rows whose id is in the set."""
-    return df.join(small_side(ids.select(on).distinct()), on, "left_semi")
+    return df.join(small_side(ids.select(on).distinct(), computed=True), on, "left_semi")
 
 
 def missing(expected: DataFrame, got: DataFrame, on: str) -> DataFrame:

@@ -46,9 +46,14 @@ def sliced(df: DataFrame, part: list[str], order: list[str | Column]) -> DataFra
     return persist_table(placed, "slices")
 
 
-def with_slices(df: DataFrame, part: list[str], order: list[str | Column]) -> tuple[DataFrame, bool]:
-    """``df`` with ``_slice`` (0 everywhere if no group is too large for one task), and whether it was split."""
-    if biggest_group(df, part) <= group_row_limit(df.sparkSession):
+def with_slices(
+    df: DataFrame, part: list[str], order: list[str | Column], counted: DataFrame | None = None
+) -> tuple[DataFrame, bool]:
+    """``df`` with ``_slice`` (0 everywhere if no group is too large for one task), and whether it was split.
+
+    ``counted`` is a frame that is cheaper to count and whose groups are at least as large.
+    """
+    if biggest_group(df if counted is None else counted, part) <= group_row_limit(df.sparkSession):
         return df.withColumn(SLICE, F.lit(0).cast("long")), False
     return sliced(df, part, order), True
 
@@ -171,16 +176,17 @@ def resume_page(
     group whose cursor is not among its rows, or that has none, starts at its first row.  ``wanted`` restricts the
     rows that are returned and counted, not the search for the cursor.
     """
-    placed = row_index(df, part, order, "_idx")
+    frame, split = with_slices(df, part, order)
+    placed = run_over(frame, part, order, split, {"_idx": F.lit(1).cast("long")})
     renamed = cursors.select(*[F.col(p).alias("_c_" + p) for p in part], "cursor")
     match = same_keys(placed, renamed, part, "_c_") & (placed[key] == renamed["cursor"])
     found = placed.join(renamed, match).groupBy(*part).agg(F.min("_idx").alias("_at"))
     found = found.select(*[F.col(p).alias("_f_" + p) for p in part], "_at")
     rest = placed.join(found, same_keys(placed, found, part, "_f_"), "left")
-    rest = rest.where(F.col("_idx") > F.coalesce("_at", F.lit(-1))).select(*df.columns, "_idx")
+    rest = rest.where(F.col("_idx") > F.coalesce("_at", F.lit(0))).select(*df.columns, "_idx", SLICE)
     if wanted is not None:
         rest = rest.where(wanted)
-    paged = running(rest, part, ["_idx"], sums={"_end": size})
+    paged = run_over(rest, part, ["_idx"], split, {"_end": size})
     return paged.where(F.col("_end") - size < limit).select(*df.columns)
 
 
@@ -202,9 +208,10 @@ def idle_sessions(df: DataFrame, entity: list[str], ts: str, ttl_seconds: int) -
     """Sessions of each entity: a gap of more than the TTL since its previous row starts a new one."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     moments = df.groupBy(*entity, ts).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_us", micros)
-    gaps = running(moments, entity, ["_us"], previous={"_prev": F.col("_us")})
+    frame, split = with_slices(moments, entity, ["_us"], counted=df)
+    gaps = run_over(frame, entity, ["_us"], split, previous={"_prev": F.col("_us")})
     new = F.when(F.col("_us") - F.col("_prev") > ttl_seconds * 1_000_000, 1).otherwise(0)
-    numbered = running(gaps, entity, ["_us"], sums={"session": new.cast("long")})
+    numbered = run_over(gaps, entity, ["_us"], split, {"session": new.cast("long")})
     return numbered.groupBy(*entity, "session").agg(
         F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.sum("_rows").alias("n")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import first_rows, row_index, running
-from millrace.sizing import small_side
+from millrace.sizing import biggest_group, group_row_limit, small_side
 
 
 def dedupe(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -124,10 +124,17 @@ def prefer_healthy(df: DataFrame, item: str, order: list[str], bad: Column, k: i
     """Sources of each item in two rounds: ``k`` with the healthy ones first, then ``total - k`` of the remaining ones
     in their own order.  Adds ``round``.
 
-    Only the first ``k`` by health and the first ``total`` by order can be chosen, so each map task sends no more
-    than those.
+    Only the first ``k`` by health and the first ``total`` by order can be chosen; if an item has too many sources for
+    one task, each map task sends no more than those.  The order columns identify a source of an item.
     """
     flagged = df.withColumn("_bad", F.coalesce(bad, F.lit(False)).cast("int"))
+    if biggest_group(df, [item]) <= group_row_limit(df.sparkSession):
+        w = Window.partitionBy(item)
+        ranked = flagged.withColumn("_first", F.row_number().over(w.orderBy("_bad", *order)))
+        ranked = ranked.withColumn("round", F.when(F.col("_first") <= k, 1).otherwise(2))
+        ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy(item, "round").orderBy(*order)))
+        kept = ranked.where((F.col("round") == 1) | (F.col("_rank") <= total - k))
+        return kept.drop("_bad", "_first", "_rank")
     primary = first_rows(flagged, [item], ["_bad", *order], k, "_first")
     others = first_rows(flagged, [item], order, total, "_any")
     both = primary.select(*flagged.columns, "_first").unionByName(

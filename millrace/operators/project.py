@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import tokens
 from millrace.operators.ordered import first_rows
-from millrace.sizing import small_side
+from millrace.sizing import key_set, small_side
 
 
 def rewrite_key(df: DataFrame, out: str, cases: list[tuple[Column, Column]], default: Column) -> DataFrame:
@@ -32,8 +32,8 @@ def required(
     ``expected`` has the column ``key``, ``accepted`` the column ``attempt``.  The filters run before the
     de-duplication; the key is the unit that is de-duplicated.
     """
-    kept = df.join(small_side(accepted.select(attempt).distinct()), attempt, "left_semi")
-    kept = kept.join(small_side(expected.select(key).distinct()), key, "left_semi")
+    kept = df.join(small_side(accepted.select(attempt).distinct(), computed=True), attempt, "left_semi")
+    kept = kept.join(key_set(expected, [key]), key, "left_semi")
     return first_rows(kept, [key], order).select(*df.columns)
 
 
@@ -44,7 +44,7 @@ def between_parts(df: DataFrame, part: str, start: int, end: int) -> DataFrame:
 
 def slice_attempts(df: DataFrame, attempt: str, ids: DataFrame) -> DataFrame:
     """Rows written by one of the attempts in ``ids`` (one column of the same name)."""
-    return df.join(small_side(ids.select(attempt).distinct()), attempt, "left_semi")
+    return df.join(small_side(ids.select(attempt).distinct(), computed=True), attempt, "left_semi")
 
 
 def has_all(df: DataFrame, tags: str, needed: list[str]) -> DataFrame:
@@ -56,14 +56,14 @@ def has_all(df: DataFrame, tags: str, needed: list[str]) -> DataFrame:
 def allow(df: DataFrame, col: str, listed: DataFrame) -> DataFrame:
     """Rows whose trimmed id is in the one-column list; list entries are trimmed and blanks ignored."""
     entries = listed.select(F.trim(F.col(listed.columns[0])).alias("_entry")).where("_entry <> ''").distinct()
-    return df.join(small_side(entries), F.trim(df[col]) == F.col("_entry"), "left_semi")
+    return df.join(small_side(entries, computed=True), F.trim(df[col]) == F.col("_entry"), "left_semi")
 
 
 def deny(df: DataFrame, col: str, listed: DataFrame) -> DataFrame:
     """Rows whose id is not in the list; entries are trimmed, blank lines and ``#`` lines are ignored."""
     entries = listed.select(F.trim(F.col(listed.columns[0])).alias("_entry"))
     entries = entries.where((F.col("_entry") != "") & ~F.col("_entry").startswith("#")).distinct()
-    return df.join(small_side(entries), df[col] == F.col("_entry"), "left_anti")
+    return df.join(small_side(entries, computed=True), df[col] == F.col("_entry"), "left_anti")
 
 
 def by_status(df: DataFrame, entity: str, status: str, wanted: str | None = None) -> DataFrame:

@@ -38,6 +38,11 @@ def local_sort(df: DataFrame, part: Column, partitions: int, *keys: str | Column
     return df.repartitionById(partitions, part.cast("int")).sortWithinPartitions(*keys)
 
 
+def local_position() -> Column:
+    """0-based position of a row in its partition, as the partition is ordered now."""
+    return F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+
+
 def largest(df: DataFrame, size: str, k: int, *tie: str) -> DataFrame:
     """The ``k`` largest rows; each partition keeps its ``k`` before they are merged."""
     return df.orderBy(F.col(size).desc(), *tie).limit(k)

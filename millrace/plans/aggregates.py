@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as ops
+from millrace.operators import hooks
 from millrace.plans.registry import query
 from millrace.plans.views import LEDGER_SQL, TOKENS_SQL, ledger, lines
 from millrace.session import ship_with_tasks
@@ -88,6 +89,11 @@ def agg_distinct_count(spark, folder):
     return ops.count_ids(table(spark, folder, "lineitem"), "l_partkey")
 
 
+@query("agg_distinct_dense", "SELECT count(DISTINCT l_partkey) AS n FROM lineitem")
+def agg_distinct_dense(spark, folder):
+    return ops.count_dense_ids(table(spark, folder, "lineitem"), "l_partkey")
+
+
 @query("agg_ids_by_group_dense", f"""
 WITH {LEDGER_SQL}, ids AS (SELECT DISTINCT g, attempt FROM ledger)
 SELECT s.g, coalesce(ids.attempt, -1) AS attempt FROM (SELECT unnest(range(4, 40)) AS g) s LEFT JOIN ids ON ids.g = s.g""")
@@ -219,3 +225,34 @@ def agg_commit_complete(spark, folder):
     expected = ops.count_ids(events.where("event_type = 'purchase'"), "user_id").first()[0]
     out = ops.commit_complete(events.withColumn("d", F.dayofmonth("ts")), "d", "user_id", expected)
     return out.withColumn("complete", F.col("complete").cast("int"))
+
+
+def _words(rows: pd.DataFrame) -> pd.DataFrame:
+    """Words of a batch of lines by pandas, under the rule of ``functions.text.tokens``."""
+    body = rows["line"].str.rstrip(" ")
+    blank = (rows["line"] != "") & (body == "")
+    return pd.DataFrame({"word": body[~blank].str.split(" ").explode()})
+
+
+@query("hook_flat_map", f"WITH {TOKENS_SQL} SELECT token AS word, count(*) AS n FROM tokens GROUP BY token")
+def hook_flat_map(spark, folder):
+    words = hooks.flat_map(lines(spark, folder).select("line"), "word string", _words)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("hook_grouping", """
+SELECT o_orderkey, o_custkey, CAST(row_number() OVER (
+         PARTITION BY o_custkey // 10 ORDER BY o_orderkey % 100 DESC, o_orderkey) - 1 AS BIGINT) AS pos
+FROM orders""")
+def hook_grouping(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    order = [-(F.col("o_orderkey") % 100), F.col("o_orderkey")]
+    return hooks.numbered_by(orders, F.expr("o_custkey div 10"), order)
+
+
+@query("hook_group_heads", """
+SELECT o_custkey // 10 AS block, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1""")
+def hook_group_heads(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    heads = hooks.heads_by(orders, F.expr("o_custkey div 10"), [F.col("o_orderkey")])
+    return heads.select(F.expr("o_custkey div 10").alias("block"), "o_orderkey")

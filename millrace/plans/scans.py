@@ -73,7 +73,7 @@ FROM lineitem GROUP BY 1""")
 def sink_range_layout(spark, folder):
     path = scratch_path(spark, "ranges")
     rows = src.table(spark, folder, "lineitem").select("l_orderkey", (F.col("l_orderkey") % 100).alias("p"))
-    src.sink_ranges(rows, "p", 8, 100, path, files_per_range=4)
+    src.sink_ranges(rows, "p", 8, 100, path)
     back = spark.read.schema("l_orderkey long, p long, range string").parquet(path)
     return back.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"))
 

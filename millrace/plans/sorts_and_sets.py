@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import sets, sorts
-from millrace.operators.ordered import row_index
 from millrace.plans.registry import query
 from millrace.plans.views import LEDGER_ORDER, LEDGER_SQL, ORDER_SQL, TOKENS_SQL, ledger, lines, sizes
 from millrace.sources import table
@@ -16,12 +15,16 @@ def sort_global(spark, folder):
     return sorts.sort_global(table(spark, folder, "lineitem"), *LEDGER_ORDER).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("sort_secondary", f"""
+@query("sort_secondary", f"WITH {LEDGER_SQL} SELECT g, l_orderkey FROM ledger ORDER BY g, l_orderkey")
+def sort_secondary(spark, folder):
+    return sorts.secondary_sort(ledger(spark, folder).select("g", "l_orderkey"), "g", "l_orderkey")
+
+
+@query("sort_secondary_position", f"""
 WITH {LEDGER_SQL} SELECT g, l_orderkey, CAST(row_number() OVER (PARTITION BY g ORDER BY l_orderkey) - 1 AS BIGINT) AS pos
 FROM ledger""")
-def sort_secondary(spark, folder):
-    rows = sorts.secondary_sort(ledger(spark, folder).select("g", "l_orderkey"), "g", "l_orderkey")
-    return sorts.position_in_group(rows, "g", ["l_orderkey"])
+def sort_secondary_position(spark, folder):
+    return sorts.position_in_group(ledger(spark, folder).select("g", "l_orderkey"), "g", ["l_orderkey"])
 
 
 @query("sort_by_count", f"WITH {TOKENS_SQL} SELECT token AS word, count(*) AS n FROM tokens GROUP BY token ORDER BY n, word")
@@ -30,13 +33,14 @@ def sort_by_count(spark, folder):
 
 
 @query("sort_within_partition", f"""
-WITH {LEDGER_SQL}
-SELECT g, attempt, l_orderkey, l_partkey,
-       CAST(row_number() OVER (PARTITION BY g ORDER BY attempt, {ORDER_SQL}) - 1 AS BIGINT) AS pos
-FROM ledger""")
+WITH {LEDGER_SQL}, placed AS (SELECT *, l_orderkey % 200 AS p FROM ledger)
+SELECT p, attempt, l_orderkey, l_partkey,
+       CAST(row_number() OVER (PARTITION BY p ORDER BY attempt, {ORDER_SQL}) - 1 AS BIGINT) AS pos
+FROM placed""")
 def sort_within_partition(spark, folder):
-    placed = sorts.local_sort(ledger(spark, folder), F.col("g"), 16, "attempt", *LEDGER_ORDER)
-    return row_index(placed, ["g"], ["attempt", *LEDGER_ORDER], "pos").select("g", "attempt", "l_orderkey", "l_partkey", "pos")
+    rows = ledger(spark, folder).withColumn("p", F.col("l_orderkey") % 200)
+    placed = sorts.local_sort(rows, F.col("p"), 200, "attempt", *LEDGER_ORDER)
+    return placed.select("p", "attempt", "l_orderkey", "l_partkey", sorts.local_position().alias("pos"))
 
 
 @query("topk_largest", f"""

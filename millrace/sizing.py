@@ -13,7 +13,7 @@ from millrace.session import persist_table
 # Rows of one group that a single task sorts and scans comfortably.
 GROUP_ROWS = 4_000_000
 # Rows (ids and a few narrow columns) that may be copied to every executor.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 
 
 def group_row_limit(spark: SparkSession) -> int:
@@ -25,8 +25,11 @@ def broadcast_row_limit(spark: SparkSession) -> int:
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops reading once the answer is known."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows.
+
+    Spark takes rows from few partitions first and stops once the answer is known.
+    """
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def small_side(df: DataFrame, computed: bool = False) -> DataFrame:
@@ -39,6 +42,16 @@ def small_side(df: DataFrame, computed: bool = False) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, broadcast_row_limit(df.sparkSession)) else df
 
 
+def key_set(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys of ``df``, with a broadcast hint if ``df`` itself is small.
+
+    The check reads the rows as they are: finding the distinct ones first would be a pass over all of them.
+    """
+    found = df.select(*keys)
+    small = has_at_most(found, broadcast_row_limit(df.sparkSession))
+    return F.broadcast(found.distinct()) if small else found.distinct()
+
+
 def biggest_group(df: DataFrame, keys: list[str]) -> int:
     """Row count of the largest group; reads the key columns only and combines before the shuffle."""
     if not keys:

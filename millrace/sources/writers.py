@@ -22,15 +22,13 @@ def range_layout(df: DataFrame, part: str, width: int, count: int, out: str = "r
     return df.withColumn(out, F.when(start.isNull(), wrong.cast("string")).otherwise(range_key(start, end)))
 
 
-def sink_ranges(df: DataFrame, part: str, width: int, count: int, path: str, files_per_range: int = 1) -> None:
+def sink_ranges(df: DataFrame, part: str, width: int, count: int, path: str) -> None:
     """Write one directory per key range.
 
-    Rows are spread by (range, hash of the row) so that each directory gets at most ``files_per_range`` files and
-    a range with many rows is written by that many tasks.
+    The rebalance hint lets AQE split a range with many rows over several tasks and join small ones.
     """
     laid = range_layout(df, part, width, count)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_range))
-    laid.repartition(F.col("range"), spread).write.partitionBy("range").parquet(path)
+    laid.hint("rebalance", F.col("range")).write.partitionBy("range").parquet(path)
 
 
 def route_by_size(df: DataFrame, size: Column, threshold: int, out: str = "tier") -> DataFrame:

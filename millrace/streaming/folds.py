@@ -129,7 +129,7 @@ def size_batches(
         closed = chunks.where(F.col("total") >= limit)
         done = closed.groupBy(group).agg(F.max(F.col("offset") + F.col("total")).alias("_done"))
         done = small_side(done.select(F.col(group).alias("_d_" + group), "_done"))
-        frame, split = with_slices(rows, [group], [order])
+        frame, split = with_slices(rows, [group], [order])  # rows is a table by now
         ends = run_over(frame, [group], [order], split, {"_end": F.col(size).cast("long")}).drop(SLICE)
         open_rows = ends.join(done, same_keys(ends, done, [group], "_d_"), "left").where(
             F.col("_done").isNull() | (F.col("_end") - F.col(size) >= F.col("_done"))
