@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import tokens
@@ -151,10 +151,11 @@ def quorum_read(df: DataFrame, group: str, source: str, value: str, r: int) -> t
     """Distinct ids of each group over its first ``r`` sources, and the groups that have fewer sources."""
     answering = df.select(group, source).distinct()
     first = first_rows(answering, [group], [source], r)
-    counts = first.groupBy(group).agg(F.count(F.lit(1)).alias("answers"))
-    enough = counts.where(F.col("answers") >= r).select(group)
-    ids = df.join(first.join(enough, group, "left_semi"), [group, source], "left_semi").select(group, value).distinct()
-    return ids, counts.where(F.col("answers") < r)
+    # At most r rows of a group are left to count.
+    first = first.withColumn("answers", F.count(F.lit(1)).over(Window.partitionBy(group)))
+    enough = first.where(F.col("answers") >= r).select(group, source)
+    ids = df.join(enough, [group, source], "left_semi").select(group, value).distinct()
+    return ids, first.where(F.col("answers") < r).select(group, "answers").distinct()
 
 
 def size_bands(df: DataFrame, size: Column, cost: Column, l1: int, l2: int, l3: int, slow: int) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import crc32
-from millrace.operators.ordered import first_rows
 from millrace.sizing import small_side
 
 
@@ -29,21 +28,24 @@ def verify_crc(df: DataFrame, payload: Column, stored: Column) -> DataFrame:
 
 
 def audit_delivery(
-    ledger: DataFrame, expected: DataFrame, accepted: DataFrame, group: str, key: str, attempt: str, intact: Column,
-    order: list[str],
+    ledger: DataFrame, expected: DataFrame, accepted: DataFrame, group: str, key: str, attempt: str, intact: Column
 ) -> DataFrame:
-    """One verdict per group: keep accepted attempts, check each copy, take the first good copy of each id,
-    compare with what is expected.
+    """One verdict per group: of the copies that accepted attempts wrote, is a good one there for each expected id?
 
-    ``expected`` has group and key.  Adds to ``audit_complete`` the number of damaged copies seen.
+    ``expected`` has group and key.  Adds to ``audit_complete`` the number of damaged copies seen.  One pass over the
+    ledger; repeated and damaged copies of an id are combined before its exchange.
     """
     kept = ledger.join(small_side(accepted.select(attempt).distinct(), computed=True), attempt, "left_semi")
-    kept = kept.withColumn("_intact", F.coalesce(intact, F.lit(False)))
-    damaged = kept.where(~F.col("_intact")).groupBy(group).agg(F.count(F.lit(1)).alias("damaged"))
-    good = first_rows(kept.where("_intact").select(group, key, *[o for o in order if o not in (group, key)]),
-                      [group, key], order)
-    verdict = audit_complete(expected, good, group, key)
-    return verdict.join(damaged, group, "left").withColumn("damaged", F.coalesce("damaged", F.lit(0).cast("long")))
+    fine = F.when(F.coalesce(intact, F.lit(False)), 1).otherwise(0)
+    sides = expected.select(group, key, F.lit(1).alias("_e"), F.lit(0).alias("_g"), F.lit(0).alias("_d")).unionByName(
+        kept.select(group, key, F.lit(0).alias("_e"), fine.alias("_g"), (1 - fine).alias("_d"))
+    )
+    ids = sides.groupBy(group, key).agg(F.max("_e").alias("_e"), F.max("_g").alias("_g"), F.sum("_d").alias("_d"))
+    out = ids.groupBy(group).agg(
+        F.sum("_e").alias("expected"), F.sum(F.col("_e") * F.col("_g")).alias("actual"), F.sum("_d").alias("damaged")
+    )
+    out = out.where(F.col("expected") > 0)
+    return out.withColumn("complete", F.col("expected") == F.col("actual"))
 
 
 def retry_flags(df: DataFrame, parent: str, group: str, attempt: str, maximum: int) -> DataFrame:

@@ -270,8 +270,13 @@ def greedy_chunks(
     )
 
 
-def _together(df: DataFrame, part: list[str], order: list[str | Column]) -> tuple[DataFrame, bool]:
-    """``with_slices``, with the rows of a group (of a group in a slice) in one partition."""
+def _together(df: DataFrame, part: list[str], order: list[str | Column], others: list[str]) -> tuple[DataFrame, bool]:
+    """``with_slices``, with the rows of a group (of a group in a slice) in one partition.
+
+    Only the columns the scan needs are moved, unless the order is given by expressions.
+    """
+    if all(isinstance(o, str) for o in order):
+        df = df.select(*dict.fromkeys([*part, *order, *others]))
     frame, split = with_slices(df, part, order)
     keys = [*part, SLICE] if split else part
     return (frame.repartition(*keys) if keys else frame.coalesce(1)), split
@@ -287,7 +292,7 @@ def chunk(
     (sum of the sizes before the chunk), ``total``, ``n`` and ``members``.
     """
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
-    frame, split = _together(sized, part, order)
+    frame, split = _together(sized, part, order, ["_size", *([members] if members else [])])
     rows = run_over(frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")})
     rows = rows.withColumn("_a", F.col("_b") - F.col("_size")).withColumn("_since", F.lit(0).cast("long"))
     chunks = _as_extents(greedy_chunks(rows, part, limit + 1 if strict else limit, members, split))
@@ -305,7 +310,7 @@ def chunk_islands(
     """
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
     sized = sized.withColumn("_ok", F.coalesce(accepted, F.lit(False)))
-    frame, split = _together(sized, part, order)
+    frame, split = _together(sized, part, order, ["_size", "_ok", *([members] if members else [])])
     rows = run_over(
         frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")}, previous={"_was_ok": F.col("_ok")}
     )
@@ -326,7 +331,7 @@ def merge_ranges(
     """
     order = [offset, *(tie or [])]
     end = F.col(offset) + F.col(length)
-    frame, split = _together(df, part, order)
+    frame, split = _together(df, part, order, [length, *([members] if members else [])])
     gaps = run_over(frame, part, order, split, previous={"_before": end})
     alone = F.col("_before").isNull() | (F.col(offset) - F.col("_before") > limit // 2)
     begins = F.when(alone, F.col(offset).cast("long"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import persist_table
-from millrace.sizing import biggest_group, group_row_limit
+from millrace.sizing import biggest_group, group_row_limit, small_side
 
 SLICE = "_slice"
 
@@ -178,10 +178,10 @@ def resume_page(
     """
     frame, split = with_slices(df, part, order)
     placed = run_over(frame, part, order, split, {"_idx": F.lit(1).cast("long")})
-    renamed = cursors.select(*[F.col(p).alias("_c_" + p) for p in part], "cursor")
+    renamed = small_side(cursors.select(*[F.col(p).alias("_c_" + p) for p in part], "cursor"), computed=True)
     match = same_keys(placed, renamed, part, "_c_") & (placed[key] == renamed["cursor"])
     found = placed.join(renamed, match).groupBy(*part).agg(F.min("_idx").alias("_at"))
-    found = found.select(*[F.col(p).alias("_f_" + p) for p in part], "_at")
+    found = small_side(found.select(*[F.col(p).alias("_f_" + p) for p in part], "_at"), computed=True)
     rest = placed.join(found, same_keys(placed, found, part, "_f_"), "left")
     rest = rest.where(F.col("_idx") > F.coalesce("_at", F.lit(0))).select(*df.columns, "_idx", SLICE)
     if wanted is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import crc32
 from millrace.operators import audit
 from millrace.plans.registry import query
-from millrace.plans.views import LEDGER_ORDER, LEDGER_SQL, accepted, ledger
+from millrace.plans.views import LEDGER_SQL, accepted, ledger
 from millrace.sources import table
 
 
@@ -44,9 +44,7 @@ SELECT v.g, expected, actual, CASE WHEN expected = actual THEN 1 ELSE 0 END AS c
 FROM verdict v LEFT JOIN damaged d ON d.g = v.g""")
 def audit_delivery(spark, folder):
     rows = ledger(spark, folder)
-    out = audit.audit_delivery(
-        rows, _expected(spark, folder), accepted(rows), "g", "l_orderkey", "attempt", F.col("ok"), LEDGER_ORDER
-    )
+    out = audit.audit_delivery(rows, _expected(spark, folder), accepted(rows), "g", "l_orderkey", "attempt", F.col("ok"))
     return out.withColumn("complete", F.col("complete").cast("int"))
 
 

@@ -48,9 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/millrace/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder."""
+    return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote for its own use; results that read from it are void afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def persist_table(df: DataFrame, label: str) -> DataFrame:

@@ -31,13 +31,13 @@ def liveness(stream: DataFrame, entity: str, ts: str, status: str, timeout_secon
     An entity whose last beat is more than the timeout before the watermark is reported LOST and forgotten; its
     next beat registers it again.  A task reads the beats of an entity in Arrow batches and holds the last one.
     """
-    beats = stream.withWatermark(ts, delay).select(entity, ts, status)
+    beats = stream.withWatermark(ts, delay).select(entity, ts, status, F.unix_micros(ts).alias("_us"))
     kind = stream.schema[entity].dataType.simpleString()
     timeout_ms = timeout_seconds * 1000
 
     def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         def row(us: int, what: str) -> pd.DataFrame:
-            return pd.DataFrame({entity: [key[0]], "last_seen": [pd.Timestamp(us, unit="us")], "status": [what]})
+            return pd.DataFrame({entity: [key[0]], "us": [us], "status": [what]})
 
         if state.hasTimedOut:
             yield row(state.get[0], "LOST")
@@ -45,9 +45,8 @@ def liveness(stream: DataFrame, entity: str, ts: str, status: str, timeout_secon
             return
         last = tuple(state.get) if state.exists else None
         for pdf in batches:
-            us = pdf[ts].to_numpy().astype("datetime64[us]").astype("int64")
-            newest = us.max()
-            best = (int(newest), max(pdf[status][us == newest]))
+            newest = pdf["_us"].max()
+            best = (int(newest), max(pdf[status][pdf["_us"] == newest]))
             last = best if last is None or best > last else last
         due = last[0] // 1000 + timeout_ms
         if due < state.getCurrentWatermarkMs():
@@ -59,10 +58,11 @@ def liveness(stream: DataFrame, entity: str, ts: str, status: str, timeout_secon
         state.update(last)
         state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
-    return beats.groupBy(entity).applyInPandasWithState(
-        follow, f"`{entity}` {kind}, last_seen timestamp, status string", "us long, status string",
+    changes = beats.groupBy(entity).applyInPandasWithState(
+        follow, f"`{entity}` {kind}, us long, status string", "us long, status string",
         "append", GroupStateTimeout.EventTimeTimeout,
     )
+    return changes.select(entity, F.timestamp_micros("us").alias("last_seen"), "status")
 
 
 def current_status(changes: DataFrame, entity: str) -> DataFrame:

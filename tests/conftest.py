@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millrace.session import build_session  # noqa: E402
+from millrace.session import build_session, release_scratch  # noqa: E402
 
 
 def make_session() -> SparkSession:
@@ -20,7 +20,9 @@ def make_session() -> SparkSession:
 
 @pytest.fixture(scope="session")
 def spark():
-    return make_session()
+    session = make_session()
+    yield session
+    release_scratch(session)
 
 
 @pytest.fixture
