@@ -104,9 +104,10 @@ def shard_ids(df: DataFrame, group: str, value: str, shards: int) -> DataFrame:
     return df.select(F.pmod(F.col(group), F.lit(shards)).alias("shard"), group, value).distinct()
 
 
-def ids_of_group(sharded: DataFrame, group: str, value: str, wanted: int, shards: int) -> DataFrame:
-    """Ids of one group read back from its shard."""
-    return sharded.where((F.col("shard") == wanted % shards) & (F.col(group) == wanted)).select(value)
+def ids_of_groups(sharded: DataFrame, group: str, value: str, wanted: DataFrame, shards: int) -> DataFrame:
+    """Ids of the wanted groups read back from their shards; other groups of a shard are left out."""
+    places = wanted.select(F.pmod(F.col(group), F.lit(shards)).alias("shard"), group).distinct()
+    return sharded.join(places, ["shard", group], "left_semi").select(group, value)
 
 
 def invert(df: DataFrame, key: str, sources: str) -> DataFrame:

@@ -106,10 +106,13 @@ def agg_ids_hash_sharded(spark, folder):
     return ops.shard_ids(ledger(spark, folder), "g", "attempt", 5)
 
 
-@query("agg_ids_from_shard", f"WITH {LEDGER_SQL} SELECT DISTINCT l_orderkey FROM ledger WHERE g = 13")
+@query("agg_ids_from_shard", f"""
+WITH {LEDGER_SQL} SELECT DISTINCT g, l_suppkey FROM ledger
+WHERE g IN (SELECT o_orderkey % 16 FROM orders WHERE o_orderstatus = 'P')""")
 def agg_ids_from_shard(spark, folder):
-    sharded = ops.shard_ids(ledger(spark, folder), "g", "l_orderkey", 5)
-    return ops.ids_of_group(sharded, "g", "l_orderkey", 13, 5)
+    sharded = ops.shard_ids(ledger(spark, folder), "g", "l_suppkey", 5)
+    wanted = table(spark, folder, "orders").where("o_orderstatus = 'P'").select((F.col("o_orderkey") % 16).alias("g"))
+    return ops.ids_of_groups(sharded, "g", "l_suppkey", wanted, 5)
 
 
 @query("agg_invert_mapping", """

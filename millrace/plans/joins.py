@@ -87,9 +87,11 @@ def join_left_anti_missing(spark, folder):
 
 
 @query("join_orphans", """
-SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+SELECT c_custkey, c_nationkey FROM customer 
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def join_orphans(spark, folder):
-    live = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    urgent = table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    live = urgent.select(F.col("o_custkey").alias("c_custkey"))
     return ops.orphans(table(spark, folder, "customer").select("c_custkey", "c_nationkey"), live, "c_custkey")
 
 
