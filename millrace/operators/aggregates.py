@@ -57,9 +57,10 @@ def combine_runs(
 ) -> DataFrame:
     """Apply a combiner to runs of rows before the shuffle and to what arrives after it.
 
-    ``combine`` takes rows in ``schema`` and returns rows in ``schema``, one per key; how often it runs must not
-    matter.  A map task holds at most about ``held_keys`` combined rows and sends them on when there are more.  It is
-    for combiners that built-in aggregates cannot express; those need no such help.
+    ``combine`` takes rows in ``schema`` and returns rows in ``schema``, one per key (null keys too); how often it runs
+    must not matter.  It gets Arrow batches that hold many keys.  A map task holds about ``held_keys`` combined rows and
+    sends them on when there are more; after the shuffle rows come sorted by key and only the open key is held.  It
+    is for combiners that built-in aggregates cannot express; those need no such help.
     """
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -71,7 +72,21 @@ def combine_runs(
         if held is not None and len(held):
             yield held
 
-    return df.mapInPandas(partial, schema).groupBy(key).applyInPandas(combine, schema)
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = combine(batch if held is None else pd.concat([held, batch], ignore_index=True))
+            last = batch[key].iloc[-1]
+            open_key = rows[key].isna() if pd.isna(last) else rows[key] == last
+            yield rows[~open_key]
+            held = rows[open_key]
+        if held is not None:
+            yield held
+
+    combined = df.mapInPandas(partial, schema)
+    return combined.repartition(key).sortWithinPartitions(key).mapInPandas(final, schema)
 
 
 def distinct_ids(df: DataFrame, col: str) -> DataFrame:

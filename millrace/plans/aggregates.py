@@ -57,7 +57,7 @@ def agg_partial_final(spark, folder):
 
 
 def _spread(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.groupby("user_id", as_index=False).agg(n=("n", "sum"), lo=("lo", "min"), hi=("hi", "max"))
+    return rows.groupby("user_id", as_index=False, dropna=False).agg(n=("n", "sum"), lo=("lo", "min"), hi=("hi", "max"))
 
 
 @query("agg_merge_combine", """
