@@ -106,3 +106,15 @@ def union_sources(spark, folder):
     customer = src.table(spark, folder, "customer").select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("nation"))
     supplier = src.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("nation"))
     return src.read_all([customer, supplier])
+
+
+@query("sink_routed", f"""
+WITH {LEDGER_SQL}
+SELECT CASE WHEN len > 25 THEN 'cold' ELSE 'warm' END AS tier, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
+FROM ledger GROUP BY 1""")
+def sink_routed(spark, folder):
+    path = scratch_path(spark, "routed")
+    rows = ledger(spark, folder).select("l_orderkey", "len")
+    src.sink_routed(src.route_by_size(rows, F.col("len"), 25), path)
+    back = spark.read.schema("l_orderkey long, len long, tier string").parquet(path)
+    return back.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"))

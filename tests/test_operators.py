@@ -250,3 +250,67 @@ def test_diff_finds_rows_and_copies(spark):
     b = spark.createDataFrame([(1,), (3,), (None,)], "x int")
     assert rows(sets.diff(a, b)) == [(1, 2, 1), (2, 1, 0), (3, 0, 1)]
     assert sets.diff(a, a.repartition(3)).isEmpty()
+
+
+def test_hysteresis_marks(spark):
+    levels = [50, 90, 85, 70, 60, 59, 75, 95, 60]
+    df = spark.createDataFrame([("e", i, v) for i, v in enumerate(levels)], "e string, t int, v int")
+
+    def states(**kw):
+        return [r.state for r in ordered.switch_state(df, ["e"], ["t"], F.col("v"), 90, 60, **kw).orderBy("t").collect()]
+
+    assert states() == ["on", "off", "off", "off", "on", "on", "on", "off", "on"]
+    assert states(strict_low=True) == ["on", "off", "off", "off", "off", "on", "on", "off", "off"]
+    with pytest.raises(ValueError):
+        ordered.switch_state(df, ["e"], ["t"], F.col("v"), 60, 60)
+
+
+@pytest.mark.parametrize("limit", ["4000000", "20"])
+def test_resume_page_cursors(spark, limit):
+    spark.conf.set("spark.millrace.groupRows", limit)
+    try:
+        df = spark.range(60).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"), F.lit(10).alias("s"))
+        cursors = spark.createDataFrame([(0, 30), (1, 58), (2, 999)], "g long, cursor long")
+        page = ordered.resume_page(df, ["g"], ["k"], "k", F.col("s"), cursors, 25)
+        # After 30; nothing after the last row; unknown, so from the start.
+        assert rows(page.select("g", "k")) == [(0, 33), (0, 36), (0, 39), (2, 2), (2, 5), (2, 8)]
+        odd = ordered.resume_page(df, ["g"], ["k"], "k", F.col("s"), cursors.where("g = 9"), 15, F.col("k") % 2 == 1)
+        assert rows(odd.select("g", "k")) == [(0, 3), (0, 9), (1, 1), (1, 7), (2, 11), (2, 5)]
+    finally:
+        spark.conf.unset("spark.millrace.groupRows")
+
+
+def test_status_and_percent(spark):
+    df = spark.createDataFrame([(2, "LOST", 1, 0), (1, "ACTIVE", 5, 10), (3, "ACTIVE", 4, 10)], "id int, s string, a int, t int")
+    assert [r.id for r in project.by_status(df, "id", "s").collect()] == [1, 2, 3]
+    assert [r.id for r in project.by_status(df, "id", "s", "ACTIVE").collect()] == [1, 3]
+    assert rows(project.pct_at_least(df, F.col("a"), F.col("t"), 50).select("id")) == [(1,)]
+
+
+def test_pick_target_prefers_healthy_and_held(spark):
+    entities = spark.createDataFrame([("x",), ("y",)], "e string")
+    held = spark.createDataFrame([("y", "t9")], "e string, t string")
+    targets = spark.createDataFrame([("t1", False, 0), ("t2", True, 7), ("t3", True, 4)], "t string, ok boolean, n int")
+    pick = lambda ok: rows(picking.pick_target(entities, targets, held, "e", "t", ok, F.col("n")))
+    assert pick(F.col("ok")) == [("x", "t3"), ("y", "t9")]
+    assert pick(F.lit(False)) == [("x", "t1"), ("y", "t9")]
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    left = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    salted = joins.join_salted(left, right, "k")
+    assert sets.diff(salted, left.join(right, "k")).isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert salted.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+        assert left.join(right, "k").where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dense_ids(spark):
+    df = spark.range(100_000).select(F.when(F.col("id") % 5 > 0, F.col("id") % 40_000).alias("v"))
+    assert aggregates.count_dense_ids(df, "v").first().n == aggregates.count_ids(df, "v").first().n == 32_000
