@@ -192,19 +192,27 @@ def read_stats(df: DataFrame, tier: str, used: Column, length: Column, raw_lengt
     )
 
 
-def health(df: DataFrame, owner: str | None, healthy: Column, used: Column, total: Column, minimum: float) -> DataFrame:
+def health(
+    df: DataFrame, owner: str | None, healthy: Column, used: Column, total: Column, minimum: float,
+    corrupt: Column | None = None,
+) -> DataFrame:
     """Whether at least ``minimum`` percent of the members are healthy, with space totals.
 
-    Without members there is nothing healthy.
+    A corrupt member counts as one that is not healthy, and its space does not count.  Without members there is
+    nothing healthy.
     """
-    grouped = df.groupBy(*([owner] if owner else []))
-    out = grouped.agg(
-        F.count(F.lit(1)).alias("members"),
-        F.coalesce(F.sum(F.when(healthy, 1).otherwise(0)), F.lit(0)).alias("good"),
-        F.coalesce(F.sum(used), F.lit(0)).alias("used"), F.coalesce(F.sum(total), F.lit(0)).alias("space"),
+    usable = ~F.coalesce(corrupt, F.lit(False)) if corrupt is not None else F.lit(True)
+
+    def total_of(value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(usable, value)), F.lit(0))
+
+    out = df.groupBy(*([owner] if owner else [])).agg(
+        F.count(F.lit(1)).alias("members"), total_of(F.when(healthy, 1).otherwise(0)).alias("good"),
+        F.sum(F.when(usable, 0).otherwise(1)).alias("corrupt"), total_of(used).alias("used"), total_of(total).alias("space"),
     )
-    share = F.col("good") * F.lit(100.0) / F.col("members")
-    return out.withColumn("healthy", F.when(F.col("members") == 0, False).otherwise(share >= minimum))
+    out = out.withColumn("corrupt", F.coalesce("corrupt", F.lit(0)))
+    share = F.try_divide(F.col("good") * F.lit(100.0), F.col("members"))
+    return out.withColumn("healthy", F.coalesce(share >= minimum, F.lit(False)))
 
 
 def per_owner(df: DataFrame, owner: str, entity: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Greedy chunks of ordered rows: a chunk closes at the first row that brings it to a limit.
 
 Where a chunk ends decides where the next begins, so running sums in a window cannot express it.  Each task scans
-the sorted rows of its groups in Arrow batches, holding the chunk that is open.  A group too large for one task is cut into slices (``ordered.sliced``)
-and stays exact: what a slice does to the chunk that is open when it starts depends only on where that chunk
-began, and as a function of that start it is a step function.  Every slice reports its steps, the steps are folded
-in two levels to find the chunk open at the start of each slice, and then all slices are cut at once.
+the sorted rows of its groups in Arrow batches, holding the chunk that is open.  A group too large for one task is
+cut into slices (``ordered.sliced``) and stays exact: what a slice does to the chunk that is open when it starts
+depends only on where that chunk began, and as a function of that start it is a step function.  Every slice reports
+its steps, the steps are folded in two levels to find the chunk open at the start of each slice, and then all slices
+are cut at once.
 
 A row has a start ``a`` and an end ``b`` on a common axis; a chunk that began at ``a0`` closes at the first row
 with ``b - a0 >= limit``.

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from millrace.operators.ordered import first_rows, row_index
 from millrace.session import ship_with_tasks

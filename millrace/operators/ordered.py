@@ -23,15 +23,20 @@ from millrace.sizing import biggest_group, group_row_limit, small_side
 SLICE = "_slice"
 
 
-def first_rows(df: DataFrame, key: list[str], order: list[str | Column], n: int = 1, rank: str | None = None) -> DataFrame:
+def first_rows(
+    df: DataFrame, key: list[str], order: list[str | Column], n: int = 1, rank: str | None = None
+) -> DataFrame:
     """The first ``n`` rows of every key in the given order.
 
     Spark limits every map task's rows per key to ``n`` before the shuffle (WindowGroupLimit), so a hot key sends
-    at most ``n`` rows per map task.
+    at most ``n`` rows per map task.  It does so up to a setting; above that, large groups are split.
     """
-    w = Window.partitionBy(*key).orderBy(*order)
     name = rank or "_rn"
-    top = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    else:
+        ranked = row_index(df, key, order, name).withColumn(name, (F.col(name) + 1).cast("int"))
+    top = ranked.where(F.col(name) <= n)
     return top if rank else top.drop(name)
 
 

@@ -202,13 +202,17 @@ def agg_read_skip_stats(spark, folder):
 
 
 @query("agg_health_pct", """
-SELECT c_nationkey, count(*) AS members, count(*) FILTER (WHERE c_acctbal >= 0) AS good,
-       CAST(sum(c_custkey) AS BIGINT) AS used, CAST(sum(c_custkey * 2) AS BIGINT) AS space,
-       CASE WHEN count(*) FILTER (WHERE c_acctbal >= 0) * 100.0 / count(*) >= 90 THEN 1 ELSE 0 END AS healthy
-FROM customer GROUP BY c_nationkey""")
+WITH m AS (SELECT *, c_mktsegment = 'MACHINERY' AND c_acctbal < 1000 AS bad FROM customer)
+SELECT c_nationkey, count(*) AS members, count(*) FILTER (WHERE c_acctbal >= 0 AND NOT bad) AS good,
+       count(*) FILTER (WHERE bad) AS corrupt,
+       CAST(sum(CASE WHEN bad THEN 0 ELSE c_custkey END) AS BIGINT) AS used,
+       CAST(sum(CASE WHEN bad THEN 0 ELSE c_custkey * 2 END) AS BIGINT) AS space,
+       CASE WHEN count(*) FILTER (WHERE c_acctbal >= 0 AND NOT bad) * 100.0 / count(*) >= 90 THEN 1 ELSE 0 END AS healthy
+FROM m GROUP BY c_nationkey""")
 def agg_health_pct(spark, folder):
-    key = F.col("c_custkey")
-    out = ops.health(table(spark, folder, "customer"), "c_nationkey", F.col("c_acctbal") >= 0, key, key * 2, 90)
+    key, balance = F.col("c_custkey"), F.col("c_acctbal")
+    corrupt = (F.col("c_mktsegment") == "MACHINERY") & (balance < 1000)
+    out = ops.health(table(spark, folder, "customer"), "c_nationkey", balance >= 0, key, key * 2, 90, corrupt)
     return out.withColumn("healthy", F.col("healthy").cast("int"))
 
 

@@ -49,7 +49,8 @@ def audit_delivery(spark, folder):
 
 
 @query("audit_retry_threshold", """
-WITH failures AS (SELECT user_id % 5 AS parent, user_id, CAST(day(ts) AS INTEGER) AS attempt FROM events WHERE event_type = 'error'),
+WITH failures AS (
+  SELECT user_id % 5 AS parent, user_id, CAST(day(ts) AS INTEGER) AS attempt FROM events WHERE event_type = 'error'),
 newest AS (SELECT parent, max(attempt) AS attempt FROM failures GROUP BY parent)
 SELECT parent, user_id, attempt, count(*) AS failures, CASE WHEN count(*) >= 2 THEN 1 ELSE 0 END AS flagged
 FROM failures JOIN newest USING (parent, attempt) GROUP BY parent, user_id, attempt""")

@@ -69,7 +69,8 @@ def fn_path_key(spark, folder):
 
 
 @query("fn_format_ts", """
-SELECT event_id, strftime(make_timestamp_ms(event_id % 100000 * 86400123 + 1700000000999), '%Y-%m-%d %H:%M:%S') AS text FROM events""")
+SELECT event_id, strftime(make_timestamp_ms(event_id % 100000 * 86400123 + 1700000000999), '%Y-%m-%d %H:%M:%S') AS text
+FROM events""")
 def fn_format_ts(spark, folder):
     # Milliseconds built from the id, wrapped to stay within four-digit years on large tables.
     epoch = F.col("event_id") % 100000 * 86400123 + F.lit(1700000000999)

@@ -48,7 +48,8 @@ def st_idle_expiry(spark, folder):
 
 
 _QUOTA_SQL = """
-WITH ranked AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer)
+WITH ranked AS (
+  SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer)
 SELECT c_nationkey, c_custkey, CASE WHEN rn <= CASE WHEN n_regionkey = 2 THEN 9 ELSE 5 END THEN 1 ELSE 0 END AS admitted
 FROM ranked JOIN nation ON n_nationkey = c_nationkey"""
 
@@ -64,7 +65,8 @@ def st_quota(spark, folder):
 
 
 @query("st_retry_counter", """
-WITH failures AS (SELECT user_id % 5 AS parent, user_id, CAST(day(ts) AS INTEGER) AS attempt FROM events WHERE event_type = 'error'),
+WITH failures AS (
+  SELECT user_id % 5 AS parent, user_id, CAST(day(ts) AS INTEGER) AS attempt FROM events WHERE event_type = 'error'),
 newest AS (SELECT parent, max(attempt) AS attempt FROM failures GROUP BY parent)
 SELECT parent, user_id, attempt, count(*) AS failures FROM failures JOIN newest USING (parent, attempt)
 GROUP BY parent, user_id, attempt""")
@@ -76,7 +78,8 @@ def st_retry_counter(spark, folder):
 
 @query("st_size_batches", """
 WITH RECURSIVE steps AS MATERIALIZED (
-  SELECT user_id, event_id, 1 + event_id % 40 AS size, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos FROM events),
+  SELECT user_id, event_id, 1 + event_id % 40 AS size, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos
+  FROM events),
 walk AS (
   SELECT user_id, pos, event_id, size AS acc, event_id AS first FROM steps WHERE pos = 1
   UNION ALL
@@ -93,7 +96,8 @@ def st_size_batches(spark, folder):
 
 
 @query("st_running_totals", """
-SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, max(user_id) AS top_user FROM events GROUP BY event_type""")
+SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, max(user_id) AS top_user
+FROM events GROUP BY event_type""")
 def st_running_totals(spark, folder):
     events = st.stream_table(spark, folder, "events")
     measures = {"n": F.count(F.lit(1)), "id_sum": F.sum("event_id"), "top_user": F.max("user_id")}

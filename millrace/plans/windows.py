@@ -59,7 +59,8 @@ SELECT g, CAST(start AS BIGINT) AS "offset", CAST(max(acc) AS BIGINT) AS total,
 FROM walk GROUP BY {keys}, start"""
 
 
-_STEPS_SQL = f"WITH RECURSIVE {SEQ_SQL}, steps AS MATERIALIZED (SELECT g, rn AS pos, upto - len AS start, len, l_orderkey FROM seq)"
+_STEPS_SQL = f"""WITH RECURSIVE {SEQ_SQL},
+steps AS MATERIALIZED (SELECT g, rn AS pos, upto - len AS start, len, l_orderkey FROM seq)"""
 
 
 @query("win_chunk_by_size", _recursive_sql(_STEPS_SQL, "g", 200, ">="))

@@ -26,7 +26,9 @@ def totals(stream: DataFrame, labels: list[str], measures: dict[str, Column]) ->
     return stream.groupBy(*labels).agg(*[m.alias(n) for n, m in measures.items()])
 
 
-def split_rejected(stream: DataFrame, owners: DataFrame, owner: str, ts: str | None = None, until: str | None = None) -> DataFrame:
+def split_rejected(
+    stream: DataFrame, owners: DataFrame, owner: str, ts: str | None = None, until: str | None = None
+) -> DataFrame:
     """Rows with ``accepted``: whether their owner is known and, given ``until``, was not expired at the row's time."""
     known = owners.select(F.col(owner).alias("_owner"), *([until] if until else [])).dropDuplicates(["_owner"])
     joined = stream.join(known, stream[owner] == known["_owner"], "left")

@@ -3,10 +3,13 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.chunking import CLOSED, Cuts, _through, chunk, chunk_islands, merge_ranges
+from millrace.operators.chunking import CLOSED, Cuts, _compose, _through, chunk, chunk_islands, merge_ranges
 
 
 def loop_chunks(sizes, limit, strict=False):
@@ -89,7 +92,7 @@ def test_merge_ranges(spark, group_rows, limit):
 def test_chunk_islands(spark, group_rows, limit):
     rnd = random.Random(limit)
     rows = [(rnd.choice([1, 2, 5]), rnd.random() < 0.95) for _ in range(2500)]
-    df = spark.createDataFrame([(i, s, ok) for i, (s, ok) in enumerate(rows)], "i int, s int, ok boolean").withColumn("g", F.lit(1))
+    df = spark.createDataFrame([(1, i, s, ok) for i, (s, ok) in enumerate(rows)], "g int, i int, s int, ok boolean")
     got = chunk_islands(df, ["g"], ["i"], F.col("s"), limit, F.col("ok")).collect()
     assert sorted((r.offset, r.total, r.n) for r in got) == loop_islands(rows, limit)
 
@@ -145,3 +148,28 @@ def test_overlapping_ranges(spark):
     df = spark.createDataFrame([(1, o, n) for o, n in ranges], "g int, o long, n long")
     got = merge_ranges(df, ["g"], "o", "n", 40).collect()
     assert sorted((r.offset, r.total) for r in got) == loop_ranges(ranges, 40)
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    lengths=st.lists(st.integers(1, 9), min_size=1, max_size=40), gaps=st.lists(st.integers(0, 30), min_size=40, max_size=40),
+    limit=st.integers(1, 60), cuts=st.lists(st.integers(1, 39), max_size=4),
+)
+def test_folded_slices_are_the_whole_scan(lengths, gaps, limit, cuts):
+    """Steps of slices, folded in blocks as the operator does, find the chunk open at every slice."""
+    n = len(lengths)
+    gaps = np.array(gaps[:n])
+    b = np.cumsum(lengths) + np.cumsum(gaps)
+    a = b - np.array(lengths)
+    since = np.maximum.accumulate(np.where((gaps > limit // 2) | (np.arange(n) == 0), a, 0))
+    bounds = sorted({0, n, *[c for c in cuts if c < n]})
+    runs = [Cuts(a[lo:hi], b[lo:hi], since[lo:hi], limit).steps(int(since[lo])) for lo, hi in zip(bounds, bounds[1:])]
+    frame = pd.DataFrame({"hi": [r[0] for r in runs], "out": [r[1] for r in runs], "fresh": [r[2] for r in runs]})
+    whole = Cuts(a, b, since, limit).steps(int(since[0]))
+    hi, out, fresh = _compose(frame)
+    for opened in [CLOSED, *range(int(a[0]) - 70, int(a[0]))]:
+        step_by_step = opened
+        for r in runs:
+            step_by_step = _through(step_by_step, np.array(r[0]), np.array(r[1]), r[2])
+        assert _through(opened, np.array(hi), np.array(out), fresh) == step_by_step
+        assert _through(opened, np.array(whole[0]), np.array(whole[1]), whole[2]) == step_by_step

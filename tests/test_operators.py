@@ -108,10 +108,17 @@ def test_budget_pick_is_the_loop(spark):
         assert sorted(r.k for r in got.collect()) == sorted(expected)
 
 
-def test_prefer_healthy_second_round(spark):
-    df = spark.createDataFrame([(1, i, i in (0, 2)) for i in range(5)], "item int, o int, bad boolean")
-    got = picking.prefer_healthy(df, "item", ["o"], F.col("bad"), 2, 4)
-    assert rows(got.select("round", "o")) == [(1, 1), (1, 3), (2, 0), (2, 2)]
+@pytest.mark.parametrize("limit", ["4000000", "3"])
+def test_prefer_healthy_second_round(spark, limit):
+    spark.conf.set("spark.millrace.groupRows", limit)
+    try:
+        df = spark.createDataFrame([(1, i, i in (0, 2)) for i in range(5)], "item int, o int, bad boolean")
+        got = picking.prefer_healthy(df, "item", ["o"], F.col("bad"), 2, 4)
+        assert rows(got.select("round", "o")) == [(1, 1), (1, 3), (2, 0), (2, 2)]
+        assert rows(picking.prefer_healthy(df, "item", ["o"], F.col("bad"), 4, 4).select("round", "o")) == [
+            (1, 0), (1, 1), (1, 3), (1, 4)]
+    finally:
+        spark.conf.unset("spark.millrace.groupRows")
 
 
 def test_pick_attempt_needs_all_tasks(spark):
@@ -208,7 +215,8 @@ def test_secondary_sort_order(spark):
 def test_text_sink_is_in_order_over_files(spark):
     path = scratch_path(spark, "t")
     src.sink_sorted_text(spark.range(500).repartition(7), path, F.lpad(F.col("id").cast("string"), 4, "0"), "id")
-    files = src.scan_text(spark, path).withColumn("f", F.input_file_name()).groupBy("f").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    files = src.scan_text(spark, path).withColumn("f", F.input_file_name()).groupBy("f")
+    files = files.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     spans = [(r.lo, r.hi) for r in files.orderBy("f").collect()]
     assert spans == sorted(spans) and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
@@ -265,6 +273,13 @@ def test_hysteresis_marks(spark):
         ordered.switch_state(df, ["e"], ["t"], F.col("v"), 60, 60)
 
 
+def test_many_first_rows_of_a_large_group(spark, small_groups):
+    df = spark.range(5000).select((F.col("id") % 4 == 3).alias("g"), "id")
+    got = ordered.first_rows(df, ["g"], [F.col("id").desc()], 1500, "r")
+    assert rows(got.groupBy("g").agg(F.count("r"), F.max("r"), F.min("id"))) == [
+        (False, 1500, 1500, 3000), (True, 1250, 1250, 3)]
+
+
 @pytest.mark.parametrize("limit", ["4000000", "20"])
 def test_resume_page_cursors(spark, limit):
     spark.conf.set("spark.millrace.groupRows", limit)
@@ -281,7 +296,8 @@ def test_resume_page_cursors(spark, limit):
 
 
 def test_status_and_percent(spark):
-    df = spark.createDataFrame([(2, "LOST", 1, 0), (1, "ACTIVE", 5, 10), (3, "ACTIVE", 4, 10)], "id int, s string, a int, t int")
+    data = [(2, "LOST", 1, 0), (1, "ACTIVE", 5, 10), (3, "ACTIVE", 4, 10)]
+    df = spark.createDataFrame(data, "id int, s string, a int, t int")
     assert [r.id for r in project.by_status(df, "id", "s").collect()] == [1, 2, 3]
     assert [r.id for r in project.by_status(df, "id", "s", "ACTIVE").collect()] == [1, 3]
     assert rows(project.pct_at_least(df, F.col("a"), F.col("t"), 50).select("id")) == [(1,)]

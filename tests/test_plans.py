@@ -26,14 +26,18 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert scans(plan(spark, "audit_complete")) == [["o_orderkey"], ["l_orderkey"]]
 
 
-@pytest.mark.parametrize("name", ["win_dedupe_first", "win_first_good_replica", "win_tier_coalesce", "filter_required", "win_pick_attempt"])
+@pytest.mark.parametrize("name", [
+    "win_dedupe_first", "win_first_good_replica", "win_tier_coalesce", "filter_required", "win_pick_attempt",
+])
 def test_keys_are_reduced_before_the_shuffle(spark, name):
     text = plan(spark, name)
     limit = text.rindex("WindowGroupLimit")
     assert "Exchange hashpartitioning" in text[:limit] and text.count("WindowGroupLimit") == 2
 
 
-@pytest.mark.parametrize("name", ["agg_count_by_key", "agg_word_count", "agg_quorum", "agg_group_sizes", "dataset_diff", "audit_delivery"])
+@pytest.mark.parametrize("name", [
+    "agg_count_by_key", "agg_word_count", "agg_quorum", "agg_group_sizes", "dataset_diff", "audit_delivery",
+])
 def test_aggregates_combine_before_the_shuffle(spark, name):
     assert "partial_" in plan(spark, name)
 

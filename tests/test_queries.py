@@ -26,7 +26,8 @@ def test_query(spark, db, name):
 # Queries whose plan changes when a group is too large for one task.
 SPLIT = [
     "win_sequence_no", "win_running_offset", "win_truncate_to_length", "win_chunk_by_size", "win_chunk_by_size_strict",
-    "win_chunk_islands", "win_merge_ranges", "win_merge_near_ranges", "win_resume_page", "win_hysteresis", "win_round_robin_buckets",
+    "win_chunk_islands", "win_merge_ranges", "win_merge_near_ranges", "win_resume_page", "win_hysteresis",
+    "win_round_robin_buckets",
     "win_contiguous_buckets", "agg_group_by_key", "cogroup_merge", "sort_secondary_position", "hook_grouping",
     "win_prefer_healthy_k", "st_size_batches",
 ]

@@ -146,6 +146,7 @@ def test_a_missing_deny_list_is_cleared(spark):
 
 def test_rows_of_unknown_or_expired_owners_are_rejected(spark):
     owners = spark.createDataFrame([("a", None), ("b", at(10))], "o string, gone timestamp")
-    stream = feed(spark, "own", [[("a", at(99)), ("b", at(5))], [("b", at(11)), ("z", at(1)), (None, at(1))]], "o string, ts timestamp")
+    batches = [[("a", at(99)), ("b", at(5))], [("b", at(11)), ("z", at(1)), (None, at(1))]]
+    stream = feed(spark, "own", batches, "o string, ts timestamp")
     out = st.drain(st.split_rejected(stream, owners, "o", "ts", "gone"), "rej")
     assert rows(out.where("accepted").select("o")) == [("a",), ("b",)] and out.where("NOT accepted").count() == 3
