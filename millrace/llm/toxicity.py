@@ -1,7 +1,7 @@
 """Toxicity severity by cumulative-link ordinal regression over sparse features (words and beginnings of words).
 
 P(grade >= k) = sigmoid(w.x - t_k), with one weight vector shared by all thresholds t_1 < t_2.  ``labels.toxic`` only
-says yes or no, so the grades to learn are 0 (not toxic), and 1 or 2 for toxic rows whose share of features typical of
+says yes or no, so the grades to learn are 0 (not toxic), and 1 or 2 for toxic rows whose amount of features typical of
 toxic rows lies below or above its median.  The expected severity is the sum of P(grade >= k).
 
 Defined cases: null text counts as empty; a text without known words gets the base probabilities; repeated rows get
@@ -147,17 +147,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
             for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"], strict=True):
                 counts = words(text)
                 found = sorted(known_features(counts, place, memory).items())
-                density = sum(n for f, n in found if f in typical) / max(1, sum(counts.values()))
-                out.append((doc_id, label, density, [place[f] for f, _ in found], [1.0 + float(np.log(n)) for _, n in found]))
-            yield pd.DataFrame(out, columns=["doc_id", "label", "density", "at", "value"])
+                strength = float(sum(1.0 + np.log(n) for f, n in found if f in typical))
+                out.append((doc_id, label, strength, [place[f] for f, _ in found], [1.0 + float(np.log(n)) for _, n in found]))
+            yield pd.DataFrame(out, columns=["doc_id", "label", "strength", "at", "value"])
 
     if not place:
         return Model({}, np.array([30.0] * (GRADES - 1)))
-    kind = "doc_id long, label int, density double, at array<int>, value array<double>"
-    found = sample.mapInPandas(sparse, kind).toPandas().sort_values(["doc_id", "label", "density"], kind="stable")
+    kind = "doc_id long, label int, strength double, at array<int>, value array<double>"
+    found = sample.mapInPandas(sparse, kind).toPandas().sort_values(["doc_id", "label", "strength"], kind="stable")
     toxic = found["label"].to_numpy() > 0
-    density = found["density"].to_numpy()
-    grade = np.where(toxic, np.where(density > np.median(density[toxic]), 2, 1), 0)
+    strength = found["strength"].to_numpy()
+    grade = np.where(toxic, np.where(strength > np.median(strength[toxic]), 2, 1), 0)
     row = np.repeat(np.arange(len(found)), found["at"].map(len))
     weights, thresholds = fit_ordinal(
         row, np.concatenate(found["at"].to_numpy()).astype(int), np.concatenate(found["value"].to_numpy()), grade, len(place)
