@@ -1,6 +1,6 @@
 """Operators for preparing training data.  Importing the subpackage fills ``QUERIES`` and ``ORACLES``."""
 from millrace.llm import (  # noqa: F401  each module adds its query
-    bpe, quality_gam, simhash, toxicity,
+    bpe, decontaminate, quality_gam, robust_rules, simhash, toxicity,
 )
 from millrace.llm.common import ORACLES, QUERIES
 
