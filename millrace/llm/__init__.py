@@ -1,6 +1,7 @@
 """Operators for preparing training data.  Importing the subpackage fills ``QUERIES`` and ``ORACLES``."""
 from millrace.llm import (  # noqa: F401  each module adds its query
-    bpe, decontaminate, identifiers, licences, line_dedup, quality_gam, robust_rules, simhash, toxicity,
+    bpe, decontaminate, identifiers, licences, line_dedup, quality_gam, repeats, robust_rules, simhash,
+    toxicity,
 )
 from millrace.llm.common import ORACLES, QUERIES
 
