@@ -12,8 +12,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Rows of whole texts that one Arrow batch may hold; bounds the memory of a Python worker.
-BATCH_ROWS = 1000
+# What one Arrow batch may hold; bounds the memory of a Python worker whatever the length of texts.
+BATCH_ROWS, BATCH_BYTES = 50_000, 8 << 20
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -30,11 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Let no Arrow batch of this session hold more than ``rows`` rows (whole texts can be long)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+def bound_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches by size: many narrow rows to a batch, few long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
