@@ -100,18 +100,23 @@ def name_substrings(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.
     coded = text.astype(np.uint64) * np.uint64(2) + small
     coded = np.concatenate([coded, np.zeros(8, np.uint64)])
     length = np.append(lms[1:] - lms[:-1] + 1, 1)
-    names, done, left = np.zeros(len(lms), np.int64), 0, np.ones(len(lms), bool)
-    while left.any():
-        key = np.zeros(len(lms), np.uint64)
-        at = np.flatnonzero(left)
+    # A name is the number of substrings known to be smaller; only those not read to their end are sorted again.
+    names, done, at = np.zeros(len(lms), np.int64), 0, np.arange(len(lms))
+    while len(at):
+        key = np.zeros(len(at), np.uint64)
         for k in range(6):
             inside = length[at] > done + k
             value = np.where(inside, coded[np.minimum(lms[at] + done + k, len(coded) - 1)] + np.uint64(1), np.uint64(0))
-            key[at] = key[at] * np.uint64(1024) + value
-        _, part = np.unique(key, return_inverse=True)
-        _, names = np.unique(names * (len(lms) + 1) + part, return_inverse=True)
+            key = key * np.uint64(1024) + value
+        order = np.lexsort((key, names[at]))
+        key, old = key[order], names[at[order]]
+        new_name = np.append(True, old[1:] != old[:-1])
+        new_key = new_name | np.append(True, key[1:] != key[:-1])
+        place = np.arange(len(at))
+        head = np.maximum.accumulate(np.where(new_key, place, 0)) - np.maximum.accumulate(np.where(new_name, place, 0))
+        names[at[order]] = old + head
         done += 6
-        left = length > done
+        at = at[length[at] > done]
     return names
 
 
