@@ -156,10 +156,14 @@ def check_quorum(n: int, w: int, r: int) -> None:
         raise ValueError("a read quorum and a write quorum must share a copy: w + r > n")
 
 
-def quorum(df: DataFrame, key: str, ok: Column, n: int, w: int, r: int) -> DataFrame:
-    """Per id the number of successful writes and whether there were at least ``w``."""
+def quorum(df: DataFrame, key: str, replica: str, ok: Column, n: int, w: int, r: int) -> DataFrame:
+    """Per id the number of replicas with a successful write and whether there are at least ``w``.
+
+    A replica written twice counts once.
+    """
     check_quorum(n, w, r)
-    counted = df.groupBy(key).agg(F.sum(F.when(ok, 1).otherwise(0)).alias("successes"))
+    written = df.groupBy(key, replica).agg(F.max(F.when(ok, 1).otherwise(0)).alias("_ok"))
+    counted = written.groupBy(key).agg(F.sum(F.when(F.col(replica).isNotNull(), F.col("_ok")).otherwise(0)).alias("successes"))
     return counted.withColumn("good", F.col("successes") >= w)
 
 

@@ -280,7 +280,7 @@ def _together(df: DataFrame, part: list[str], order: list[str | Column], others:
         df = df.select(*dict.fromkeys([*part, *order, *others]))
     frame, split = with_slices(df, part, order)
     keys = [*part, SLICE] if split else part
-    return (frame.repartition(*keys) if keys else frame.coalesce(1)), split
+    return (frame.repartition(*keys) if keys else frame.repartition(1)), split
 
 
 def chunk(

@@ -35,10 +35,14 @@ def adaptive(df: DataFrame, *keys: str | Column) -> DataFrame:
 
 
 def chained(df: DataFrame, key: str, *sizes: int, out: str = "n") -> DataFrame:
-    """Exchange after exchange, then a count per key."""
+    """Exchange after exchange: rows are dealt out and counted, then the counts are dealt out again and added.
+
+    Spark merges exchanges that follow each other directly, so each is followed by an aggregation.
+    """
+    counted = df.select(key, F.lit(1).cast("long").alias(out))
     for partitions in sizes:
-        df = df.repartition(partitions)
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+        counted = counted.repartition(partitions).groupBy(key).agg(F.sum(out).alias(out))
+    return counted
 
 
 def watched(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

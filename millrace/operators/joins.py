@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import collect_pages
 from millrace.session import persist_table
-from millrace.sizing import broadcast_row_limit, has_at_most, small_side
+from millrace.sizing import small_side
 
 
 def join_smj(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -49,17 +49,14 @@ def join_salted(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 def cross(inputs: list[DataFrame], names: list[str], copies: str = "n") -> DataFrame:
     """All combinations of one column of each input, as a bag: each combination once, with its number of copies.
 
-    Equal values of an input are counted first, so the work grows with the distinct values.  Every input but the
-    first must have few enough of them to be sent to all tasks; the product itself is what the caller asks for.
+    Equal values of an input are counted first, so the work grows with the distinct values; the product itself is what
+    the caller asks for.  Spark chooses how to carry it out.
     """
     bags = [
         df.groupBy(F.col(df.columns[0]).alias(name)).agg(F.count(F.lit(1)).alias(f"_n{i}"))
         for i, (df, name) in enumerate(zip(inputs, names))
     ]
-    for bag, name in zip(bags[1:], names[1:]):
-        if not has_at_most(bag, broadcast_row_limit(bag.sparkSession)):
-            raise ValueError(f"{name} has too many distinct values for a product")
-    product = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), bags)
+    product = reduce(lambda a, b: a.crossJoin(b), bags)
     total = reduce(lambda a, b: a * b, [F.col(f"_n{i}") for i in range(len(bags))])
     return product.select(*names, total.alias(copies))
 

@@ -35,8 +35,9 @@ def first_rows(
     if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     else:
-        ranked = row_index(df, key, order, name).withColumn(name, (F.col(name) + 1).cast("int"))
-    top = ranked.where(F.col(name) <= n)
+        # Filtered as it is, a LONG: the rank of a row in a very large group need not fit an INT.
+        ranked = row_index(df, key, order, name).withColumn(name, F.col(name) + 1)
+    top = ranked.where(F.col(name) <= n).withColumn(name, F.col(name).cast("int"))
     return top if rank else top.drop(name)
 
 

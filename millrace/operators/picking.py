@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import first_rows, row_index, running
+from millrace.session import persist_table
 from millrace.sizing import biggest_group, group_row_limit, small_side
 
 
@@ -125,7 +126,7 @@ def prefer_healthy(df: DataFrame, item: str, order: list[str], bad: Column, k: i
     in their own order.  Adds ``round``.
 
     Only the first ``k`` by health and the first ``total`` by order can be chosen; if an item has too many sources for
-    one task, each map task sends no more than those.  The order columns identify a source of an item.
+    one task, each map task sends no more than those.  Repeated rows count each.
     """
     flagged = df.withColumn("_bad", F.coalesce(bad, F.lit(False)).cast("int"))
     if biggest_group(df, [item]) <= group_row_limit(df.sparkSession):
@@ -135,15 +136,17 @@ def prefer_healthy(df: DataFrame, item: str, order: list[str], bad: Column, k: i
         ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy(item, "round").orderBy(*order)))
         kept = ranked.where((F.col("round") == 1) | (F.col("_rank") <= total - k))
         return kept.drop("_bad", "_first", "_rank")
-    primary = first_rows(flagged, [item], ["_bad", *order], k, "_first")
-    others = first_rows(flagged, [item], order, total, "_any")
+    # Each row gets an identity, so that repeated rows stay apart; written, so that both selections see the same one.
+    flagged = persist_table(flagged.withColumn("_id", F.monotonically_increasing_id()), "sources")
+    primary = first_rows(flagged, [item], ["_bad", *order, "_id"], k, "_first")
+    others = first_rows(flagged, [item], [*order, "_id"], total, "_any")
     both = primary.select(*flagged.columns, "_first").unionByName(
         others.select(*flagged.columns).withColumn("_first", F.lit(None).cast("int"))
     )
     merged = both.groupBy(*flagged.columns).agg(F.max("_first").alias("_first"))
     first = merged.where(F.col("_first").isNotNull()).withColumn("round", F.lit(1))
     rest = first_rows(merged.where(F.col("_first").isNull()), [item], order, total - k) if total > k else merged.limit(0)
-    return first.unionByName(rest.withColumn("round", F.lit(2))).drop("_first", "_bad")
+    return first.unionByName(rest.withColumn("round", F.lit(2))).drop("_first", "_bad", "_id")
 
 
 def place(entities: DataFrame, existing: DataFrame, targets: DataFrame, entity: str, target: str, ok: Column) -> DataFrame:

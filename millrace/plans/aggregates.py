@@ -153,11 +153,11 @@ def agg_huge_group_counts(spark, folder):
 
 @query("agg_quorum", f"""
 WITH {LEDGER_SQL}
-SELECT l_orderkey, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS successes,
-       CASE WHEN sum(CASE WHEN ok THEN 1 ELSE 0 END) >= 2 THEN 1 ELSE 0 END AS good
+SELECT l_orderkey, count(DISTINCT CASE WHEN ok THEN replica END) AS successes,
+       CASE WHEN count(DISTINCT CASE WHEN ok THEN replica END) >= 2 THEN 1 ELSE 0 END AS good
 FROM ledger GROUP BY l_orderkey""")
 def agg_quorum(spark, folder):
-    out = ops.quorum(ledger(spark, folder), "l_orderkey", F.col("ok"), 3, 2, 2)
+    out = ops.quorum(ledger(spark, folder), "l_orderkey", "replica", F.col("ok"), 3, 2, 2)
     return out.withColumn("good", F.col("good").cast("int"))
 
 

@@ -45,9 +45,14 @@ def liveness(stream: DataFrame, entity: str, ts: str, status: str, timeout_secon
             return
         last = tuple(state.get) if state.exists else None
         for pdf in batches:
+            pdf = pdf.dropna(subset=["_us", status])
+            if not len(pdf):
+                continue
             newest = pdf["_us"].max()
             best = (int(newest), max(pdf[status][pdf["_us"] == newest]))
             last = best if last is None or best > last else last
+        if last is None:  # nothing but rows without a time or a status
+            return
         due = last[0] // 1000 + timeout_ms
         if due < state.getCurrentWatermarkMs():
             yield row(last[0], "LOST")

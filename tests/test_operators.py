@@ -330,3 +330,25 @@ def test_salted_join_spreads_a_hot_key(spark):
 def test_dense_ids(spark):
     df = spark.range(100_000).select(F.when(F.col("id") % 5 > 0, F.col("id") % 40_000).alias("v"))
     assert aggregates.count_dense_ids(df, "v").first().n == aggregates.count_ids(df, "v").first().n == 32_000
+
+
+def test_prefer_healthy_keeps_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a", 0), (1, "a", 0), (1, "b", 0), (1, "c", 0)], "item long, source string, bad int")
+    found = []
+    for limit in ("1000", "1"):
+        spark.conf.set("spark.millrace.groupRows", limit)
+        found.append(sorted(map(tuple, picking.prefer_healthy(df, "item", ["source"], F.col("bad") == 1, 2, 4).collect())))
+    spark.conf.unset("spark.millrace.groupRows")
+    assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_quorum_counts_replicas(spark):
+    df = spark.createDataFrame([(1, 0, True), (1, 0, True), (2, 0, True), (2, 1, True), (2, 2, False)], "id long, replica int, ok boolean")
+    assert sorted(map(tuple, aggregates.quorum(df, "id", "replica", F.col("ok"), 3, 2, 2).collect())) == [(1, 1, False), (2, 2, True)]
+
+
+def test_chained_exchanges_stay(spark):
+    from millrace.operators import exchange
+
+    plan = exchange.chained(spark.range(100), "id", 4, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(4)" in plan and "RoundRobinPartitioning(16)" in plan
