@@ -247,7 +247,7 @@ def test_empty_inputs(spark):
         placement.round_robin(empty, order, 3), placement.contiguous(empty, order, 3, 2, 5), sorts.largest(empty, "v", 3),
         sets.diff(empty, empty), audit.audit_complete(empty, empty, "g", "k"), audit.retry_flags(empty, "g", "k", "v", 2),
         joins.join_salted(empty, empty.select("k", F.col("v").alias("w")), "k"), joins.missing(empty, empty, "k"),
-        joins.cogroup_n([empty, empty], "k", "v"), aggregates.quorum(empty, "k", F.col("ok"), 3, 2, 2),
+        joins.cogroup_n([empty, empty], "k", "v"), aggregates.quorum(empty, "k", "v", F.col("ok"), 3, 2, 2),
         ordered.switch_state(empty, ["g"], order, F.col("v"), 9, 3), aggregates.read_stats(empty, "g", F.col("ok"), F.col("v"), F.col("v")),
     ]
     assert [o.count() for o in outs] == [0] * len(outs)
