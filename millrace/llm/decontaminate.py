@@ -20,6 +20,8 @@ from millrace.sizing import broadcast_row_limit, has_at_most
 WINDOW = 13
 # Share of a document's words that must be hit: 1 of 20.
 SHARE = 20
+# Words of a text that travel together to the prefix join.
+BLOCK = 24
 # Words of a text before its ASCII capitals are lowered (the same words, as capitals only change case).
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,24 +52,43 @@ def rarest(docs: DataFrame, wins: DataFrame) -> DataFrame:
     return ranked.join(wins, "window").select(F.col("best.token").alias("token"), F.col("best.ahead").alias("ahead"), "window", "length", "items")
 
 
+def nearby(marked: DataFrame) -> DataFrame:
+    """(row, doc_id, n_words, at, token, near, place): each word and the mark, with the words around it; ``place`` is its index there.
+
+    A row of a long text must not carry all its words: texts are cut into blocks of BLOCK words, each with the WINDOW - 1
+    words before and after it, which is as far as a window through a word of the block can reach.
+    """
+    reach = WINDOW - 1
+    first = F.sequence(F.lit(0), F.col("n_words"), F.lit(BLOCK))
+    blocks = F.transform(first, lambda i: F.struct(
+        i.alias("first"), F.least(i, F.lit(reach)).alias("skip"),
+        F.slice("w", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + BLOCK + reach).alias("near"),
+    ))
+    cut = marked.select("row", "doc_id", "n_words", F.explode(blocks).alias("b")).select("row", "doc_id", "n_words", "b.first", "b.skip", "b.near")
+    own = F.slice("near", F.col("skip") + 1, F.lit(BLOCK))
+    last = F.when(F.col("first") + BLOCK > F.col("n_words"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    spots = cut.select("row", "doc_id", "n_words", "first", "skip", "near", F.posexplode(F.concat(own, last)).alias("i", "token"))
+    return spots.select("row", "doc_id", "n_words", (F.col("first") + F.col("i")).alias("at"), "token", "near", (F.col("skip") + F.col("i")).alias("place"))
+
+
 def hits(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(row, doc_id, n_words, spans, items) for each document: its verified occurrences (start, length) and their items.
 
     One pass: a mark after the last word, never equal to a word, keeps documents without any hit in the result.
     """
     limit = broadcast_row_limit(docs.sparkSession)
-    marked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
+    marked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w")).withColumn("n_words", F.size("w"))
     mark = prefixes.sparkSession.range(1).select(
         F.lit("").alias("token"), F.lit(0).alias("ahead"), F.lit(None).cast("array<string>").alias("window"),
         F.lit(0).alias("length"), F.lit(None).cast(prefixes.schema["items"].dataType).alias("items"),
     )
     side = prefixes.unionByName(mark)
     start = F.col("at") - F.col("ahead")
-    fits = (start >= 0) & (start + F.col("length") <= F.size("w"))
+    fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
     exact = F.slice("w", start + 1, F.col("length")) == F.col("window")
     if has_at_most(prefixes, limit):
-        spots = marked.select("row", "doc_id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("at", "token"))
-        found = spots.join(F.broadcast(side), "token").where(F.col("window").isNull() | (fits & exact))
+        around = nearby(marked)
+        found = around.join(F.broadcast(side), "token").where(F.col("window").isNull() | (fits & (F.slice("near", F.col("place") - F.col("ahead") + 1, F.col("length")) == F.col("window"))))
     else:
         # Too many windows to copy: narrow words are joined by shuffle, and only candidates meet their text again.
         marked = persist_table(marked, "words")
@@ -75,7 +96,7 @@ def hits(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
         near = spots.join(side, "token").where(F.col("window").isNull() | (start >= 0))
         found = near.join(marked, "row").where(F.col("window").isNull() | (fits & exact))
     kept = found.select(
-        "row", "doc_id", F.size("w").alias("n_words"), "items",
+        "row", "doc_id", "n_words", "items",
         F.when(F.col("window").isNotNull(), F.struct(start.alias("start"), "length")).alias("span"),
     )
     return kept.groupBy("row").agg(
