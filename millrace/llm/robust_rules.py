@@ -29,18 +29,18 @@ CUTOFF = 200.0
 # Distances are counted in steps of 1 part in 32 to find the nearest rows without sorting.
 FINENESS = 32
 
-SOLID = r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source and the base counts of each row."""
     text = F.coalesce("text", F.lit(""))
-    w = docs.select("doc_id", "lang", "source", text.alias("text")).withColumn("w", F.regexp_extract_all("text", F.lit(SOLID), F.lit(0)))
+    w = docs.select("doc_id", "lang", "source", text.alias("text")).withColumn("w", F.array_remove(F.split("text", BLANKS, -1), ""))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hashed = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.xxhash64(F.get("w", i - 1), F.get("w", i), F.get("w", i + 1)))
     counted = w.select(
         "doc_id", "lang", "source", F.size("w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("text", BLANKS, "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"), lines.alias("lines"),
         F.when(F.size("w") >= 3, hashed).otherwise(F.array().cast("array<bigint>")).alias("triples"),
     )
