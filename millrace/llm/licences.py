@@ -51,7 +51,7 @@ TEMPLATES = [
 
 def pairs(text: Column) -> Column:
     """The word pairs of a paragraph, in order; a single word makes one entry alone."""
-    w = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}0-9]+"), F.lit(0))
+    w = F.array_remove(F.split(F.lower(text), r"[^\p{L}0-9]+", -1), "")
     return F.transform(F.array(w), lambda x: F.when(F.size(x) > 1, F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(x))[0]
 
 
