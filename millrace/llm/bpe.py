@@ -295,7 +295,10 @@ def frequent_words(docs: DataFrame, limit: int, text: str = "text") -> list[str]
 
 @dataclass
 class Tokenizer:
-    """What tasks need: the vocabulary (of fixed size) as a broadcast, and the name of the lexicon's file."""
+    """What tasks need: the vocabulary's fields (of fixed size) as a broadcast, and the name of the lexicon's file.
+
+    Plain fields, because executors need not have this package, which a broadcast object of its class would ask for.
+    """
 
     vocabulary: object
     file: str
@@ -305,7 +308,7 @@ class Tokenizer:
         kept = globals().setdefault("_encoders", {})
         if self.file not in kept:
             kept.clear()
-            kept[self.file] = Encoder(self.vocabulary.value, Lexicon(SparkFiles.get(self.file)))
+            kept[self.file] = Encoder(Vocabulary(*self.vocabulary.value), Lexicon(SparkFiles.get(self.file)))
         return kept[self.file]
 
 
@@ -322,7 +325,8 @@ def build(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text: str = "t
     file.write(bytearray(Lexicon.dump([w.encode() for w in found], vocabulary)))
     file.close()
     spark.sparkContext.addFile(path)  # Spark fetches it once for each executor, new ones too
-    return Tokenizer(spark.sparkContext.broadcast(vocabulary), name)
+    fields = (vocabulary.of_byte, vocabulary.tokens, vocabulary.merges, vocabulary.added)
+    return Tokenizer(spark.sparkContext.broadcast(fields), name)
 
 
 def encode_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text") -> Column:
