@@ -32,6 +32,8 @@ ship_with_tasks(__name__)
 
 # Words compiled into the lexicon.  Any number gives the same tokens.
 LEXICON_WORDS = 32_768
+# A word is compiled only if it occurs once in so many characters; bounds what tasks send to find the most frequent.
+RAREST = 20_000_000
 # Segments whose tokens a Python worker remembers before it starts afresh.
 REMEMBERED = 300_000
 
@@ -288,8 +290,10 @@ class Encoder:
 
 def frequent_words(docs: DataFrame, limit: int, text: str = "text") -> list[str]:
     """The most frequent space-separated words of all texts, without end punctuation; counted where they stand."""
+    # Without this each task of the count would send ``limit`` words; at most a few million can pass, whatever the corpus.
+    least = (docs.agg(F.sum(F.length(text))).first()[0] or 0) // RAREST
     words = docs.select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), " ")).alias("word"))
-    counted = words.select(F.rtrim("word", F.lit(".,;:!?")).alias("word")).where("length(word) between 1 and 64").groupBy("word").count()
+    counted = words.select(F.rtrim("word", F.lit(".,;:!?")).alias("word")).where("length(word) between 1 and 64").groupBy("word").count().where(F.col("count") > least)
     return [r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(limit).select("word").collect()]
 
 
