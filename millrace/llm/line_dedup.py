@@ -28,14 +28,18 @@ ship_with_tasks(__name__)
 SHINGLE, SIMILARITY, BANDS, ROWS = 8, 0.8, 14, 5
 # Class names (8 bytes each) that may be copied to every executor.
 NAMES = 1_000_000
+# Characters of lines whose shingles a comparison remembers.
+REMEMBERED = 500_000
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, same, line, cid, norm): each line with a word; ``same`` tells texts of one doc_id apart."""
     text = F.coalesce("text", F.lit(""))
-    cut = docs.select("doc_id", F.xxhash64(text).alias("same"), F.posexplode(F.split(text, "\n", -1)).alias("line", "raw"))
-    norm = F.lower(F.trim(F.regexp_replace("raw", r"\s+", " ")))
-    return cut.select("doc_id", "same", "line", norm.alias("norm")).where("norm != ''").withColumn("cid", F.xxhash64("norm"))
+    # The list is never empty; the plain form of explode would split once more in a filter.
+    cut = docs.select("doc_id", F.xxhash64(text).alias("same"), F.posexplode_outer(F.split(text, "\n", -1)).alias("line", "raw"))
+    # Only white space that is not already one space is replaced.
+    norm = F.lower(F.trim(F.regexp_replace("raw", r"\s{2,}|[^\S ]", " ")))
+    return cut.where(F.col("raw").rlike(r"\S")).select("doc_id", "same", "line", norm.alias("norm")).withColumn("cid", F.xxhash64("norm"))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -53,18 +57,21 @@ def band_hashes(texts: list[str]) -> np.ndarray:
     start = np.cumsum(length) - length
     rolled = np.zeros(len(chars) - SHINGLE + 1, np.uint64)
     for k in range(SHINGLE):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + chars[k:len(rolled) + k]
-    rolled = _mix(rolled)
+        rolled *= np.uint64(0x9E3779B97F4A7C15)
+        rolled += chars[k:len(rolled) + k]
     inside = np.ones(len(rolled), bool)
     ends = start + length
     for k in range(1, SHINGLE):
         inside[(ends - k)[ends - k < len(rolled)]] = False
     starts = np.concatenate([[0], np.cumsum(length - SHINGLE + 1)[:-1]])
-    rolled = rolled[inside]
+    # 32 bits each: numpy multiplies and compares them several at a time.  Chance agreements only add pairs to compare.
+    short = (_mix(rolled[inside]) >> np.uint64(32)).astype(np.uint32)
+    turned = np.empty_like(short)
     out = np.zeros((len(texts), BANDS), np.uint64)
-    odd = _mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+    odd = _mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
     for k in range(BANDS * ROWS):
-        least = np.minimum.reduceat((rolled * odd[k]) >> np.uint64(32), starts)
+        np.multiply(short, odd[k], out=turned)
+        least = np.minimum.reduceat(turned, starts).astype(np.uint64)
         band = k // ROWS
         out[:, band] = _mix(out[:, band] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(band + 1))
     return out
@@ -79,52 +86,70 @@ def buckets(lines: DataFrame) -> DataFrame:
     def signed(batches):
         for batch in batches:
             once = batch.drop_duplicates("cid")
-            parts = [once.iloc[i:i + 200] for i in range(0, len(once), 200)]
-            for part in parts:
-                found = band_hashes(list(part["norm"]))
-                yield pd.DataFrame({"band": found.view(np.int64).ravel(), "cid": np.repeat(part["cid"].to_numpy(), BANDS)})
+            if len(once):
+                norm = once["norm"].tolist()
+                found = np.concatenate([band_hashes(norm[i:i + 200]) for i in range(0, len(norm), 200)])
+                yield pd.DataFrame({"band": found.view(np.int64).ravel(), "cid": np.repeat(once["cid"].to_numpy(), BANDS)})
 
     def shared(batches):
         held = None
         for batch in batches:
-            if held is not None:
-                batch = pd.concat([held, batch], ignore_index=True)
             if not len(batch):
                 continue
-            runs = batch.groupby(["band", "cid"], sort=False).size().reset_index(name="seen") if "seen" not in batch else (
-                batch.fillna({"seen": 1}).groupby(["band", "cid"], sort=False, as_index=False)["seen"].sum())
+            # Rows are sorted, so equal ones are neighbours.
+            band, cid = batch["band"].to_numpy(), batch["cid"].to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], (band[1:] != band[:-1]) | (cid[1:] != cid[:-1])]))
+            seen = np.diff(np.append(first, len(band)))
+            band, cid = band[first], cid[first]
+            if held is not None:
+                if held[:2] == (band[0], cid[0]):
+                    seen[0] += held[2]
+                else:
+                    band, cid, seen = (np.concatenate([[x], xs]) for x, xs in zip(held, (band, cid, seen), strict=False))
             # A class is written as soon as another class of its band is known; the last class waits for what follows.
-            band, after = runs["band"].to_numpy(), np.zeros(len(runs), bool)
-            after[1:] = band[1:] == band[:-1]
-            first_known = bool(held is not None and held["shared"].iloc[0] and band[0] == held["band"].iloc[0])
-            same = after.copy()
-            same[:-1] |= after[1:]
-            same[0] |= first_known
-            held = runs.iloc[-1:].assign(shared=bool(same[-1]))
-            done = runs[:-1][same[:-1]]
-            if len(done):
-                yield done.astype({"seen": "int64"})[["band", "cid", "seen"]]
-        if held is not None and held["shared"].iloc[0]:
-            yield held.astype({"seen": "int64"})[["band", "cid", "seen"]]
+            same = np.zeros(len(band), bool)
+            same[1:] = band[1:] == band[:-1]
+            same[:-1] |= same[1:]
+            same[0] |= held is not None and held[3]
+            held = (band[-1], cid[-1], seen[-1], bool(same[-1]))
+            done = same[:-1]
+            if done.any():
+                yield pd.DataFrame({"band": band[:-1][done], "cid": cid[:-1][done], "seen": seen[:-1][done]})
+        if held is not None and held[3]:
+            yield pd.DataFrame({"band": [held[0]], "cid": [held[1]], "seen": [held[2]]})
 
     rows = lines.select("cid", "norm").mapInPandas(signed, "band long, cid long")
     spread = rows.repartition("band").sortWithinPartitions("band", "cid")
     return spread.mapInPandas(shared, "band long, cid long, seen long")
 
 
-def jaccard(a: str, b: str) -> float:
-    """Similarity of the sets of character shingles."""
-    x = {a[i:i + SHINGLE] for i in range(max(1, len(a) - SHINGLE + 1))}
-    y = {b[i:i + SHINGLE] for i in range(max(1, len(b) - SHINGLE + 1))}
-    both = len(x & y)
-    return both / (len(x) + len(y) - both)
+def shingles(text: str) -> set[str]:
+    return {text[i:i + SHINGLE] for i in range(max(1, len(text) - SHINGLE + 1))}
+
+
+def alike(left: list[str], right: list[str]) -> list[bool]:
+    """Whether the sets of character shingles of each pair have at least SIMILARITY (Jaccard)."""
+    out, sets, held = [], {}, 0
+    for pair in zip(left, right, strict=True):
+        for text in pair:
+            if text not in sets:
+                if held > REMEMBERED:
+                    sets, held = {}, 0
+                sets[text] = shingles(text)
+                held += len(text)
+        x, y = (sets[t] if t in sets else shingles(t) for t in pair)
+        most, all_ = min(len(x), len(y)), len(x) + len(y)
+        # Sets of too different sizes need no comparison.
+        both = len(x & y) if most / (all_ - most) >= SIMILARITY else 0
+        out.append(both / (all_ - both) >= SIMILARITY)
+    return out
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose lines have at least SIMILARITY."""
     @F.pandas_udf("boolean")
     def close(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y) >= SIMILARITY for x, y in zip(left, right, strict=True)])
+        return pd.Series(alike(left.tolist(), right.tolist()), dtype=bool)
 
     left = texts.select(F.col("cid").alias("a"), F.col("norm").alias("left"))
     right = texts.select(F.col("cid").alias("b"), F.col("norm").alias("right"))
@@ -166,7 +191,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     near = persist_table(line_components(lines), "components")
     # doc_id and line in one number, which Spark combines in place; null ids come first.
     place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(38,0)")) * F.lit(str(2**31)).cast("decimal(12,0)") + F.col("line")
-    placed = lines.select("doc_id", "same", "line", "cid", place.cast("decimal(38,0)").alias("place"))
+    placed = persist_table(lines.select("doc_id", "same", "line", "cid"), "lines").withColumn("place", place.cast("decimal(38,0)"))
     classes = placed.groupBy("cid").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     grouped = persist_table(classes.join(near, F.col("cid") == F.col("id"), "left").where("n > 1 or component is not null").select(
         "cid", F.coalesce("component", "cid").alias("component"), "place"), "grouped")
