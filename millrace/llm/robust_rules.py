@@ -23,9 +23,11 @@ SCALE = 1000
 RETAINED, STEPS, SMALLEST = 0.75, 4, 50
 # Standard deviations that a coordinate has at least (scaled), so that a constant coordinate does not reject all others.
 FLOORS = (250.0, 350.0, 60.0, 120.0)
-# Squared distance above which a row is rejected.  The 0.99999 quantile of chi-square with 4 degrees is 28.5; statistics of
-# texts have longer tails, and the limit leaves ordinary texts a wide margin.
-CUTOFF = 200.0
+# Squared distance above which a row is rejected: the 0.99999 quantile of chi-square with 4 degrees of freedom.
+CUTOFF = 28.473
+# The nearest RETAINED rows spread less than all: their covariance times this is that of all rows, if those are normal.
+# It is RETAINED over the chi-square probability, with 6 degrees, of the RETAINED quantile with 4 degrees (5.385).
+CONSISTENCY = 1.486
 # Distances are counted in steps of 1 part in 32 to find the nearest rows without sorting.
 FINENESS = 32
 
@@ -97,7 +99,7 @@ def _moments(rows: DataFrame) -> DataFrame:
     for i in range(d):
         for j in range(i + 1):
             value = F.col(f"p{i}{j}").cast("double") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
-            value = value + F.lit(FLOORS[i] ** 2 if i == j else 0.0)
+            value = F.greatest(CONSISTENCY * value, F.lit(FLOORS[i] ** 2)) if i == j else CONSISTENCY * value
             for k in range(j):
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(value, F.lit(1e-6))) if i == j else value / F.col(f"l{j}{j}"))

@@ -234,3 +234,17 @@ def test_pipeline(spark):
     rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, FOLDER).collect()}
     assert set(rows) == {r["doc_id"] for r in kept.collect()}
     assert all(rows[r["doc_id"]]["decoded_sha256"] == brute.sha(r["text"]) for r in kept.collect())
+
+
+def test_rules_reject_moderate_outliers(spark):
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return ["".join(rng.choice(list("abcdefgh"), int(rng.integers(2, 9)))) for _ in range(n)]
+
+    rows = [(i, " ".join(prose(int(rng.integers(80, 200)))), "en", "s") for i in range(200)]
+    rows.append((500, " ".join(w + "#" * (i % 10 == 0) for i, w in enumerate(prose(120))), "en", "s"))  # 10 symbols per 100 words
+    rows.append((501, " ".join([*prose(72), *(["one", "more", "time"] * 16)]), "en", "s"))  # 40 of 100 words in repeated triples
+    rows.append((502, " ".join(prose(4000)), "en", "s"))  # 30 times too long
+    kept = {r["doc_id"]: r["kept"] for r in robust_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert sorted(i for i, good in kept.items() if not good) == [500, 501, 502]
