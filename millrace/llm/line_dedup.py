@@ -153,11 +153,8 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = texts.select(F.col("cid").alias("a"), F.col("norm").alias("left"))
     right = texts.select(F.col("cid").alias("b"), F.col("norm").alias("right"))
-    # A pair of which one line is much longer cannot be similar.
-    longer = F.greatest(F.length("left"), F.length("right")) - SHINGLE + 1
-    shorter = F.least(F.length("left"), F.length("right"))
-    met = pairs.join(left, "a").join(right, "b").where(shorter >= SIMILARITY * longer * 0.5)
-    return met.where(close("left", "right")).select("a", "b")
+    # Lengths tell nothing: a line of repeated shingles has few different ones however long it is.
+    return pairs.join(left, "a").join(right, "b").where(close("left", "right")).select("a", "b")
 
 
 def line_components(lines: DataFrame) -> DataFrame:

@@ -248,3 +248,10 @@ def test_rules_reject_moderate_outliers(spark):
     rows.append((502, " ".join(prose(4000)), "en", "s"))  # 30 times too long
     kept = {r["doc_id"]: r["kept"] for r in robust_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert sorted(i for i, good in kept.items() if not good) == [500, 501, 502]
+
+
+def test_lines_of_repeated_shingles_are_similar_at_any_length(spark):
+    texts = {1: "-" * 10, 2: "-" * 80, 3: "ha " * 4, 4: "ha " * 27}
+    out = line_dedup.dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    wanted = brute.removed_lines(texts)
+    assert {r["doc_id"]: r["__removed"] or [] for r in out} == wanted and wanted[2] == [0]
