@@ -82,7 +82,8 @@ def hits(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
     One pass: a mark after the last word, never equal to a word, keeps documents without any hit in the result.
     """
     limit = broadcast_row_limit(docs.sparkSession)
-    marked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w")).withColumn("n_words", F.size("w"))
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
+    marked = docs.select(row, "doc_id", words(F.col("text")).alias("w")).withColumn("n_words", F.size("w"))
     mark = prefixes.sparkSession.range(1).select(
         F.lit("").alias("token"), F.lit(0).alias("ahead"), F.lit(None).cast("array<string>").alias("window"),
         F.lit(0).alias("length"), F.lit(None).cast(prefixes.schema["items"].dataType).alias("items"),
@@ -121,7 +122,7 @@ def covered(spans: Column) -> Column:
 
 
 def judge(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(row, doc_id, n_words, n_hit, n_items, item_ids, contaminated) for each row of ``docs``."""
+    """(row, doc_id, n_words, n_hit, n_items, item_ids, contaminated) for each row of ``docs``, numbered by its column row if it has one."""
     prefixes = persist_table(rarest(docs, persist_table(windows(items), "windows")), "prefixes")
     found = hits(docs, prefixes).select(
         "row", "doc_id", F.col("n_words").cast("long").alias("n_words"), covered(F.col("spans")).alias("n_hit"),
@@ -134,9 +135,12 @@ def judge(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with their columns unchanged; ids must not be shared by different texts."""
-    bad = persist_table(judge(docs.select("doc_id", "text"), items).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct(), "bad")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """The rows that are not contaminated, with their columns unchanged; each row is judged by its own text, whatever its id."""
+    marked = persist_table(docs.withColumn("__row", F.monotonically_increasing_id()), "marked")
+    judged = judge(marked.select(F.col("__row").alias("row"), "doc_id", "text"), items)
+    bad = persist_table(judged.where("contaminated").select(F.col("row").alias("__row")), "bad")
+    return marked.join(bad, "__row", "left_anti").select(*docs.columns)
+
 
 
 SQL = r"""

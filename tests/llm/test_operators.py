@@ -255,3 +255,10 @@ def test_lines_of_repeated_shingles_are_similar_at_any_length(spark):
     out = line_dedup.dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     wanted = brute.removed_lines(texts)
     assert {r["doc_id"]: r["__removed"] or [] for r in out} == wanted and wanted[2] == [0]
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    rows = [(None, LONG, 1), (None, "some clean text", 2), (5, f"{LONG} and more", 3), (5, "another clean text", 4), (6, LONG, 5)]
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    kept = decontaminate.keep_clean(spark.createDataFrame(rows, "doc_id long, text string, n int"), items)
+    assert sorted(r["n"] for r in kept.collect()) == [2, 4]
