@@ -79,10 +79,14 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def classes(prints: DataFrame) -> DataFrame:
-    """(fp, component) for each fingerprint of ``prints`` (doc_id, fp): the smallest doc_id reachable over links."""
+    """(fp, node, component) for each fingerprint of ``prints`` (doc_id, fp): its group's smallest fingerprint and smallest doc_id.
+
+    Fingerprints are the nodes, so rows without doc_id link others too; a group of such rows alone has no component.
+    """
     once = persist_table(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "prints")
-    found = components(links(once.where("id is not null")))
-    return once.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component"))
+    found = components(links(once.select(F.col("fp").alias("id"), "fp"))).withColumnsRenamed({"id": "fp", "component": "node"})
+    grouped = persist_table(once.join(found, "fp", "left").select("fp", F.coalesce("node", "fp").alias("node"), "id"), "grouped")
+    return grouped.join(grouped.groupBy("node").agg(F.min("id").alias("component")), "node").select("fp", "node", "component")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -92,16 +96,17 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that name their component, all columns unchanged; of repeated rows with that id one stays.
+    """The document that names its component, all columns unchanged; of repeated rows with that id one stays.
 
-    Rows without doc_id cannot be compared by id and are kept if no other row has a near copy of their text.
+    Of a group that has no doc_id at all one row stays.
     """
     spark = docs.sparkSession
     marked = docs.withColumns({"__fp": fingerprint_column(spark), "__row": F.monotonically_increasing_id()})
     marked = persist_table(marked, "marked")
     groups = persist_table(classes(marked.select("doc_id", F.col("__fp").alias("fp"))), "classes")
-    named = marked.select("doc_id", "__row", "__fp").join(groups, F.col("__fp") == F.col("fp"))
-    chosen = named.where(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy("__fp", "doc_id").agg(F.min("__row").alias("__row"))
+    groups = groups.withColumnsRenamed({"fp": "__group_fp", "node": "__node", "component": "__component"})
+    named = marked.select("doc_id", "__row", "__fp").join(groups, F.col("__fp") == F.col("__group_fp"))
+    chosen = named.where(F.col("doc_id").eqNullSafe(F.col("__component"))).groupBy("__node").agg(F.min("__row").alias("__row"))
     return marked.join(chosen.select("__row"), "__row", "left_semi").select(*docs.columns)
 
 

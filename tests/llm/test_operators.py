@@ -262,3 +262,16 @@ def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
     items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
     kept = decontaminate.keep_clean(spark.createDataFrame(rows, "doc_id long, text string, n int"), items)
     assert sorted(r["n"] for r in kept.collect()) == [2, 4]
+
+
+def test_rows_without_id_link_others(spark):
+    prints = [(7, 0b0), (None, 0b11), (3, 0b1111), (None, 0xFF << 40), (None, 0x7F << 40), (9, 0x0FF0FF0FF)]
+    found = {r["fp"]: r["component"] for r in simhash.classes(spark.createDataFrame(prints, "doc_id long, fp long")).collect()}
+    assert found == {0: 3, 0b11: 3, 0b1111: 3, 0xFF << 40: None, 0x7F << 40: None, 0x0FF0FF0FF: 9}
+
+
+def test_keep_one_of_near_copies_without_id(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprint_column", lambda spark: F.col("text").cast("long"))
+    rows = [(None, "1"), (None, "3"), (None, "240"), (4, "241"), (4, "4080"), (4, "4081")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in kept} == {None, 4} and len(kept) == 3
