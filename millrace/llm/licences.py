@@ -2,7 +2,8 @@
 
 Multinomial logistic regression over sparse word n-grams tells licence families and an unknown class apart.  It learns
 from the templates, from paragraphs of a bounded sample that contain most of a template, and from other paragraphs of
-that sample as unknown.  The probability a family needs is calibrated on a part of the unknown paragraphs kept back.  A
+that sample as unknown; what lies between confirmed and learned is neither.  The probability a family needs is calibrated,
+family by family, on a part of the unknown paragraphs kept back.  A
 prediction counts only if the paragraph also shares enough word pairs with a template of that family.
 
 Defined cases: null text has no paragraphs; a paragraph is a line with a word; repeated rows get equal results.
@@ -24,6 +25,8 @@ SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS, VOCABULARY = 4_000, 20_000, 5_000
 # Share of a template's word pairs a paragraph must have: to be learned from, and to confirm a prediction.
 LEARNED, CONFIRMED = 0.8, 0.6
 LEAST_PROBABILITY = 0.5
+# Share of the unknown paragraphs kept back that a family's probability must exceed; below RATED of them none can be told.
+QUANTILE, RATED = 0.99, 100
 UNKNOWN = "unknown"
 
 # Usual notices of common public licences.
@@ -68,10 +71,15 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """families, weights (gram -> one number for each of unknown and the families), intercepts, cut."""
+    """families, weights (gram -> one number for each of unknown and the families), intercepts, cuts (family -> probability)."""
 
     def __init__(self, families, grams, weights, intercepts):
-        self.families, self.grams, self.weights, self.intercepts, self.cut = families, grams, weights, intercepts, LEAST_PROBABILITY
+        self.families, self.grams, self.weights, self.intercepts = families, grams, weights, intercepts
+        self.cuts = dict.fromkeys(families[1:], LEAST_PROBABILITY)
+
+    def passes(self) -> Column:
+        """Whether ``probability`` is above the cut of ``family``."""
+        return F.col("probability") > F.create_map(*[F.lit(x) for pair in self.cuts.items() for x in pair])[F.col("family")]
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(g, [float(x) for x in self.weights[:, i]]) for i, g in enumerate(self.grams)]
@@ -90,7 +98,7 @@ def train(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
     best = F.array_max(F.array(*[
         F.struct((F.size(F.array_intersect("grams", F.array(*map(F.lit, t["grams"])))) / len(t["grams"])).alias("share"), F.lit(t["family"]).alias("family")) for t in fixed
     ]))
-    labelled = scored.withColumn("best", best).select("grams", F.when(F.col("best.share") >= LEARNED, F.col("best.family")).otherwise(F.lit(UNKNOWN)).alias("family"))
+    labelled = scored.withColumn("best", best).where((F.col("best.share") >= LEARNED) | (F.col("best.share") < CONFIRMED)).select("grams", F.when(F.col("best.share") >= LEARNED, F.col("best.family")).otherwise(F.lit(UNKNOWN)).alias("family"))
     labelled = labelled.withColumn("weight", F.lit(1.0)).unionByName(known.select("grams", "family", F.lit(20.0).alias("weight")))
     families = [UNKNOWN, *sorted({f for f, _ in TEMPLATES})]
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
@@ -102,8 +110,10 @@ def train(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
     model = Model(families, grams.vocabulary, np.asarray(fitted.coefficientMatrix.toArray()), np.asarray(fitted.interceptVector.toArray()))
     model.intercepts = np.resize(model.intercepts, len(families)) if len(model.intercepts) == len(families) else np.zeros(len(families))
     back = paragraph_scores(data.where("label = 0 and kept_back").select(F.monotonically_increasing_id().alias("row"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("line"), "grams"), model)
-    worst = back.agg(F.max("probability")).first()[0]
-    model.cut = max(LEAST_PROBABILITY, float(worst or 0.0))
+    own = [F.percentile(F.when(F.col("family") == f, F.col("probability")).otherwise(0.0), QUANTILE).alias(f) for f in families[1:]]
+    rated = back.where("line is not null").agg(F.count("*").alias("n"), *own).first()
+    if rated["n"] >= RATED:
+        model.cuts = {f: max(LEAST_PROBABILITY, rated[f]) for f in families[1:]}
     return model
 
 
@@ -132,7 +142,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     confirmed = F.greatest(F.lit(0.0), *[
         F.when(F.col("family") == t["family"], F.size(F.array_intersect("grams", F.array(*map(F.lit, t["grams"])))) / len(t["grams"])).otherwise(0.0) for t in fixed
     ]) >= CONFIRMED
-    good = F.col("line").isNotNull() & (F.col("probability") > model.cut) & confirmed
+    good = F.col("line").isNotNull() & model.passes() & confirmed
     scored = paragraph_scores(paragraphs(docs), model)
     return scored.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.when(good, F.struct("line", "family", "probability")))).alias("found")

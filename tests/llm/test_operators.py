@@ -275,3 +275,11 @@ def test_keep_one_of_near_copies_without_id(spark, monkeypatch):
     rows = [(None, "1"), (None, "3"), (None, "240"), (4, "241"), (4, "4080"), (4, "4081")]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"] for r in kept} == {None, 4} and len(kept) == 3
+
+
+def test_varied_notices_do_not_raise_the_cut(spark):
+    rows = [(i, f"Package{i} by author{i} is available under the MIT License.") for i in range(80)]
+    rows += [(100 + i, f"The story{i} of the house{i} under the hill{i} and the licence of the public road{i}.") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [x["family"] for x in r["found"]] for r in licences.scan(docs, licences.train(docs)).collect()}
+    assert all(found[i] == ["MIT"] for i in range(80)) and not any(found[100 + i] for i in range(200))
