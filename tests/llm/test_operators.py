@@ -283,3 +283,12 @@ def test_varied_notices_do_not_raise_the_cut(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: [x["family"] for x in r["found"]] for r in licences.scan(docs, licences.train(docs)).collect()}
     assert all(found[i] == ["MIT"] for i in range(80)) and not any(found[100 + i] for i in range(200))
+
+
+def test_wrapped_notices_are_found_once(spark):
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License"
+    tail = "Licensed under the Apache\nLicense, Version 2.0.\nReleased under the MIT License."
+    rows = [(1, f"first line\n{gpl}\n\nmore words"), (2, gpl.replace("\n# ", " ")), (3, f"{tail}\n{gpl}"), (4, "the terms of\nthe house")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [(x["line"], x["last"], x["family"]) for x in r["found"]] for r in licences.scan(docs, licences.train(docs)).collect()}
+    assert found == {1: [(1, 2, "GPL")], 2: [(0, 0, "GPL")], 3: [(0, 1, "Apache-2.0"), (2, 2, "MIT"), (3, 4, "GPL")], 4: []}
