@@ -24,18 +24,19 @@ def loop_chunks(sizes, limit, strict=False):
     return out
 
 
-def loop_ranges(ranges, limit):
-    out, start, last = [], None, None
-    for offset, length in sorted(ranges):
-        if start is not None and offset - last > limit // 2:
-            out.append((start, last - start))
-            start = None
-        start = offset if start is None else start
-        last = offset + length
-        if last - start >= limit:
-            out.append((start, last - start))
-            start = None
-    return out + ([(start, last - start)] if start is not None else [])
+def assert_merged(ranges, limit, merged):
+    """What holds for merged ranges and for nothing else: see the four properties."""
+    ranges, merged = sorted(ranges), sorted(merged)
+    starts = [offset for offset, _ in merged]
+    members = [[r for r in ranges if a <= r[0] < b] for a, b in zip(starts, [*starts[1:], float("inf")])]
+    assert sum(members, []) == ranges  # every range is in one merged range
+    ends = [[o + n for o, n in m] for m in members]
+    for (offset, total), inside, end in zip(merged, members, ends):
+        assert (offset, offset + total) == (inside[0][0], end[-1])  # it reaches from its first range to its last
+        assert all(o - e <= limit // 2 for (o, _), e in zip(inside[1:], end))  # no inner gap above half the limit
+        assert all(e - offset < limit for e in end[:-1])  # closed at the first end that reaches the limit, no later
+    for (_, total), end, after in zip(merged, ends, members[1:]):
+        assert total >= limit or after[0][0] - end[-1] > limit // 2  # and never sooner without a gap
 
 
 def loop_islands(rows, limit):
@@ -85,7 +86,7 @@ def test_merge_ranges(spark, group_rows, limit):
     df = spark.createDataFrame([(g, *r) for g, rs in groups.items() for r in rs], "g int, o long, n long")
     rows = merge_ranges(df.repartition(5), ["g"], "o", "n", limit).collect()
     for g, ranges in groups.items():
-        assert sorted((r.offset, r.total) for r in rows if r.g == g) == loop_ranges(ranges, limit)
+        assert_merged(ranges, limit, [(r.offset, r.total) for r in rows if r.g == g])
 
 
 @pytest.mark.parametrize("limit", [3, 200])
@@ -147,7 +148,7 @@ def test_overlapping_ranges(spark):
     ranges = [(0, 50), (10, 5), (20, 4), (60, 3), (61, 30), (62, 1), (200, 9)]
     df = spark.createDataFrame([(1, o, n) for o, n in ranges], "g int, o long, n long")
     got = merge_ranges(df, ["g"], "o", "n", 40).collect()
-    assert sorted((r.offset, r.total) for r in got) == loop_ranges(ranges, 40)
+    assert_merged(ranges, 40, [(r.offset, r.total) for r in got])
 
 
 @settings(max_examples=60, deadline=None)

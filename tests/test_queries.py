@@ -1,5 +1,10 @@
 """Every query with SQL gives the rows DuckDB gives; the others give rows."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -70,3 +75,15 @@ def test_query_under_other_settings(spark, db, name, setting, value):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["event_type", "n"]
+
+
+@pytest.mark.parametrize("left_out", [["llm"], ["llm", "corpus_pipeline.py"]])
+def test_entry_without_the_training_data_part(tmp_path, left_out):
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "millrace", tmp_path / "millrace", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in {"__spark_entry__.py", "corpus_pipeline.py"} - set(left_out):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') or n == 'pipeline' for n in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(entry.QUERIES)), "False"]
