@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import zlib
 
 import xxhash
 
@@ -93,3 +95,74 @@ def removed_lines(texts: dict[int, str]) -> dict[int, list[int]]:
         if keeper[norm] != (i, j):
             out[i].append(j)
     return out
+
+
+def damaged(rows: list[tuple]) -> list[tuple]:
+    out = []
+    for conv, turn, role, text in rows:
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        role, text, fault = role if role is not None else " ", text if text is not None else " ", zlib.crc32(name.encode()) % 20
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        out += [(conv, turn, "user" if fault == 4 else role, text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return out
+
+
+def repair(turns: list[tuple]) -> tuple:
+    """Gaps, faults, cost, audit and hash of one conversation of (turn, role, text), by trying all edits (least cost, then audit)."""
+    turns = sorted(turns, key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+    numbers = [t for t, _, _ in turns if t is not None]
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    seen, marks = set(), []
+    for _, role, text in turns:
+        visible = re.findall(r"[^\x20\x09-\x0D]", text)
+        marks.append("b" if not visible else "d" if (role, text) in seen else "" if visible[-1] in ".!?" else "t")
+        seen.add((role, text))
+    initials = [r[:1] for _, r, _ in turns]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+
+    @functools.cache
+    def best(i: int, before: str) -> tuple:
+        """Of the turns from i on, after ``before`` was the last symbol ('' for none): cost, audit, roles."""
+        after = "a" if before == "u" else "u"
+        name = {"u": "user", "a": "assistant"}[after]
+        found = [(0, "", ())] if i == len(turns) and before in ("", "a") else []
+        if i < len(turns):
+            c, audit, left = best(i + 1, before)
+            found.append((c + 2, "D" + audit, left))
+            if marks[i] in ("", "t"):
+                extra = 5 if marks[i] else 0
+                if initials[i] == after or (initials[i] == "s" and before == ""):
+                    c, audit, left = best(i + 1, initials[i])
+                    found.append((c + extra, "K" + audit, (turns[i][1:], *left)))
+                if initials[i] != after:
+                    c, audit, left = best(i + 1, after)
+                    found.append((c + extra + 1, "R" + audit, ((name, turns[i][2]), *left)))
+        if i < len(turns) or before in ("u", "s"):
+            # One insertion in place, or a whole pair; more in one place only add cost.
+            for first, rest in inserted(i, after):
+                found.append((rest[0] + 5 * len(first), "I" * len(first) + rest[1], (*first, *rest[2])))
+        return min(found, key=lambda f: f[:2]) if found else (10**9, "", ())
+
+    def inserted(i, after):
+        names = {"u": ("user", ""), "a": ("assistant", "")}
+        other = "a" if after == "u" else "u"
+        yield [names[after]], consumed(i, after)
+        yield [names[after], names[other]], consumed(i, other)
+
+    def consumed(i, before):
+        """As ``best``, but the next edit is no insertion."""
+        after = "a" if before == "u" else "u"
+        found = [(0, "", ())] if i == len(turns) and before == "a" else []
+        if i < len(turns):
+            c, audit, left = best(i + 1, before)
+            found.append((c + 2, "D" + audit, left))
+            if marks[i] in ("", "t"):
+                c, audit, left = best(i + 1, after)
+                keep = initials[i] == after
+                role = turns[i][1] if keep else {"u": "user", "a": "assistant"}[after]
+                found.append((c + (5 if marks[i] else 0) + (not keep), ("K" if keep else "R") + audit, ((role, turns[i][2]), *left)))
+        return min(found, key=lambda f: f[:2]) if found else (10**9, "", ())
+
+    cost, audit, left = best(0, "")
+    digest = sha("\n".join(f"{r}:{t}" for r, t in left))
+    return gaps, marks.count("b"), marks.count("d"), marks.count("t"), illegal, cost, audit, digest
