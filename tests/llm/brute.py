@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 import re
 import zlib
 
+import numpy as np
 import xxhash
 
 from millrace.llm.components import union_find
@@ -166,3 +168,47 @@ def repair(turns: list[tuple]) -> tuple:
     cost, audit, left = best(0, "")
     digest = sha("\n".join(f"{r}:{t}" for r, t in left))
     return gaps, marks.count("b"), marks.count("d"), marks.count("t"), illegal, cost, audit, digest
+
+
+def linked_vectors(vectors: list) -> list[tuple[int, int]]:
+    """(number of links, first row of the component) of each vector, from all cosines."""
+    good = [v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v) for v in vectors]
+    units = [np.array(v, float) / np.abs(v).max() if g else None for v, g in zip(vectors, good, strict=True)]
+    units = [u / np.linalg.norm(u) if u is not None else None for u in units]
+    pairs = []
+    for size in {len(u) for u in units if u is not None}:
+        at = [i for i, u in enumerate(units) if u is not None and len(u) == size]
+        rows = np.stack([units[i] for i in at])
+        a, b = np.nonzero(np.triu(rows @ rows.T >= 0.9, 1))
+        pairs += [(at[i], at[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    n = [0] * len(vectors)
+    for a, b in pairs:
+        n[a] += 1
+        n[b] += 1
+    found = union_find(pairs)
+    return [(n[i], found.get(i, i)) for i in range(len(vectors))]
+
+
+def phrases(docs: list[tuple], least: int, top: int) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    counts: dict[str, dict[tuple, int]] = {}
+    for lang, text in docs:
+        of = counts.setdefault("und" if lang is None else lang, {})
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, 6):
+                for i in range(len(words) - k + 1):
+                    phrase = tuple(words[i:i + k])
+                    of[phrase] = of.get(phrase, 0) + 1
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: c for p, c in f.items() if len(p) > 1 and c >= least}
+        dropped = {q[i:j] for q, c in candidates.items() for i in range(len(q)) for j in range(i + 2, len(q) + 1) if j - i < len(q) and f[q[i:j]] <= c}
+        rated = []
+        for p, a in candidates.items():
+            if p not in dropped:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                rated.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, left, right, n, -score) for i, (score, a, p, left, right) in enumerate(sorted(rated)[:top])]
+    return out
