@@ -301,11 +301,15 @@ def links(members: DataFrame, leaders: DataFrame, lists: DataFrame, similarity:
     against = members.select("node", "leader", "vec").join(ways[0].unionAll(ways[1]), F.col("leader") == F.col("home"))
     against = against.withColumn("cos", _cosine("vec", "other_vec"))
     alone = F.col("other_radius") == 0
-    all_in = F.when(alone, F.col("cos") >= similarity).otherwise(F.col("cos") >= F.cos(angle - F.col("other_radius") - SLACK))
-    none_in = ~alone & (F.col("cos") < F.cos(F.least(F.lit(math.pi), angle + F.col("other_radius") + SLACK)))
-    judged = against.withColumn("n", F.when(all_in, F.col("other_size")).when(alone | none_in, 0))
+    every = F.when(alone, F.col("cos") >= similarity).otherwise(F.col("cos") >= F.cos(angle - F.col("other_radius") - SLACK))
+    none = ~alone & (F.col("cos") < F.cos(F.least(F.lit(math.pi), angle + F.col("other_radius") + SLACK)))
+    judged = against.withColumn("n", F.when(every, F.col("other_size")).when(alone | none, 0))
     judged = persist_table(judged.select("node", "leader", "other", "n", F.when(F.col("n").isNull(), F.col("vec")).alias("vec")), "judged")
-    return judged.where("n > 0").select("node", "leader", "other", "n").unionAll(_undecided(judged.where("n is null"), similarity))
+    all_in, maybe = judged.where("n > 0").select("node", "leader", "other", "n"), judged.where("n is null")
+    # An undecided member is linked to those members of the other ball that are linked to all of its own.
+    back = all_in.groupBy(F.col("other").alias("l"), F.col("leader").alias("o")).agg(F.count(F.lit(1)).alias("n"))
+    owed = maybe.drop("n").join(back, (F.col("leader") == F.col("l")) & (F.col("other") == F.col("o"))).select("node", "leader", "other", "n")
+    return all_in.unionAll(owed).unionAll(_undecided(maybe, similarity))
 
 
 def _audit(vectors: DataFrame, counted: DataFrame, similarity: float) -> float:
