@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import tokens
-from millrace.operators.ordered import first_rows, row_index
+from millrace.operators.ordered import first_rows, running
 from millrace.session import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -40,12 +40,18 @@ def combine_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
 def collect_pages(df: DataFrame, key: list[str], value: str, page_rows: int = 10_000) -> DataFrame:
     """All values of each key in order, as rows (key, ``page``, ``values``) of at most ``page_rows`` values.
 
-    A key with few values is one row, page 0.  Null values are kept, first.
+    A key with few values is one row, page 0.  Null values are kept, first.  Equal values are counted in the map task and
+    travel as one run; a run is cut where pages end, so equal values fill as many pages as they need.
     """
-    placed = row_index(df.select(*key, value), key, [value], "_idx")
-    paged = placed.withColumn("page", F.floor(F.col("_idx") / page_rows).cast("long"))
-    boxed = F.array_sort(F.collect_list(F.struct("_idx", value)))
-    return paged.groupBy(*key, "page").agg(F.transform(boxed, lambda b: b[value]).alias("values"))
+    runs = df.groupBy(*key, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running(runs, key, [value], sums={"_end": F.col("_n")}).withColumn("_start", F.col("_end") - F.col("_n"))
+    size = F.lit(page_rows).cast("long")
+    pages = F.sequence(F.floor(F.col("_start") / size), F.floor((F.col("_end") - 1) / size))
+    cut = placed.withColumn("page", F.explode(pages))
+    from_, to = F.greatest("_start", F.col("page") * size), F.least("_end", (F.col("page") + 1) * size)
+    cut = cut.select(*key, "page", F.struct(from_.alias("at"), F.col(value).alias("value"), (to - from_).cast("int").alias("n")).alias("_run"))
+    boxed = F.transform(F.array_sort(F.collect_list("_run")), lambda r: F.array_repeat(r["value"], r["n"]))
+    return cut.groupBy(*key, "page").agg(F.flatten(boxed).alias("values"))
 
 
 def group_by_key(df: DataFrame, key: str, value: str, page_rows: int = 10_000) -> DataFrame:

@@ -1,11 +1,12 @@
 """Greedy chunks of ordered rows: a chunk closes at the first row that brings it to a limit.
 
-Where a chunk ends decides where the next begins, so running sums in a window cannot express it.  Each task scans
-the sorted rows of its groups in Arrow batches, holding the chunk that is open.  A group too large for one task is
-cut into slices (``ordered.sliced``) and stays exact: what a slice does to the chunk that is open when it starts
-depends only on where that chunk began, and as a function of that start it is a step function.  Every slice reports
-its steps, the steps are folded in two levels to find the chunk open at the start of each slice, and then all slices
-are cut at once.
+Where a chunk ends decides where the next begins, so running sums in a window cannot express it.  Each task reads the
+sorted rows of its groups once, in Arrow batches; of the chunk that is open it holds the start, the size and one page of
+members.  A group too large for one task is cut into slices (``ordered.sliced``) and stays exact: what a slice does to the
+chunk that is open when it starts depends only on where that chunk began, and as a function of that start it is a step
+function.  Every slice writes its steps as rows; the functions of neighbouring slices are composed in pairs, level by level,
+which is a lookup of the left one's results among the right one's steps; going back down, each slice learns the chunk
+that is open at its start, and then all slices are cut at once.
 
 A row has a start ``a`` and an end ``b`` on a common axis; a chunk that began at ``a0`` closes at the first row
 with ``b - a0 >= limit``.
@@ -22,15 +23,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ordered import SLICE, run_over, same_keys, with_slices
+from millrace.operators.ordered import SLICE, run_over, running, same_keys, with_slices
 from millrace.session import persist_table, ship_with_tasks
 
 ship_with_tasks(__name__)
 
 # "No chunk is open" where a chunk start is expected.
 CLOSED = -(1 << 62)
-# Slices folded by one task of the first level.
-FAN_IN = 256
+# Members in one row of the result.
+PAGE_ROWS = 10_000
 
 
 class Cuts:
@@ -60,12 +61,12 @@ class Cuts:
             return i + int(hits[0]) + 1
         return end if end < n else n + 1
 
-    def steps(self, since: int) -> tuple[list[int], list[int], int]:
-        """Steps ``(hi, out)`` and the result when no chunk is open.
+    def steps(self, since: int) -> tuple[list[int], list[int]]:
+        """The run as a step function ``(hi, out)``.
 
         A chunk open since ``s`` leaves the run with a chunk open since ``out[k]``, for the first ``k`` with
         ``s <= hi[k]``; above the last step it passes through still open.  ``since`` is where the first island
-        began: a chunk begun before it ends before the run.
+        began: a chunk begun before it ends before the run, like no open chunk at all, ``CLOSED``.
         """
         n, leaves = len(self.a), {len(self.a): CLOSED}
 
@@ -89,48 +90,100 @@ class Cuts:
         if end < n:
             his.append(int(self.a[0]))
             outs.append(leaving(end))
-        return *_merge_steps(his, outs), fresh
-
-
-def _cut_table(rows: pa.Table, keys: list[str], limit: int, members: str | None, done: bool) -> tuple[int, pa.Table]:
-    """Chunks of sorted rows of any number of groups, and the first row of the chunk that is still open.
-
-    With ``done`` there are no more rows and the last chunk counts as well.
-    """
-    def numbers(name: str) -> np.ndarray:
-        return rows[name].to_numpy()
-
-    a, b, since, opened = numbers("_a"), numbers("_b"), numbers("_since"), numbers("_open")
-    fresh = np.zeros(len(a), dtype=bool)
-    fresh[1:] = since[1:] != since[:-1]
-    for key in keys:
-        codes = rows[key].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
-        fresh[1:] |= codes[1:] != codes[:-1]
-    island = np.cumsum(fresh)
-    # Lay the islands out one after another on the axis.
-    heads = np.flatnonzero(np.append(True, fresh[1:]))
-    span = np.maximum.reduceat(b, heads) - a[heads]
-    shift = (np.cumsum(span) - span - a[heads])[island]
-    cuts = Cuts(a + shift, b + shift, island, limit)
-
-    bounds, starts, i, keep = [], [], 0, len(a)
-    while i < len(a):
-        from_before = opened[i] != CLOSED and opened[i] >= since[i]
-        bounds.append(i)
-        starts.append(int(opened[i]) if from_before else int(a[i]))
-        i = cuts.next_start(i, int(opened[i] + shift[i]) if from_before else None)
-    if i > len(a) and not done:
-        keep = bounds.pop()
-        starts.pop()
-    edges = np.array([*bounds, keep], dtype=np.int32)
-    at = pa.array(edges[:-1])
-    columns = {k: rows[k].take(at) for k in keys}
-    columns["start"] = pa.array(starts, pa.int64())
-    columns["stop"] = pa.array(b[edges[1:] - 1], pa.int64())
-    columns["n"] = pa.array(np.diff(edges), pa.int64())
-    if members:
-        columns["members"] = pa.ListArray.from_arrays(pa.array(edges), rows[members].combine_chunks().slice(0, keep))
-    return keep, pa.table(columns)
+        return _merge_steps(his, outs)
+
+
+class Scan:
+    """Cuts sorted rows of any number of groups that come in batches; each row is looked at once."""
+
+    def __init__(self, keys: list[str], limit: int, members: str | None, page_rows: int):
+        self.keys, self.limit, self.members = keys, limit, members
+        self.page_rows = page_rows if members else 1 << 62
+        # The open chunk: its keys (a table of one row), island, start; its open page: start, rows, end, number of its first row, members.
+        self.head: pa.Table | None = None
+        self.since = self.start = self.at = self.paged = self.stop = self.first = 0
+        self.held: list[pa.Array] = []
+
+    def feed(self, rows: pa.Table) -> pa.Table:
+        """The chunks (pages of chunks, if they have members) that end in these rows."""
+        a, b, since, opened, seq = (rows[name].to_numpy() for name in ("_a", "_b", "_since", "_open", "_seq"))
+        n = len(a)
+        fresh = np.zeros(n, dtype=bool)
+        fresh[1:] = since[1:] != since[:-1]
+        for key in self.keys:
+            codes = rows[key].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+            fresh[1:] |= codes[1:] != codes[:-1]
+        follows = self.head is not None and since[0] == self.since and all(_same(self.head[k][0], rows[k][0]) for k in self.keys)
+        island = np.cumsum(fresh)
+        # Lay the islands out one after another on the axis.
+        heads = np.flatnonzero(np.append(True, fresh[1:]))
+        span = np.maximum.reduceat(b, heads) - a[heads]
+        shift = (np.cumsum(span) - span - a[heads])[island]
+        cuts = Cuts(a + shift, b + shift, island, self.limit)
+
+        # Of each page that ends here: one past its last row, start of its chunk, its own start, stop, rows, first number.
+        pages = [] if follows or self.head is None else [(0, self.start, self.at, self.stop, self.paged, self.first)]
+        i, open_page = 0, None
+        while i < n:
+            if i == 0 and follows:
+                start, at, paged, first = self.start, self.at, self.paged, self.first
+                after = cuts.next_start(0, int(start + shift[0]))
+            else:
+                from_before = opened[i] != CLOSED and opened[i] >= since[i]
+                start, at, paged, first = int(opened[i]) if from_before else int(a[i]), int(a[i]), 0, int(seq[i])
+                after = cuts.next_start(i, int(start + shift[i]) if from_before else None)
+            end, closed, begin = min(after, n), after <= n, i
+            while end - begin + paged > self.page_rows:
+                # The page is full; a chunk that has no size yet keeps its rows on one page.
+                full = max(begin, begin + self.page_rows - paged)
+                if (b[full - 1] if full else self.stop) <= start:
+                    break
+                pages.append((full, start, at, int(b[full - 1]) if full else self.stop, paged + full - begin, first))
+                begin, at, paged, first = full, int(a[full]), 0, int(seq[full])
+            if closed:
+                pages.append((end, start, at, int(b[end - 1]), paged + end - begin, first))
+            else:
+                open_page = begin, start, at, paged + end - begin, first
+            i = after
+        out = self._out(rows, pages)
+        if pages:
+            self.held = []
+        if open_page is None:
+            self.head = None
+        else:
+            begin, self.start, self.at, self.paged, self.first = open_page
+            self.head, self.since, self.stop = rows.select(self.keys).slice(n - 1), since[-1], int(b[-1])
+            if self.members:
+                self.held.append(rows[self.members].combine_chunks().slice(begin))
+        return out
+
+    def _out(self, rows: pa.Table, pages: list[tuple]) -> pa.Table:
+        ends, starts, ats, stops, counts, firsts = ([p[k] for p in pages] for k in range(6))
+        # The first page may be the open one, without a row of its own here.
+        lone = bool(pages) and ends[0] == 0
+        at_rows = pa.array([e - 1 for e in ends[lone:]], pa.int64())
+        columns = {}
+        for key in self.keys:
+            taken = rows[key].take(at_rows).combine_chunks()
+            columns[key] = pa.concat_arrays([self.head[key].combine_chunks(), taken]) if lone else taken
+        for name, values in (("start", starts), ("at", ats), ("stop", stops), ("n", counts), ("first", firsts)):
+            columns[name] = pa.array(values, pa.int64())
+        if self.members:
+            column = rows[self.members].combine_chunks()
+            values = pa.concat_arrays([*self.held, column.slice(0, ends[-1] if pages else 0)]) if pages else column.slice(0, 0)
+            offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+            columns["members"] = pa.ListArray.from_arrays(pa.array(offsets), values)
+        return pa.table(columns)
+
+    def finish(self, rows: pa.Table) -> pa.Table:
+        """The chunk that is still open after the last rows (``rows`` is any table of their schema)."""
+        return self._out(rows.slice(0, 0), [] if self.head is None else [(0, self.start, self.at, self.stop, self.paged, self.first)])
+
+
+def _same(left: pa.Scalar, right: pa.Scalar) -> bool:
+    """Equality as grouping has it: nulls are equal, and so are NaNs."""
+    x, y = left.as_py(), right.as_py()
+    return x == y or (x != x and y != y)
 
 
 def _merge_steps(his: list[int], outs: list[int]) -> tuple[list[int], list[int]]:
@@ -148,108 +201,116 @@ def _merge_steps(his: list[int], outs: list[int]) -> tuple[list[int], list[int]]
     return hi, out
 
 
-def _through(start: int, hi: np.ndarray, out: np.ndarray, fresh: int) -> int:
-    if start == CLOSED:
-        return int(fresh)
-    k = int(np.searchsorted(hi, start))
-    return start if k == len(hi) else int(out[k])
+def _fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
+    return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
 
-def _compose(runs: pd.DataFrame) -> tuple[list[int], list[int], int]:
-    """The steps of several consecutive runs taken as one."""
-    hi, out, fresh = list(runs["hi"].iloc[0]), list(runs["out"].iloc[0]), int(runs["fresh"].iloc[0])
-    for h, o, f in zip(runs["hi"].iloc[1:], runs["out"].iloc[1:], runs["fresh"].iloc[1:]):
-        passing = [k for k in range(len(h)) if not hi or h[k] > hi[-1]]
-        outs = [_through(s, h, o, f) for s in out] + [o[k] for k in passing]
-        hi, out = _merge_steps(hi + [h[k] for k in passing], outs)
-        fresh = _through(fresh, h, o, f)
-    return hi, out, fresh
+def _lookup(steps: DataFrame, probes: DataFrame, run: list[str]) -> DataFrame:
+    """``probes`` (run, ``s``, ..) with ``to``: what the step function of their run (``hi``, ``out``) makes of ``s``.
 
+    The step that applies is the first with ``s <= hi``; above the last one ``s`` stays.  Steps and probes are put into
+    one order, so that runs of any length are spread over tasks like other running values.
+    """
+    rest = [c for c in probes.columns if c not in (*run, "s")]
+    marks = steps.select(*run, (-F.col("hi")).alias("_down"), F.lit(0).alias("_kind"), "out", *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in rest])
+    asked = probes.select(*run, (-F.col("s")).alias("_down"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("out"), *rest)
+    known = running(marks.unionAll(asked), run, ["_down", "_kind"], lasts={"_to": F.col("out")})
+    return known.where("_kind = 1").select(*run, (-F.col("_down")).alias("s"), *rest, F.coalesce("_to", -F.col("_down")).alias("to"))
 
-def _fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
-    return [T.StructField(n, df.schema[n].dataType, True) for n in names]
+
+def _shorter(steps: DataFrame, run: list[str]) -> DataFrame:
+    """The same step functions without steps that have the result of the next higher one."""
+    above = running(steps.withColumn("_down", -F.col("hi")), run, ["_down"], previous={"_above": F.col("out")})
+    return above.where("_above is null or _above != out").select(*run, "hi", "out")
 
 
-_LONGS = T.ArrayType(T.LongType())
+def _compose(steps: DataFrame, part: list[str]) -> DataFrame:
+    """One level of the tree: runs 2k and 2k + 1 of a group become run k."""
+    run = [*part, "_run"]
+    paired = steps.withColumn("_pair", F.shiftright("_run", 1))
+    left, right = paired.where("_run % 2 = 0"), paired.where("_run % 2 = 1")
+    pair = [*part, "_pair"]
+    through = _lookup(right.select(*pair, "hi", "out"), left.select(*pair, F.col("out").alias("s"), "hi"), pair)
+    through = through.select(*pair, "hi", F.col("to").alias("out"))
+    # Beyond the left one's last step a start meets the right one as it is.  One row per pair: fewer than slices.
+    last = left.groupBy(*[F.col(c).alias("_l_" + c) for c in pair]).agg(F.max("hi").alias("_last"))
+    beyond = right.join(F.broadcast(last), same_keys(right, last, pair, "_l_"), "left").where("_last is null or hi > _last").select(*pair, "hi", "out")
+    return _shorter(through.unionAll(beyond).withColumnRenamed("_pair", "_run"), run)
 
 
 def _open_at_slices(rows: DataFrame, part: list[str], limit: int) -> DataFrame:
     """For every slice of a group: the start of the chunk open there (``_open``, CLOSED if none)."""
     keys = _fields(rows, part)
-    step_fields = [T.StructField("hi", _LONGS), T.StructField("out", _LONGS), T.StructField("fresh", T.LongType())]
 
     def slice_steps(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_seq")
         a, b, since = (pdf[c].to_numpy() for c in ("_a", "_b", "_since"))
-        hi, out, fresh = Cuts(a, b, since, limit).steps(int(since[0]))
-        head = pdf[part + [SLICE]].iloc[:1].reset_index(drop=True)
-        return head.assign(hi=[hi], out=[out], fresh=[fresh])
-
-    def block_steps(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SLICE)
-        hi, out, fresh = _compose(pdf)
-        head = pdf[part + ["_block"]].iloc[:1].reset_index(drop=True)
-        return head.assign(hi=[hi], out=[out], fresh=[fresh])
-
-    def follow(pdf: pd.DataFrame, unit: str, start: int) -> pd.DataFrame:
-        pdf = pdf.sort_values(unit)
-        opens = []
-        for h, o, f in zip(pdf["hi"], pdf["out"], pdf["fresh"]):
-            opens.append(start)
-            start = _through(start, h, o, f)
-        return pdf[part + [unit]].assign(_open=opens)
+        hi, out = Cuts(a, b, since, limit).steps(int(since[0]))
+        head = pdf[part + ["_run"]].iloc[:1]
+        return head.loc[head.index.repeat(len(hi))].reset_index(drop=True).assign(hi=hi, out=out)
 
     # Only groups that reach over several slices need it: fewer than there are slices.
     wide = rows.groupBy(*part).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi")).where("_lo < _hi")
-    wide = F.broadcast(wide.select(*[F.col(k).alias("_w_" + k) for k in part]))
+    wide = persist_table(wide.select(*[F.col(k).alias("_w_" + k) for k in part], "_lo", "_hi"), "wide")
     narrow = rows.select(*part, SLICE, "_seq", "_a", "_b", "_since")
-    narrow = narrow.join(wide, same_keys(narrow, wide, part, "_w_"), "left_semi")
-    steps = narrow.groupBy(*part, SLICE).applyInPandas(
-        slice_steps, T.StructType([*keys, T.StructField(SLICE, T.LongType()), *step_fields])
-    )
-    steps = persist_table(steps, "steps").withColumn("_block", F.floor(F.col(SLICE) / FAN_IN).cast("long"))
-    blocks = steps.groupBy(*part, "_block").applyInPandas(
-        block_steps, T.StructType([*keys, T.StructField("_block", T.LongType()), *step_fields])
+    narrow = narrow.join(F.broadcast(wide), same_keys(narrow, wide, part, "_w_"))
+    narrow = narrow.withColumn("_run", F.col(SLICE) - F.col("_lo")).select(*part, "_run", "_seq", "_a", "_b", "_since")
+    steps = narrow.groupBy(*part, "_run").applyInPandas(
+        slice_steps, T.StructType([*keys, *[T.StructField(c, T.LongType()) for c in ("_run", "hi", "out")]])
     )
-    opened = T.StructField("_open", T.LongType())
-    at_blocks = blocks.groupBy(*part).applyInPandas(
-        lambda pdf: follow(pdf, "_block", CLOSED), T.StructType([*keys, T.StructField("_block", T.LongType()), opened])
-    )
-    at_blocks = at_blocks.select(*[F.col(k).alias("_b_" + k) for k in [*part, "_block"]], "_open")
-    seeded = steps.join(at_blocks, same_keys(steps, at_blocks, [*part, "_block"], "_b_")).select(steps["*"], "_open")
-    return seeded.groupBy(*part, "_block").applyInPandas(
-        lambda pdf: follow(pdf, SLICE, int(pdf["_open"].iloc[0])),
-        T.StructType([*keys, T.StructField(SLICE, T.LongType()), opened]),
+    levels = [persist_table(steps, "steps")]
+    most = wide.agg(F.max(F.col("_hi") - F.col("_lo") + 1)).first()[0] or 0
+    while most > 2:
+        levels.append(persist_table(_compose(levels[-1], part), "steps"))
+        most = (most + 1) // 2
+
+    names = [F.col("_w_" + k).alias(k) for k in part]
+    starts = wide.select(*names, F.lit(0).cast("long").alias("_run"), F.lit(CLOSED).alias("s"))
+    for steps in reversed(levels):
+        # Fewer rows than slices; a left child begins as its parent does, a right child where the left one leaves.
+        left = starts.select(*part, F.shiftleft("_run", 1).alias("_run"), "s")
+        asked = F.broadcast(left.select(*[F.col(c).alias("_q_" + c) for c in (*part, "_run")], "s"))
+        met = steps.join(asked, same_keys(steps, asked, [*part, "_run"], "_q_")).where("s <= hi")
+        found = met.groupBy(*part, "_run").agg(F.min_by("out", "hi").alias("to"))
+        found = found.select(*[F.col(c).alias("_f_" + c) for c in (*part, "_run")], "to")
+        moved = left.join(found, same_keys(left, found, [*part, "_run"], "_f_"), "left")
+        right = moved.select(*part, (F.col("_run") + 1).alias("_run"), F.coalesce("to", "s").alias("s"))
+        starts = persist_table(left.unionAll(right), "starts")
+    lows = wide.select(*[F.col("_w_" + k) for k in part], "_lo")
+    return starts.join(F.broadcast(lows), same_keys(starts, lows, part, "_w_")).select(
+        *part, (F.col("_run") + F.col("_lo")).alias(SLICE), F.col("s").alias("_open")
     )
 
 
 def greedy_chunks(
-    rows: DataFrame, part: list[str], limit: int, members: str | None = None, split: bool = False
+    rows: DataFrame, part: list[str], limit: int, members: str | None = None, split: bool = False, empty: bool = True,
+    page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """Chunks of rows with ``_seq`` (order), ``_a``, ``_b``, ``_since`` (start of the row's island) and ``_slice``.
 
     The rows of a group (of a group in a slice, if ``split``) lie in one partition.  Output: group columns, ``start``
-    (``_a`` of the first row), ``stop`` (``_b`` of the last), ``n`` (rows) and, if ``members`` names an id column,
-    ``members`` (ids in order).  A chunk is one row, so its members fit in memory.
+    (``_a`` of the chunk's first row), ``at``, ``stop`` (where the page begins and ends), ``n`` (rows) and, if ``members``
+    names a column, ``members`` (structs of it, ``_a`` and ``_b``, in order).  A chunk is one row, or one row for each
+    ``page_rows`` members.  Chunks without size are left out unless ``empty``.
     """
     keys = [*part, SLICE] if split else part
-    fields = [*_fields(rows, keys), *[T.StructField(n, T.LongType()) for n in ("start", "stop", "n")]]
+    numbers = ("start", "at", "stop", "n", "first")
+    fields = [*_fields(rows, keys), *[T.StructField(n, T.LongType()) for n in numbers]]
+    narrow = rows.select(*keys, "_seq", "_a", "_b", "_since", *([members] if members and members not in keys else []))
     if members:
-        fields.append(T.StructField("members", T.ArrayType(rows.schema[members].dataType)))
+        narrow = narrow.withColumn("_member", F.struct(F.col(members), "_a", "_b")).select(*keys, "_seq", "_a", "_b", "_since", "_member")
+        fields.append(T.StructField("members", T.ArrayType(narrow.schema["_member"].dataType)))
+    held = "_member" if members else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        scan, last = Scan(keys, limit, held, page_rows), None
         for batch in batches:
-            fresh = pa.Table.from_batches([batch])
-            held = fresh if held is None else pa.concat_tables([held, fresh])
-            if held.num_rows:
-                keep, chunks = _cut_table(held, keys, limit, members, done=False)
-                yield from chunks.to_batches()
-                held = held.slice(keep)
-        if held is not None and held.num_rows:
-            yield from _cut_table(held, keys, limit, members, done=True)[1].to_batches()
+            if batch.num_rows:
+                last = pa.Table.from_batches([batch])
+                yield from scan.feed(last).to_batches()
+        if last is not None:
+            yield from scan.finish(last).to_batches()
 
-    narrow = rows.select(*keys, "_seq", "_a", "_b", "_since", *([members] if members and members not in keys else []))
     if split:
         opens = _open_at_slices(rows, part, limit).where(F.col("_open") != CLOSED)
         opens = opens.select(*[F.col(k).alias("_o_" + k) for k in keys], "_open")
@@ -261,14 +322,27 @@ def greedy_chunks(
     else:
         narrow = narrow.withColumn("_open", F.lit(CLOSED))
     cut_rows = narrow.sortWithinPartitions(*keys, "_seq").mapInArrow(cut, T.StructType(fields))
-    columns = [*part, "start", "stop", "n", *(["members"] if members else [])]
+    columns = [*part, "start", "at", "stop", "n", *(["members"] if members else [])]
     if not split:
-        return cut_rows.select(*columns)
-    pieces = F.array_sort(F.collect_list(F.struct(SLICE, "members"))) if members else None
-    return cut_rows.groupBy(*part, "start").agg(
-        F.max_by("stop", SLICE).alias("stop"), F.sum("n").alias("n"),
-        *([F.flatten(F.transform(pieces, lambda p: p["members"])).alias("members")] if members else []),
-    )
+        return (cut_rows if empty else cut_rows.where("stop > start")).select(*columns)
+    if not members:
+        whole = cut_rows.groupBy(*part, "start").agg(F.col("start").alias("at"), F.max_by("stop", SLICE).alias("stop"), F.sum("n").alias("n"))
+        return (whole if empty else whole.where("stop > start")).select(*columns)
+    # Chunks that lie in several slices, fewer than slices, get their pages anew.
+    cut_rows = persist_table(cut_rows, "pieces")
+    names = [*part, "start"]
+    torn = cut_rows.groupBy(*names).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi"), F.min("first").alias("_first"), F.max("stop").alias("_stop"))
+    torn = persist_table(torn.where("_lo < _hi").select(*[F.col(n).alias("_t_" + n) for n in names], "_first", "_stop"), "torn")
+    match = same_keys(cut_rows, torn, names, "_t_")
+    whole = cut_rows.join(F.broadcast(torn), match, "left_anti").select(*columns)
+    pieces = cut_rows.join(F.broadcast(torn), match)
+    if not empty:
+        whole, pieces = whole.where("stop > start"), pieces.where("_stop > start")
+    each = pieces.select(*names, (F.col("first") - F.col("_first")).alias("_from"), F.posexplode("members").alias("_i", "_m"))
+    each = each.withColumn("_i", F.col("_from") + F.col("_i")).withColumn("_page", F.expr(f"_i div {page_rows}"))
+    paged = each.groupBy(*names, "_page").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda x: x["_m"]).alias("members"))
+    paged = paged.withColumns({"at": F.col("members")[0]["_a"], "stop": F.element_at("members", -1)["_b"], "n": F.size("members").cast("long")})
+    return whole.unionByName(paged.select(*columns))
 
 
 def _together(df: DataFrame, part: list[str], order: list[str | Column], others: list[str]) -> tuple[DataFrame, bool]:
@@ -285,19 +359,53 @@ def _together(df: DataFrame, part: list[str], order: list[str | Column], others:
 
 def chunk(
     df: DataFrame, part: list[str], order: list[str | Column], size: Column, limit: int,
-    members: str | None = None, strict: bool = False,
+    members: str | None = None, strict: bool = False, carry: dict[str, Column] | None = None, page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """Chunks of each group in order, closed after the row that brings the size to ``limit``.
 
     ``strict`` closes only above the limit and keeps a last chunk of size 0.  Output: group columns, ``offset``
-    (sum of the sizes before the chunk), ``total``, ``n`` and ``members``.
+    (sum of the sizes before the chunk), ``total`` and ``n``.  With ``members``, an id column, a chunk is one row for each
+    ``page_rows`` members: ``total`` and ``n`` are the page's, ``at`` is where it begins, ``members`` has the ids; with
+    ``carry`` it has structs of the id, its offset in the chunk, its length and the named values.
     """
     sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
-    frame, split = _together(sized, part, order, ["_size", *([members] if members else [])])
+    if carry:
+        sized = sized.withColumn("_carried", F.struct(F.col(members).alias("id"), *[c.alias(n) for n, c in carry.items()]))
+    held = "_carried" if carry else members
+    frame, split = _together(sized, part, order, ["_size", *([held] if members else [])])
     rows = run_over(frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")})
     rows = rows.withColumn("_a", F.col("_b") - F.col("_size")).withColumn("_since", F.lit(0).cast("long"))
-    chunks = _as_extents(greedy_chunks(rows, part, limit + 1 if strict else limit, members, split))
-    return chunks if strict else chunks.where("total > 0")
+    return _as_extents(greedy_chunks(rows, part, limit + 1 if strict else limit, held, split, strict, page_rows), carry)
+
+
+def cut_apart(chunks: DataFrame) -> DataFrame:
+    """The members of chunks made with ``carry``, one row each: group columns, ``id``, ``offset``, ``length`` and what they carry."""
+    groups = [c for c in chunks.columns if c not in ("offset", "at", "total", "n", "members", "payload")]
+    each = chunks.select(*groups, F.col("offset").alias("_chunk"), F.explode("members").alias("_m"))
+    fields = chunks.schema["members"].dataType.elementType.names
+    rest = [F.col("_m")[f].alias(f) for f in fields if f not in ("id", "offset")]
+    return each.select(*groups, F.col("_m")["id"].alias("id"), (F.col("_chunk") + F.col("_m")["offset"]).alias("offset"), *rest)
+
+
+def pack(
+    df: DataFrame, part: list[str], order: list[str | Column], key: str, payload: str, limit: int, page_rows: int = PAGE_ROWS
+) -> DataFrame:
+    """Chunks of binary payloads: extents, members with offset, length and CRC-32, and ``payload``, the bytes of the page."""
+    body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
+    chunks = chunk(df, part, order, F.octet_length(body), limit, key, carry={"checksum": F.crc32(body), "body": body}, page_rows=page_rows)
+    joined = F.unhex(F.array_join(F.transform("members", lambda m: F.hex(m["body"])), ""))
+    slim = F.transform("members", lambda m: m.dropFields("body"))
+    return chunks.withColumn("payload", joined).withColumn("members", slim)
+
+
+def unpack(chunks: DataFrame) -> DataFrame:
+    """The payloads of ``pack``, one row for each member: group columns, ``id``, ``payload``, and ``ok``, whether its checksum holds."""
+    groups = [c for c in chunks.columns if c not in ("offset", "at", "total", "n", "members", "payload")]
+    each = chunks.select(*groups, (F.col("at") - F.col("offset")).alias("_skip"), "payload", F.explode("members").alias("_m"))
+    part = F.substring("payload", (F.col("_m")["offset"] - F.col("_skip") + 1).cast("int"), F.col("_m")["length"].cast("int"))
+    return each.select(*groups, F.col("_m")["id"].alias("id"), part.alias("payload"), F.col("_m")["checksum"].alias("_sum")).select(
+        *groups, "id", "payload", (F.crc32("payload") == F.col("_sum")).alias("ok")
+    )
 
 
 def chunk_islands(
@@ -318,7 +426,7 @@ def chunk_islands(
     rows = rows.withColumn("_a", F.col("_b") - F.col("_size"))
     begins = F.when(F.col("_ok") & ~F.coalesce("_was_ok", F.lit(False)), F.col("_a"))
     rows = run_over(rows, part, ["_seq"], split, lasts={"_since": begins}).where("_ok")
-    return _as_extents(greedy_chunks(rows, part, limit, members, split)).where("total > 0")
+    return _as_extents(greedy_chunks(rows, part, limit, members, split, empty=False))
 
 
 def merge_ranges(
@@ -341,10 +449,16 @@ def merge_ranges(
     return _as_extents(greedy_chunks(rows, part, limit, members, split))
 
 
-def _as_extents(chunks: DataFrame) -> DataFrame:
-    rest = [c for c in chunks.columns if c not in ("start", "stop")]
-    return chunks.select(
-        *[c for c in rest if c not in ("n", "members")],
-        F.col("start").alias("offset"), (F.col("stop") - F.col("start")).alias("total"),
-        *[c for c in rest if c in ("n", "members")],
-    )
+def _as_extents(chunks: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
+    """Offsets and totals; members as ids, or as structs with their place in the chunk."""
+    groups = [c for c in chunks.columns if c not in ("start", "at", "stop", "n", "members")]
+    extent = [F.col("start").alias("offset"), (F.col("stop") - F.col("at")).alias("total"), F.col("n")]
+    if "members" not in chunks.columns:
+        return chunks.select(*groups, *extent)
+    held = chunks.schema["members"].dataType.elementType.names[0]
+
+    def place(m: Column) -> Column:
+        return F.struct(m[held]["id"].alias("id"), (m["_a"] - F.col("start")).alias("offset"), (m["_b"] - m["_a"]).alias("length"), *[m[held][n].alias(n) for n in carry])
+
+    shown = F.transform("members", place if carry else lambda m: m[held])
+    return chunks.select(*groups, F.col("start").alias("offset"), "at", (F.col("stop") - F.col("at")).alias("total"), "n", shown.alias("members"))

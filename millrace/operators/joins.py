@@ -27,23 +27,48 @@ def join_bcast(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(small_side(right), on, how)
 
 
-def join_salted(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Inner join that spreads the hot keys of ``left`` over several partitions.
+# Cells a hot key is cut into for each average task of work it brings; more cells even out, fewer copy less.
+CELLS = 16
+
 
-    A key is hot if it has more than two average partitions' worth of rows, so there are fewer hot keys than half
-    the shuffle partitions, and their list can be sent to all tasks.  A hot key gets one salt per average partition
-    it fills; its rows on the right are repeated once per salt.  Salts come from a hash of the row, so a task that
-    runs again sends its rows to the same place.  Other keys join as they are.
+def join_salted(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Inner join that spreads keys that are hot on either side, or on both, over many tasks.
+
+    The work of a key is its rows on both sides and the pairs they make.  A key with more than two tasks' share of all
+    work is hot, so hot keys are fewer than half the shuffle partitions and their list can be sent to all tasks.  The
+    pairs of a hot key form a grid: its rows on the left are dealt to r parts, those on the right to c parts, in turn,
+    and each part meets each part of the other side in one cell, so a left row is sent c times and a right row r
+    times.  r and c follow the row counts, which keeps those copies few.  Rows are dealt by numbers that are written
+    with them once: equal rows go to different parts, and a task that runs again deals them as before.  Other keys join
+    as they are.
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(1, left.count() // partitions)
-    counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > 2 * share).select(on, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
-    hot = F.broadcast(persist_table(hot, "hot"))
-    salts = F.coalesce("_salts", F.lit(1))
-    spread = left.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int"))
-    copies = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return spread.drop("_salts").join(copies.drop("_salts"), [on, "_salt"]).drop("_salt")
+    sides = [df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).cast("double").alias(n)) for df, n in ((left, "_l"), (right, "_r"))]
+    work = persist_table(sides[0].join(sides[1], on).withColumn("_work", F.col("_l") + F.col("_r") + F.col("_l") * F.col("_r")), "work")
+    share = (work.agg(F.sum("_work")).first()[0] or 0.0) / partitions
+    cells = F.ceil(F.col("_work") / share * CELLS) if share else F.lit(1)
+    hot = work.where(F.col("_work") > 2 * share).withColumn("_cells", cells)
+    rows = F.least(F.col("_l"), F.greatest(F.lit(1.0), F.round(F.sqrt(F.col("_cells") * F.col("_l") / F.col("_r")))))
+    hot = hot.withColumn("_rows", rows.cast("long"))
+    columns = F.least(F.col("_r"), F.ceil(F.col("_cells") / F.col("_rows")))
+    hot = persist_table(hot.select(on, "_rows", columns.cast("long").alias("_columns")), "hot")
+    # Without hot keys the plan is a plain join.
+    if hot.isEmpty():
+        return left.join(right, on)
+    keys = F.broadcast(hot)
+    cold = left.join(keys, on, "left_anti").join(right.join(F.broadcast(hot), on, "left_anti"), on)
+
+    met = _dealt(left, keys, on, "_rows", "_columns").join(_dealt(right, keys, on, "_columns", "_rows"), [on, "_cell_rows", "_cell_columns"])
+    met = met.drop("_cell_rows", "_cell_columns")
+    return cold.unionByName(met)
+
+
+def _dealt(df: DataFrame, hot: DataFrame, on: str, mine: str, others: str) -> DataFrame:
+    """Rows of hot keys with the part each is dealt to, once for every part of the other side."""
+    numbered = persist_table(df.join(hot, on).withColumn("_n", F.monotonically_increasing_id()), "dealt")
+    placed = numbered.withColumn("_cell" + mine, F.pmod("_n", F.col(mine)))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1))
+    return placed.withColumn("_cell" + others, copies).drop("_n", "_rows", "_columns")
 
 
 def cross(inputs: list[DataFrame], names: list[str], copies: str = "n") -> DataFrame:

@@ -66,7 +66,7 @@ def with_slices(
 
 def same_keys(left: DataFrame, right: DataFrame, names: list[str], prefix: str) -> Column:
     """Null-safe equality of ``left[name]`` and ``right[prefix + name]``."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[prefix + n]) for n in names])
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[prefix + n]) for n in names], F.lit(True))
 
 
 def running(

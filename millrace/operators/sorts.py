@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import word_count
 from millrace.operators.ordered import row_index
+from millrace.session import persist_table
+from millrace.sizing import biggest_group, group_row_limit
 
 
 def sort_global(df: DataFrame, *keys: str | Column) -> DataFrame:
@@ -24,8 +26,14 @@ def secondary_sort(df: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def position_in_group(df: DataFrame, group: str, order: list[str], out: str = "pos") -> DataFrame:
-    """The rank a row has after ``secondary_sort``."""
-    return row_index(df, [group], order, out)
+    """The rank a row has after ``secondary_sort``; rows with equal order values follow one another in no stated order.
+
+    If a group is too large for one task, rows are numbered and written first, so that equal ones are split as well.
+    """
+    if biggest_group(df, [group]) <= group_row_limit(df.sparkSession):
+        return row_index(df, [group], order, out)
+    numbered = persist_table(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
+    return row_index(numbered, [group], [*order, "_tie"], out).drop("_tie")
 
 
 def ordered_count(df: DataFrame, col: str) -> DataFrame:

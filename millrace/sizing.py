@@ -5,8 +5,9 @@ Nothing here changes a result: below a limit the short plan runs, above it the p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import persist_table
 
@@ -14,6 +15,8 @@ from millrace.session import persist_table
 GROUP_ROWS = 4_000_000
 # Rows (ids and a few narrow columns) that may be copied to every executor.
 BROADCAST_ROWS = 100_000
+# Bytes of their values, at most.
+BROADCAST_BYTES = 64 << 20
 
 
 def group_row_limit(spark: SparkSession) -> int:
@@ -24,6 +27,32 @@ def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.millrace.broadcastRows", str(BROADCAST_ROWS)))
 
 
+def broadcast_byte_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.millrace.broadcastBytes", str(BROADCAST_BYTES)))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: lengths of texts and binaries, the JSON text of nested values, the width of the others."""
+    total = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            width = F.octet_length(column)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            width = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            width = F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+        total = total + F.coalesce(width.cast("long"), F.lit(0)) + 8
+    return total
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is small in rows and in bytes; reads the widths of its first rows, as ``has_at_most`` reads rows."""
+    rows, size = broadcast_row_limit(df.sparkSession), broadcast_byte_limit(df.sparkSession)
+    widths = df.select(row_bytes(df)).take(rows + 1)
+    return len(widths) <= rows and sum(w[0] for w in widths) <= size
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows.
 
@@ -33,13 +62,13 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 
 
 def small_side(df: DataFrame, computed: bool = False) -> DataFrame:
-    """``df`` with a broadcast hint if a count proves it small, else unchanged (shuffle join, AQE skew handling).
+    """``df`` with a broadcast hint if its rows and bytes are proven few, else unchanged (shuffle join, AQE skew handling).
 
     ``computed`` says that ``df`` is costly to derive: it is then written once, so the check does not run it twice.
     """
     if computed:
         df = persist_table(df, "side")
-    return F.broadcast(df) if has_at_most(df, broadcast_row_limit(df.sparkSession)) else df
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def key_set(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,7 +77,7 @@ def key_set(df: DataFrame, keys: list[str]) -> DataFrame:
     The check reads the rows as they are: finding the distinct ones first would be a pass over all of them.
     """
     found = df.select(*keys)
-    small = has_at_most(found, broadcast_row_limit(df.sparkSession))
+    small = fits_broadcast(found)
     return F.broadcast(found.distinct()) if small else found.distinct()
 
 

@@ -115,6 +115,8 @@ def size_batches(
 ) -> DataFrame:
     """Batches of a group's rows, each closed by the row that brings it to ``limit``; the rest is emitted at the end.
 
+    A batch of very many rows comes in several rows, pages of its members, whose totals add up.
+
     ``order`` identifies a row and grows from one micro-batch to the next.  State: the rows of each group's open
     batch, which are fewer than the limit allows.
     """
@@ -126,9 +128,10 @@ def size_batches(
     def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = persist_table(batch.select(group, order, size).unionByName(state), "pending")
         chunks = persist_table(chunk(rows, [group], [order], F.col(size), limit, order), "batches")
-        closed = chunks.where(F.col("total") >= limit)
-        done = closed.groupBy(group).agg(F.max(F.col("offset") + F.col("total")).alias("_done"))
-        done = small_side(done.select(F.col(group).alias("_d_" + group), "_done"))
+        # A batch may come in several pages of members.
+        ends = chunks.groupBy(group, "offset").agg(F.max(F.col("at") + F.col("total")).alias("_end")).where(F.col("_end") - F.col("offset") >= limit)
+        done = small_side(ends.groupBy(F.col(group).alias("_d_" + group)).agg(F.max("_end").alias("_done")), computed=True)
+        closed = chunks.join(done, same_keys(chunks, done, [group], "_d_")).where(F.col("offset") < F.col("_done")).select(*chunks.columns)
         frame, split = with_slices(rows, [group], [order])  # rows is a table by now
         ends = run_over(frame, [group], [order], split, {"_end": F.col(size).cast("long")}).drop(SLICE)
         open_rows = ends.join(done, same_keys(ends, done, [group], "_d_"), "left").where(

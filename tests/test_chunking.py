@@ -3,13 +3,12 @@
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.chunking import CLOSED, Cuts, _compose, _through, chunk, chunk_islands, merge_ranges
+from millrace.operators.chunking import CLOSED, Cuts, chunk, chunk_islands, cut_apart, merge_ranges, pack, unpack
 
 
 def loop_chunks(sizes, limit, strict=False):
@@ -98,6 +97,10 @@ def test_chunk_islands(spark, group_rows, limit):
     assert sorted((r.offset, r.total, r.n) for r in got) == loop_islands(rows, limit)
 
 
+def through(start, his, outs):
+    return next((o for h, o in zip(his, outs) if start <= h), start)
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_steps_follow_the_scan(seed):
     """A run cut in two gives the same chunks when its steps are followed as when it is scanned whole."""
@@ -125,8 +128,7 @@ def test_steps_follow_the_scan(seed):
         run = Cuts(a[lo:hi], b[lo:hi], since[lo:hi], limit)
         goes_on = opened != CLOSED and opened >= since[lo]
         found |= starts(run, run.next_start(0, opened) if goes_on else 0)
-        steps, outs, fresh = run.steps(int(since[lo]))
-        opened = _through(opened, np.array(steps), np.array(outs), fresh)
+        opened = through(opened, *run.steps(int(since[lo])))
     assert found == whole
 
 
@@ -165,12 +167,57 @@ def test_folded_slices_are_the_whole_scan(lengths, gaps, limit, cuts):
     since = np.maximum.accumulate(np.where((gaps > limit // 2) | (np.arange(n) == 0), a, 0))
     bounds = sorted({0, n, *[c for c in cuts if c < n]})
     runs = [Cuts(a[lo:hi], b[lo:hi], since[lo:hi], limit).steps(int(since[lo])) for lo, hi in zip(bounds, bounds[1:])]
-    frame = pd.DataFrame({"hi": [r[0] for r in runs], "out": [r[1] for r in runs], "fresh": [r[2] for r in runs]})
     whole = Cuts(a, b, since, limit).steps(int(since[0]))
-    hi, out, fresh = _compose(frame)
     for opened in [CLOSED, *range(int(a[0]) - 70, int(a[0]))]:
         step_by_step = opened
         for r in runs:
-            step_by_step = _through(step_by_step, np.array(r[0]), np.array(r[1]), r[2])
-        assert _through(opened, np.array(hi), np.array(out), fresh) == step_by_step
-        assert _through(opened, np.array(whole[0]), np.array(whole[1]), whole[2]) == step_by_step
+            step_by_step = through(step_by_step, *r)
+        assert through(opened, *whole) == step_by_step
+
+
+@pytest.mark.parametrize("batch_rows", [3, 10_000])
+def test_pages_of_members(spark, group_rows, batch_rows):
+    """No list is longer than a page, in a task or over slices, and the pages of a chunk follow one another."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    try:
+        rnd = random.Random(3)
+        sizes = [rnd.choice([0, 1, 2]) for _ in range(2500)]
+        df = spark.createDataFrame([(1, i, s) for i, s in enumerate(sizes)], "g int, i int, s int").repartition(4)
+        rows = sorted(chunk(df, ["g"], ["i"], F.col("s"), 900, "i", page_rows=64).collect(), key=lambda r: r.members)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert max(len(r.members) for r in rows) == 64 and all(r.n == len(r.members) for r in rows)
+    assert [i for r in rows for i in r.members] == list(range(2500))
+    ends = np.cumsum([0, *sizes])
+    assert all(r.at == ends[r.members[0]] and r.at + r.total == ends[r.members[-1] + 1] for r in rows)
+    chunks = {}
+    for r in rows:
+        before = chunks.get(r.offset, (0, 0))
+        chunks[r.offset] = before[0] + r.total, before[1] + r.n
+    assert [(o, *c) for o, c in sorted(chunks.items())] == loop_chunks(sizes, 900)
+
+
+def test_one_chunk_over_many_slices(spark):
+    """A chunk that is open all the way: the functions of 40 slices are composed, and nothing is collected."""
+    spark.conf.set("spark.millrace.groupRows", "100")
+    try:
+        df = spark.range(2000).select(F.lit(1).alias("g"), F.col("id").cast("int").alias("i"), F.lit(1).alias("s"))
+        got = chunk(df, ["g"], ["i"], F.col("s"), 700).collect()
+        assert sorted((r.offset, r.total, r.n) for r in got) == [(0, 700, 700), (700, 700, 700), (1400, 600, 600)]
+        got = chunk(df, [], ["i"], F.col("s"), 10**9).collect()
+        assert [(r.offset, r.total, r.n) for r in got] == [(0, 2000, 2000)]
+    finally:
+        spark.conf.unset("spark.millrace.groupRows")
+
+
+def test_chunks_are_cut_apart_again(spark, group_rows):
+    rows = [(i % 3, i, bytes([i % 256]) * (i % 7)) for i in range(900)] + [(None, 1000, None), (0, 2000, b"end")]
+    df = spark.createDataFrame(rows, "g int, i int, body binary")
+    packed = pack(df, ["g"], ["i"], "i", "body", 50, page_rows=4)
+    assert all(r.total == len(r.payload) and r.n <= 4 for r in packed.collect())
+    assert sorted(map(tuple, unpack(packed).collect()), key=str) == sorted([(g, i, b or b"", True) for g, i, b in rows if g is not None], key=str)
+    broken = packed.withColumn("payload", F.concat(F.lit(b"x"), F.expr("substring(payload, 2)")))
+    assert not all(r.ok for r in unpack(broken).collect())
+    whole = chunk(df, ["g"], ["i"], F.length("body"), 50, "i", strict=True, carry={"crc": F.crc32("body")})
+    found = {(r.g, r.id): (r.offset, r.length, r.crc) for r in cut_apart(whole).collect()}
+    assert len(found) == len(rows) and found[0, 0][:2] == (0, 0) and found[1, 4][:2] == (1, 4)

@@ -312,19 +312,79 @@ def test_pick_target_prefers_healthy_and_held(spark):
     assert pick(F.lit(False)) == [("x", "t1"), ("y", "t9")]
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    left = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
-    right = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    salted = joins.join_salted(left, right, "k")
-    assert sets.diff(salted, left.join(right, "k")).isEmpty()
+@pytest.fixture
+def plain_plans(spark):
+    """No plans made at run time, no broadcasts by size: what the operators ask for is what is seen."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_salted_join_spreads_a_key_hot_on_both_sides(spark, plain_plans):
+    """Equal rows of a hot key are spread as well, and no task gets twice the mean."""
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        left = spark.range(3000).select(F.when(F.col("id") < 1200, 7).when(F.col("id") < 1300, None).otherwise(F.col("id")).alias("k"), F.lit(1).alias("v"))
+        right = spark.range(2000).select(F.when(F.col("id") < 900, 7).otherwise(F.col("id") + 1000).alias("k"), F.lit(2).alias("w"))
+        salted = joins.join_salted(left, right, "k")
+        per_task = [r["n"] for r in salted.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).where("n > 1000").collect()]
+        assert sum(per_task) >= 1200 * 900 and max(per_task) <= 2 * 1200 * 900 / 16
+        assert sets.diff(salted, left.join(right, "k")).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("hot", ["left", "right"])
+def test_salted_join_with_one_hot_side(spark, plain_plans, hot):
+    many = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    few = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    left, right = (many, few) if hot == "left" else (few, many)
+    salted = joins.join_salted(left, right, "k")
+    assert salted.columns == left.join(right, "k").columns and sets.diff(salted, left.join(right, "k")).isEmpty()
+    tasks = salted.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 4 and max(t["count"] for t in tasks) < 1334 / 2
+
+
+def test_salted_join_without_hot_keys_is_a_plain_join(spark):
+    df = spark.range(100).select("id", (F.col("id") + 1).alias("v"))
+    salted = joins.join_salted(df, df.withColumnRenamed("v", "w"), "id")
+    assert salted.count() == 100 and "Union" not in salted._jdf.queryExecution().toString()
+
+
+def test_equal_values_fill_pages(spark):
+    """15,000 equal values of one key come in 15 pages, whatever fits one task."""
+    df = spark.range(15_100).select(F.lit(1).alias("k"), F.when(F.col("id") < 15_000, "x").otherwise(F.col("id").cast("string")).alias("v"))
+    for limit in ("1000", "4000000"):
+        spark.conf.set("spark.millrace.groupRows", limit)
+        try:
+            pages = aggregates.group_by_key(df, "k", "v", 1000).collect()
+        finally:
+            spark.conf.unset("spark.millrace.groupRows")
+        pages = sorted(pages, key=lambda r: r.page)
+        assert [len(r["values"]) for r in pages] == [1000] * 15 + [100]
+        assert [v for r in pages for v in r["values"]] == [str(i) for i in range(15_000, 15_100)] + ["x"] * 15_000
+
+
+def test_equal_order_values_are_split(spark):
+    """Rows of one group with one order value are numbered in many slices."""
+    spark.conf.set("spark.millrace.groupRows", "1000")
     try:
-        assert salted.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count() > 1
-        assert left.join(right, "k").where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count() == 1
+        df = spark.range(6000).select(F.lit(1).alias("g"), F.lit(5).alias("o"), F.col("id") % 3)
+        found = sorts.position_in_group(df, "g", ["o"])
+        assert sorted(r.pos for r in found.collect()) == list(range(6000))
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.millrace.groupRows")
+
+
+def test_wide_rows_are_not_broadcast(spark, plain_plans):
+    left = spark.range(10_000).select("id")
+    wide = spark.range(1000).select("id", F.repeat(F.lit("x"), 100_000).alias("body"), F.array(F.repeat(F.lit("y"), 10)).alias("list"))
+    joined = joins.join_bcast(left, wide, "id")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    narrow = joins.join_bcast(left, wide.select("id", "list"), "id")
+    assert "BroadcastHashJoin" in narrow._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dense_ids(spark):

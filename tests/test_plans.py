@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from millrace.operators import joins
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -55,6 +57,28 @@ def test_join_strategies(spark, name, join):
     assert join in plan(spark, name)
 
 
+def test_a_skewed_partition_is_split_at_run_time(spark):
+    """With thresholds that small data reaches, the hot key's partition is read by several tasks."""
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.maxPartitionBytes": "64k",
+    }
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    try:
+        # A partition is split between the map tasks that wrote it, so there must be several.
+        left = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+        right = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = joins.join_smj(left, right, "k")
+        rows = joined.collect()
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in text and "SortMergeJoin" in text
+        assert len(rows) == 60_000 and all(r.w == 2 * r.k for r in rows)
+    finally:
+        for key in low:
+            spark.conf.unset(key)
+
+
 def test_no_products(spark):
     for name in ["join_salted", "join_skewed", "filter_allowlist", "win_resume_page", "audit_delivery", "agg_quorum_read_union"]:
         text = plan(spark, name)
