@@ -10,7 +10,8 @@ A phrase that occurs often enough consists of phrases that do, so a pass over th
 shorter phrases found before are all frequent.  Tasks know these by a bitmap of hashes of at most MOST_BITS, whatever the
 corpus; a hash shared by chance costs time, never a wrong count, because words are counted as words.
 
-A stripe is dealt in parts by its next words, so that no task gets the whole stripe of a common prefix.
+The stripe of a prefix made of hot words, at least one word in HOT, is dealt in parts by its next words, so that no task
+gets the whole stripe of a common prefix; there are at most HOT such words.
 
 Defined cases: null and empty texts have no words, a null language is ``und``; repeated rows count each time; texts of any
 length are read in windows of bytes that keep the last words of an unfinished piece.
@@ -38,8 +39,8 @@ ship_with_tasks(__name__)
 MAX_WORDS, LEAST, TOP = 5, 100, 2000
 # Lengths of the phrases that one pass counts.
 PASSES = ((1,), (2,), (3,), (4, 5))
-# Parts of a stripe, and of the stripe of the empty prefix, which holds all words.
-PARTS, ROOT_PARTS = 16, 256
+# A hot word is at least one in so many; parts of a hot stripe, and of the stripe of the empty prefix, which holds all words.
+HOT, PARTS, ROOT_PARTS = 1000, 16, 256
 # Bytes of text handled at once; distinct counts and words a task holds before it sends them on.
 WINDOW, HELD, HELD_WORDS = 4 << 20, 2_000_000, 1_000_000
 # Bits of a bitmap for each frequent phrase, and in all.
@@ -53,7 +54,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _STEP, _ONES = np.uint64(0x9E3779B97F4A7C15), (1 << 64) - 1
 
-_STRIPE = "lang string, n int, prefix string, part int, next array<string>, counts array<long>"
+# The next words are joined by spaces, which no word has.
+_STRIPE = "lang string, n int, prefix string, part int, next string, counts array<int>"
 
 
 def _word_hash(lang: str, word: str) -> int:
@@ -72,8 +74,9 @@ def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
 class Words:
     """The words a task has met in one language, numbered."""
 
-    def __init__(self, lang: str):
+    def __init__(self, lang: str, hot: frozenset[tuple[str, str]]):
         self.lang, self.numbers, self.hashes = lang, {}, np.zeros(0, np.uint64)
+        self.hot = {word for of, word in hot if of == lang}
 
     def number(self, words: list[str]) -> np.ndarray:
         known = len(self.numbers)
@@ -126,8 +129,8 @@ def _windows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
 class Stripes:
     """Counts of the phrases of some lengths, by numbers of words, until they are sent."""
 
-    def __init__(self, lengths: tuple[int, ...]):
-        self.lengths = lengths
+    def __init__(self, lengths: tuple[int, ...], hot: frozenset[tuple[str, str]]):
+        self.lengths, self.hot = lengths, hot
         self.words: dict[str, Words] = {}
         self.counts: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
         self.held = 0
@@ -135,7 +138,7 @@ class Stripes:
     def add(self, lang: str, texts: pa.Array, frequent: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         carried = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for data, begins, goes_on in _windows(texts):
-            words = self.words.setdefault(lang, Words(lang))
+            words = self.words.setdefault(lang, Words(lang, self.hot))
             found, pieces = split(data, begins)
             coded = found.dictionary_encode()
             numbers = words.number(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
@@ -150,7 +153,7 @@ class Stripes:
             if self.held > HELD or sum(len(w.numbers) for w in self.words.values()) > HELD_WORDS:
                 kept = words.names(carried[0])
                 yield from self.send()
-                carried = self.words.setdefault(lang, Words(lang)).number(kept), carried[1]
+                carried = self.words.setdefault(lang, Words(lang, self.hot)).number(kept), carried[1]
 
     def _count(self, lang: str, numbers: np.ndarray, pieces: np.ndarray, before: int, hashes: np.ndarray, frequent: np.ndarray | None) -> None:
         count = len(numbers)
@@ -212,6 +215,9 @@ def _tally(rows: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarr
 def _as_stripes(words: Words, length: int, rows: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
     names = pa.array(list(words.numbers), pa.string())
     part = (words.hashes[rows[:, -1]] % np.uint64(ROOT_PARTS if length == 1 else PARTS)).astype(np.int32)
+    if length > 1:
+        hot = np.fromiter((w in words.hot for w in words.numbers), bool, len(words.numbers))
+        part[~hot[rows[:, :-1]].all(axis=1)] = 0
     order = np.lexsort((part, *rows[:, :-1].T[::-1]))
     rows, n, part = rows[order], n[order], part[order]
     change = np.append(True, part[1:] != part[:-1])
@@ -226,17 +232,20 @@ def _as_stripes(words: Words, length: int, rows: np.ndarray, n: np.ndarray) -> I
         offsets = pa.array((cut - cut[0]).astype(np.int32))
         yield pa.RecordBatch.from_arrays([
             pa.array([words.lang] * len(heads)), pa.array([length] * len(heads), pa.int32()), joined, pa.array(part[heads]),
-            pa.ListArray.from_arrays(offsets, names.take(pa.array(rows[span, -1]))), pa.ListArray.from_arrays(offsets, pa.array(n[span].astype(np.int64))),
+            pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(pa.array(rows[span, -1]))), " "),
+            pa.ListArray.from_arrays(offsets, pa.array(n[span].astype(np.int32))),
         ], ["lang", "n", "prefix", "part", "next", "counts"])
 
 
-def stripes(docs: DataFrame, lengths: tuple[int, ...], frequent: Broadcast | None = None) -> DataFrame:
+def stripes(
+    docs: DataFrame, lengths: tuple[int, ...], frequent: Broadcast | None = None, hot: frozenset[tuple[str, str]] = frozenset()
+) -> DataFrame:
     """(lang, n, prefix, next, f): the merged stripes of the phrases of ``n`` in ``lengths`` words of ``docs`` (lang, text).
 
-    ``frequent`` is a bitmap of the frequent phrases of one word less than the shortest.
+    ``frequent`` is a bitmap of the frequent phrases of one word less than the shortest, ``hot`` has the hot words (lang, word).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Stripes(lengths)
+        held = Stripes(lengths, hot)
         for batch in batches:
             langs = batch["lang"].dictionary_encode()
             for i, lang in enumerate(langs.dictionary.to_pylist()):
@@ -246,7 +255,7 @@ def stripes(docs: DataFrame, lengths: tuple[int, ...], frequent: Broadcast | Non
 
     sent = docs.select("lang", "text").mapInArrow(run, _STRIPE)
     # Grouping by more than the shuffle's keys needs no second one: stripes are merged where they meet.
-    met = sent.repartition("lang", "n", "prefix", "part").select("lang", "n", "prefix", "part", F.explode(F.arrays_zip("next", "counts")).alias("x"))
+    met = sent.repartition("lang", "n", "prefix", "part").select("lang", "n", "prefix", "part", F.explode(F.arrays_zip(F.split("next", " ").alias("next"), "counts")).alias("x"))
     merged = met.groupBy("lang", "n", "prefix", "part", F.col("x.next").alias("next")).agg(F.sum("x.counts").alias("f"))
     return merged.select("lang", "n", "prefix", "next", "f")
 
@@ -282,12 +291,15 @@ def count(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     bound_batches(spark)
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-    found, words, known = [], None, None
+    found, words, known, hot = [], None, None, frozenset()
     for lengths in PASSES:
-        merged = stripes(docs, lengths, known)
+        merged = stripes(docs, lengths, known, hot)
         if lengths == (1,):
             merged = persist_table(merged, "root")
             words = persist_table(merged.groupBy("lang").agg(F.sum("f").alias("words")), "words")
+            total = words.agg(F.sum("words")).first()[0] or 0
+            # At most HOT rows.
+            hot = frozenset((r["lang"], r["next"]) for r in merged.where(F.col("f") * HOT >= total).select("lang", "next").collect())
         level = persist_table(merged.where(F.col("f") >= least).withColumn("phrase", phrase), "level")
         found.append(level)
         if lengths != PASSES[-1]:
