@@ -21,6 +21,24 @@ def st_dedupe(spark, folder):
     return st.drain(once, "dedupe")
 
 
+def _in_files(df, order, files):
+    """A stream of one file per micro-batch, the table cut by ``order``; file by file as numbered."""
+    folder = scratch_path(df.sparkSession, "files")
+    for number in range(files):
+        df.where(order == number).coalesce(1).write.parquet(f"{folder}/{number}")
+    read = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    return read.parquet(folder)
+
+
+@query("st_dedupe_ever", "SELECT event_id, user_id, event_type FROM events")
+def st_dedupe_ever(spark, folder):
+    # Three files; each row is in two of them, and the newest rows come first.
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    sent = events.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    stream = _in_files(sent, F.pmod(-F.col("event_id") - F.col("copy"), F.lit(3)), 3)
+    return st.dedupe_ever(stream, ["event_id"], ["copy"]).select("event_id", "user_id", "event_type")
+
+
 @query("st_liveness", f"""
 WITH {HEARTBEATS_SQL}, last_beat AS (
   SELECT user_id, max(ts) AS ts, max_by(status, (ts, status)) AS status FROM heartbeats GROUP BY user_id)
@@ -76,6 +94,39 @@ def st_retry_counter(spark, folder):
     return st.retry_counter(failures, "parent", "user_id", "attempt", 2)[1]
 
 
+@query("st_retry_alarms", """
+WITH failures AS (
+  SELECT user_id % 5 AS parent, user_id, CAST(day(ts) AS INTEGER) AS attempt FROM events WHERE event_type = 'error')
+SELECT parent, user_id, attempt, count(*) AS failures FROM failures GROUP BY parent, user_id, attempt HAVING count(*) >= 2""")
+def st_retry_alarms(spark, folder):
+    events = st.stream_table(spark, folder, "events").where("event_type = 'error'")
+    failures = events.select((F.col("user_id") % 5).alias("parent"), "user_id", F.dayofmonth("ts").alias("attempt"))
+    return st.retry_counter(failures, "parent", "user_id", "attempt", 2)[0]
+
+
+@query("st_quota_reloaded", """
+WITH customers AS (SELECT c_nationkey, c_custkey, c_custkey % 2 AS file FROM customer),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey, file ORDER BY c_custkey) AS rn,
+                  count(*) OVER (PARTITION BY c_nationkey) AS n FROM customers),
+first_file AS (SELECT c_nationkey, c_custkey, file, rn <= 5 AS admitted FROM ranked WHERE file = 0),
+live AS (SELECT c_nationkey, count(*) AS live FROM first_file WHERE admitted GROUP BY c_nationkey)
+SELECT c_nationkey, c_custkey, CASE WHEN admitted THEN 1 ELSE 0 END AS admitted FROM first_file
+UNION ALL
+SELECT r.c_nationkey, r.c_custkey,
+       CASE WHEN rn <= CASE WHEN r.c_nationkey % 2 = 0 THEN 8 ELSE 5 END - coalesce(live, 0) THEN 1 ELSE 0 END AS admitted
+FROM ranked r LEFT JOIN live l ON l.c_nationkey = r.c_nationkey WHERE file = 1""")
+def st_quota_reloaded(spark, folder):
+    # Customers come in two files; with the second one, a new quota arrives for the nations with even numbers.
+    rows = table(spark, folder, "customer").select("c_nationkey", "c_custkey", F.col("c_custkey").alias("at"), F.lit(None).cast("int").alias("quota"))
+    news = table(spark, folder, "nation").where("n_nationkey % 2 = 0").select(
+        F.col("n_nationkey").cast(rows.schema["c_nationkey"].dataType).alias("c_nationkey"), F.lit(None).cast(rows.schema["c_custkey"].dataType).alias("c_custkey"),
+        F.lit(None).cast(rows.schema["at"].dataType).alias("at"), F.lit(8).alias("quota"),
+    )
+    lines = _in_files(rows.unionAll(news), F.when(F.col("quota").isNotNull(), 1).otherwise((F.col("c_custkey") % 2).cast("int")), 2)
+    verdicts, _ = st.quota(lines, "c_nationkey", "c_custkey", "at", lines.where("quota is not null").select("c_nationkey", "quota"))
+    return verdicts.select("c_nationkey", "c_custkey", F.col("admitted").cast("int").alias("admitted"))
+
+
 @query("st_size_batches", """
 WITH RECURSIVE steps AS MATERIALIZED (
   SELECT user_id, event_id, 1 + event_id % 40 AS size, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def st_dedupe(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """Each key once, if its repeats come within ``delay`` of event time."""
+    """Each key once, if its repeats come within ``delay`` of event time.
+
+    A row older than the watermark is dropped, also if its key never came before; ``history.dedupe_ever`` keeps it.
+    """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 

@@ -11,17 +11,27 @@ from millrace.operators.ordered import SLICE, first_rows, run_over, same_keys, w
 from millrace.operators.project import allow, deny
 from millrace.session import persist_table
 from millrace.sizing import small_side
+from millrace.streaming.keyed import quota_run, retry_run
 from millrace.streaming.run import _path, fold_batches
 
 # Fixed value: entities an owner may have unless told otherwise.
 DEFAULT_QUOTA = 5
 
 
+def _quota_lines(lines: DataFrame) -> DataFrame:
+    parts = F.split(F.regexp_replace("value", r"^\s*#.*$", ""), "=")
+    number = F.when(F.size(parts) == 2, F.trim(parts[1])).try_cast("int")
+    return lines.select(F.trim(parts[0]).alias("owner"), number.alias("quota")).where("quota is not null and owner != ''")
+
+
 def read_quotas(spark: SparkSession, path: str) -> DataFrame:
-    """``owner = n`` lines as (owner, quota); blank lines and ``#`` lines are ignored."""
-    lines = spark.read.text(path).where((F.col("value") != "") & ~F.col("value").startswith("#"))
-    parts = F.split("value", "=")
-    return lines.select(F.trim(parts[0]).alias("owner"), F.trim(parts[1]).cast("int").alias("quota"))
+    """``owner = n`` lines as (owner, quota); blank lines, ``#`` lines and lines that are no such pair are ignored."""
+    return _quota_lines(spark.read.text(path))
+
+
+def follow_quotas(spark: SparkSession, folder: str) -> DataFrame:
+    """The quota lines of each file that appears in a folder, as a stream of changes for ``quota``."""
+    return _quota_lines(spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(folder))
 
 
 def quota_admit(
@@ -54,30 +64,17 @@ def quota_admit(
 
 def quota(
     stream: DataFrame, owner: str, entity: str, ts: str, overrides: DataFrame, default: int = DEFAULT_QUOTA,
-    ttl_seconds: int | None = None,
+    ttl_seconds: int | None = None, delay: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Admission verdicts per micro-batch and the live entities at the end.
 
-    An entity idle for more than the TTL before the first row of a batch frees its place before that batch.
+    ``overrides`` (owner, ``quota``) is a table, or a stream of changes: a line for an owner holds until the next one, and
+    a null quota brings the default back.  An entity idle for more than the TTL before its owner's first row of a batch
+    frees its place before that batch.  With ``delay`` a timer also frees it once the watermark, which is that much behind
+    the newest row, has passed; rows older than the watermark are then not judged.  State is kept per owner: a
+    micro-batch reads and writes the owners it meets.
     """
-    kinds = {n: stream.schema[n].dataType.simpleString() for n in (owner, entity, ts)}
-
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        if ttl_seconds is not None:
-            start = batch.agg(F.min(ts)).first()[0]
-            if start is not None:
-                idle = F.unix_micros(F.lit(start).cast("timestamp")) - F.unix_micros(F.col("seen").cast("timestamp"))
-                state = state.where(idle <= ttl_seconds * 1_000_000)
-        verdicts = persist_table(quota_admit(batch, owner, entity, ts, overrides, default, state), "verdicts")
-        admitted = verdicts.where("admitted").select(owner, entity, F.col("last_seen").alias("seen"))
-        after = state.unionByName(admitted).groupBy(owner, entity).agg(F.max("seen").alias("seen"))
-        return verdicts, after
-
-    keys = f"`{owner}` {kinds[owner]}, `{entity}` {kinds[entity]}"
-    return fold_batches(
-        stream, step, f"{keys}, first_seen {kinds[ts]}, last_seen {kinds[ts]}, admitted boolean",
-        f"{keys}, seen {kinds[ts]}", "quota",
-    )
+    return quota_run(stream, owner, entity, ts, overrides, default, ttl_seconds, delay)[1:]
 
 
 def counter_state(batch: DataFrame, state: DataFrame, parent: str, group: str, attempt: str) -> DataFrame:
@@ -93,21 +90,9 @@ def retry_counter(stream: DataFrame, parent: str, group: str, attempt: str, maxi
     """Rows (parent, group, attempt, failures) at the batch where a group reaches ``maximum``, and the final counters.
 
     A newer attempt of the parent resets all its groups; reports of older attempts are ignored.  Attempts of a
-    parent are taken to arrive in order inside a micro-batch.
+    parent are taken to arrive in order inside a micro-batch.  State is kept per parent.
     """
-    kinds = {n: stream.schema[n].dataType.simpleString() for n in (parent, group, attempt)}
-
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        counts = counter_state(batch, state, parent, group, attempt)
-        before = state.select(parent, group, attempt, F.col("failures").alias("_had"))
-        crossed = counts.join(before, [parent, group, attempt], "left").where(
-            (F.col("failures") >= maximum) & (F.coalesce("_had", F.lit(0)) < maximum)
-        )
-        newest = counts.groupBy(parent).agg(F.max(attempt).alias(attempt))
-        return crossed.drop("_had"), counts.join(newest, [parent, attempt], "left_semi")
-
-    ddl = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", failures long"
-    return fold_batches(stream, step, ddl, ddl, "retries")
+    return retry_run(stream, parent, group, attempt, maximum)[1:]
 
 
 def size_batches(

@@ -150,3 +150,71 @@ def test_rows_of_unknown_or_expired_owners_are_rejected(spark):
     stream = feed(spark, "own", batches, "o string, ts timestamp")
     out = st.drain(st.split_rejected(stream, owners, "o", "ts", "gone"), "rej")
     assert rows(out.where("accepted").select("o")) == [("a",), ("b",)] and out.where("NOT accepted").count() == 3
+
+
+def test_dedupe_past_any_watermark(spark):
+    """Ids at hours 10, 20 and 1 in three files all come out once."""
+    hour = 3600
+    batches = [[(1, at(10 * hour)), (1, at(10 * hour + 1))], [(2, at(20 * hour)), (1, at(11 * hour))], [(3, at(hour)), (2, at(0)), (None, at(5)), (None, at(6))]]
+    schema = "id int, ts timestamp"
+    got = st.dedupe_ever(feed(spark, "ever", batches, schema), ["id"], ["ts"])
+    assert rows(got) == sorted([(1, at(10 * hour)), (2, at(20 * hour)), (3, at(hour)), (None, at(5))], key=repr)
+    assert st.dedupe_ever(feed(spark, "none", [[]], schema), ["id"]).count() == 0
+
+
+def test_history_is_joined_up_and_survives_a_second_run(spark):
+    from millrace.streaming.history import History
+
+    path = scratch_path(spark, "history")
+    history = History(spark, path, "_k0 int, _bucket int")
+    for number in range(5):
+        history.write(spark.createDataFrame([(number, number % 2)], "_k0 int, _bucket int"), number, number)
+    history.join_up(4)
+    assert history.folders(5) == [(0, 3), (4, 4)] and history.folders(4) == [(0, 3)]
+    assert rows(history.read(5)) == [(n, n % 2) for n in range(5)] and rows(history.read(4, [1])) == [(1, 1), (3, 1)]
+    history.write(spark.createDataFrame([(9, 1)], "_k0 int, _bucket int"), 4, 4)
+    assert rows(history.read(5, [1])) == [(1, 1), (3, 1), (9, 1)]
+
+
+def test_dedupe_over_many_batches(spark):
+    batches = [[(i % 7, i) for i in range(n * 3, n * 3 + 3)] for n in range(6)]
+    got = st.dedupe_ever(feed(spark, "many", batches, "id int, n int"), ["id"], ["n"], buckets=3, join_up=2)
+    assert rows(got) == [(i, i) for i in range(7)]
+
+
+def test_a_batch_writes_the_state_of_its_own_owners(spark):
+    """A micro-batch with 1 % of the owners changes 1 % of the state, and the verdicts are those of the batch function."""
+    from millrace.streaming.keyed import quota_run
+
+    schema = "o int, e int, at long"
+    first = [(o, e, e) for o in range(300) for e in range(2)]
+    second = [(o, 10 + e, 10 + e) for o in range(3) for e in range(4)]
+    none = spark.createDataFrame([], "o int, quota int")
+    run, verdicts, live = quota_run(feed(spark, "owners", [first, second], schema), "o", "e", "at", none, 4)
+    changed = [sum(s["numRowsUpdated"] for s in p["stateOperators"]) for p in run.progress if p["numInputRows"]]
+    assert len(changed) == 2 and changed[1] <= changed[0] * 3 / 300 * 2
+    expected = rows(st.quota_admit(spark.createDataFrame(first + second, schema), "o", "e", "at", none, 4))
+    assert rows(verdicts) == expected
+    assert live.count() == sum(r[4] for r in expected)
+    again = quota_run(feed(spark, "again", [first, second], schema), "o", "e", "at", none, 4)[1]
+    assert rows(again) == expected
+
+
+def test_quota_timers_free_idle_owners(spark):
+    schema = "o string, e int, ts timestamp"
+    none = spark.createDataFrame([], "o string, quota int")
+    batches = [[("a", 1, at(0)), ("b", 1, at(0))], [("b", 2, at(500))], [("b", 3, at(900))]]
+    _, live = st.quota(feed(spark, "timed", batches, schema), "o", "e", "ts", none, 3, ttl_seconds=60, delay="0 seconds")
+    assert ("a", 1) not in {(r.o, r.e) for r in live.collect()}  # nothing of "a" came after
+    _, live = st.quota(feed(spark, "untimed", batches, schema), "o", "e", "ts", none, 3, ttl_seconds=60)
+    assert rows(live.select("o", "e")) == [("a", 1), ("b", 3)]
+
+
+def test_quotas_follow_their_files(spark):
+    schema = "o string, e int, at long"
+    folder = scratch_path(spark, "quota-files")
+    spark.createDataFrame([("a = 1",), ("# b = 9",), ("b =",), ("b = x",), ("nothing",), ("b = 2 = 3",)], "value string").coalesce(1).write.text(f"{folder}/1")
+    stream = feed(spark, "followed", [[("a", i, i) for i in range(3)] + [("b", i, i) for i in range(3)]], schema)
+    lines = st.follow_quotas(spark, folder).withColumnRenamed("owner", "o")
+    verdicts, live = st.quota(stream, "o", "e", "at", lines, default=2)
+    assert rows(live.select("o", "e")) == [("a", 0), ("b", 0), ("b", 1)]
