@@ -16,6 +16,7 @@ import heapq
 import json
 import os
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,8 +35,8 @@ ship_with_tasks(__name__)
 LEXICON_WORDS = 32_768
 # A word is compiled only if it occurs once in so many characters; bounds what tasks send to find the most frequent.
 RAREST = 20_000_000
-# Segments whose tokens a Python worker remembers before it starts afresh.
-REMEMBERED = 300_000
+# Segments, and words, whose tokens a Python worker remembers before it starts afresh; characters it encodes at once.
+REMEMBERED, RUN = 300_000, 1 << 20
 
 # The published pre-tokenizer pattern of byte-level BPE (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -57,6 +58,11 @@ class Vocabulary:
     merges: dict[tuple[int, int], tuple[int, int]]
     added: dict[str, int]
 
+    def __post_init__(self):
+        # For the merge loop: rank by a pair packed in one number, and the id that each rank makes.
+        self.ranks = {a << 32 | b: rank for (a, b), (rank, _) in self.merges.items()}
+        self.made = {rank: made for rank, made in self.merges.values()}
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         with open(path, encoding="utf-8") as file:
@@ -78,19 +84,19 @@ class Vocabulary:
         ids = [self.of_byte[b] for b in word]
         if len(ids) > 48:
             return self._merged_long(ids)
-        find, none = self.merges.get, (len(self.merges), 0)
-        ranks = [find(p, none)[0] for p in zip(ids, ids[1:], strict=False)]
+        find, made, none = self.ranks.get, self.made, 1 << 60
+        ranks = [find(x << 32 | y, none) for x, y in zip(ids, ids[1:], strict=False)]
         while ranks:
             rank = min(ranks)
-            if rank == none[0]:
+            if rank == none:
                 break
             i = ranks.index(rank)
-            ids[i:i + 2] = [find((ids[i], ids[i + 1]))[1]]
+            ids[i:i + 2] = [made[rank]]
             del ranks[i]
             if i:
-                ranks[i - 1] = find((ids[i - 1], ids[i]), none)[0]
+                ranks[i - 1] = find(ids[i - 1] << 32 | ids[i], none)
             if i < len(ranks):
-                ranks[i] = find((ids[i], ids[i + 1]), none)[0]
+                ranks[i] = find(ids[i] << 32 | ids[i + 1], none)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
@@ -239,6 +245,7 @@ class Encoder:
         self.pattern = regex.compile(PATTERN)
         self.added = regex.compile("(" + "|".join(map(regex.escape, vocabulary.added)) + ")") if vocabulary.added else None
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def learn(self, segments: set[str]) -> None:
         """Find the tokens of segments not seen before."""
@@ -246,9 +253,12 @@ class Encoder:
             self.known.clear()
         new = list(segments.difference(self.known))
         cut = [self.pattern.findall(s) for s in new]
-        words = sorted({w for x in cut for w in x})
+        # A word comes in several segments, with other punctuation.
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        ids = self.words
+        words = sorted({w for x in cut for w in x}.difference(ids))
         raw = [w.encode() for w in words]
-        ids = {}
         for word, bare, rank in zip(words, raw, self.lexicon.ranks(raw).tolist(), strict=True):
             if rank >= 0:
                 found = self.lexicon.ids[self.lexicon.starts[rank]:self.lexicon.starts[rank + 1]]
@@ -283,6 +293,17 @@ class Encoder:
         found = self.known
         return [b"".join([special[p[0]] if i % 2 else b"".join([found[s] for s in p]) for i, p in enumerate(own)]) for own in pieces]
 
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """As ``encode``, in runs of texts of about RUN characters, so that few segments are held at once."""
+        run, size = [], 0
+        for text in texts:
+            run.append(text)
+            size += len(text)
+            if size >= RUN:
+                yield from self.encode(run)
+                run, size = [], 0
+        yield from self.encode(run)
+
     def decode(self, tokens: bytes) -> str:
         table = self.vocabulary.tokens
         return b"".join([table[i] for i in np.frombuffer(tokens, "<u4").tolist()]).decode("utf-8", "replace")
@@ -339,7 +360,7 @@ def encode_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
 
     @F.pandas_udf("array<int>")
     def encoded(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(x, "<u4").astype("int32") for x in tokenizer.encoder().encode(list(texts))])
+        return pd.Series([np.frombuffer(x, "<u4").astype("int32") for x in tokenizer.encoder().encode_all(list(texts))])
 
     return encoded(F.coalesce(F.col(text), F.lit("")))
 
@@ -356,6 +377,19 @@ def decode_column(spark: SparkSession, tokenizer: Tokenizer, ids: str = "ids") -
     return decoded(F.col(ids))
 
 
+def tokens_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text") -> Column:
+    """Struct of the token ids and the hash of the text decoded from them, from one encoding."""
+    bound_batches(spark)
+
+    @F.pandas_udf("ids array<int>, decoded_sha256 string")
+    def tokens(texts: pd.Series) -> pd.DataFrame:
+        encoder = tokenizer.encoder()
+        rows = [(np.frombuffer(x, "<i4"), hashlib.sha256(encoder.decode(x).encode()).hexdigest()) for x in encoder.encode_all(list(texts))]
+        return pd.DataFrame(rows, columns=["ids", "decoded_sha256"])
+
+    return tokens(F.coalesce(F.col(text), F.lit("")))
+
+
 def digest_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text") -> Column:
     """Struct of the number of tokens, the hash of the ids, and the hash of the text decoded from them."""
     bound_batches(spark)
@@ -364,7 +398,7 @@ def digest_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
     def digested(texts: pd.Series) -> pd.DataFrame:
         encoder = tokenizer.encoder()
         rows = []
-        for tokens in encoder.encode(list(texts)):
+        for tokens in encoder.encode_all(list(texts)):
             rows.append((len(tokens) // 4, hashlib.sha256(tokens).hexdigest(), hashlib.sha256(encoder.decode(tokens).encode()).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
