@@ -44,8 +44,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids (the tokens), and the hash of the text decoded from them."""
     tokenizer = bpe.build(docs, bpe.public_path())
-    encoded = docs.select("doc_id", "lang", "source", bpe.encode_column(spark, tokenizer).alias("ids"))
-    return encoded.withColumn("decoded_sha256", F.sha2(bpe.decode_column(spark, tokenizer), 256))
+    return docs.select("doc_id", "lang", "source", bpe.tokens_column(spark, tokenizer).alias("t")).select("doc_id", "lang", "source", "t.*")
 
 
 STAGES = [
