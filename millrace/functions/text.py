@@ -39,3 +39,9 @@ def fmt_ts(epoch_ms: Column) -> Column:
     seconds = (epoch_ms - F.pmod(epoch_ms, F.lit(1000))) / F.lit(1000)
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return (start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")
+
+
+def hash_slot(key: Column, slots: Column | int) -> Column:
+    """One of ``slots`` places, 0 first, by 60 bits of the MD5 of a text; other systems can compute the same place."""
+    number = F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("long")
+    return F.pmod(number, slots if isinstance(slots, Column) else F.lit(slots))

@@ -117,7 +117,10 @@ def ids_by_group(df: DataFrame, group: str, value: str, start: int, end: int) ->
     """Distinct ids of every group in [start, end), one row each; a group without ids has one row with a null id."""
     spine = df.sparkSession.range(start, end).select(F.col("id").cast(df.schema[group].dataType).alias(group))
     inside = df.where((F.col(group) >= start) & (F.col(group) < end) & F.col(value).isNotNull())
-    return spine.join(inside.select(group, value).distinct(), group, "left")
+    ids = inside.select(group, value).distinct()
+    # Only the names of groups meet; the ids of a large group stay where they are.
+    without = spine.join(inside.select(group).distinct(), group, "left_anti")
+    return ids.unionByName(without.withColumn(value, F.lit(None).cast(df.schema[value].dataType)))
 
 
 def shard_ids(df: DataFrame, group: str, value: str, shards: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from millrace.session import persist_table
+
 
 def by_hash(df: DataFrame, partitions: int | None, *keys: str | Column) -> DataFrame:
     """Equal keys in one partition."""
@@ -51,6 +53,18 @@ def watched(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def moved(df: DataFrame, partitions: int, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` exchanged by key and written, and one row (``written``, ``fetched``, ``same``).
+
+    Rows are counted as they enter the exchange, by the job that carries it out; the source is not read again to count.
+    """
+    entering, seen = watched(df, "entering")
+    table = persist_table(by_hash(entering, partitions, *keys), "moved")
+    written = seen.get["rows"]
+    verdict = table.agg(F.lit(written).cast("long").alias("written"), F.count(F.lit(1)).alias("fetched"))
+    return table, verdict.withColumn("same", F.col("written") == F.col("fetched"))
+
+
 def conserved(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per key written to and read from an exchange, and whether they agree."""
     sides = before.select(*keys, F.lit(1).alias("_w")).unionByName(after.select(*keys, F.lit(0).alias("_w")))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from millrace.operators.ordered import first_rows, row_index
 from millrace.session import ship_with_tasks
@@ -31,3 +32,14 @@ def numbered_by(df: DataFrame, group: Column, order: list[Column], out: str = "p
 def heads_by(df: DataFrame, group: Column, order: list[Column]) -> DataFrame:
     """The first row of each group of a grouping comparator."""
     return first_rows(df.withColumn("_group", group), ["_group"], order).drop("_group")
+
+
+def table_function(df: DataFrame, function: type, schema: str, part: list[str], order: list[str | Column]) -> DataFrame:
+    """A user's table function: ``function().eval(row)`` for the rows of a group in order, then ``terminate()``.
+
+    Both may yield rows of ``schema``.  Rows pass one at a time, so a group is never held; each group has an object of its
+    own.
+    """
+    call = F.udtf(function, returnType=schema)
+    ordered = [F.col(o) if isinstance(o, str) else o for o in order]
+    return call(df.asTable().partitionBy(*[F.col(p) for p in part]).orderBy(*ordered))

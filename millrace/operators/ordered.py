@@ -183,8 +183,20 @@ def resume_page(
     rows that are returned and counted, not the search for the cursor.
     """
     frame, split = with_slices(df, part, order)
+    marks = cursors.select(*[F.col(p).alias("_c_" + p) for p in part], "cursor")
+    if not split:
+        # One sort serves the search for the cursor and the page; Spark broadcasts the cursors if it finds them small.
+        met = frame.join(marks, same_keys(frame, marks, part, "_c_"), "left")
+        rows = Window.partitionBy(*part).orderBy(*order)
+        met = met.withColumn("_idx", F.row_number().over(rows))
+        at = F.min(F.when(F.col(key) == F.col("cursor"), F.col("_idx"))).over(Window.partitionBy(*part))
+        after = F.coalesce(F.col("_idx") > at, F.lit(True))
+        counted = F.when(after if wanted is None else after & F.coalesce(wanted, F.lit(False)), F.coalesce(size, F.lit(0)))
+        met = met.withColumn("_size", counted)
+        so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return met.withColumn("_end", F.sum("_size").over(so_far)).where(F.col("_end") - F.col("_size") < limit).select(*df.columns)
     placed = run_over(frame, part, order, split, {"_idx": F.lit(1).cast("long")})
-    renamed = small_side(cursors.select(*[F.col(p).alias("_c_" + p) for p in part], "cursor"), computed=True)
+    renamed = small_side(marks, computed=True)
     match = same_keys(placed, renamed, part, "_c_") & (placed[key] == renamed["cursor"])
     found = placed.join(renamed, match).groupBy(*part).agg(F.min("_idx").alias("_at"))
     found = small_side(found.select(*[F.col(p).alias("_f_" + p) for p in part], "_at"), computed=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.text import hash_slot
 from millrace.operators.ordered import first_rows, row_index, running
 from millrace.session import persist_table
 from millrace.sizing import biggest_group, group_row_limit, small_side
@@ -161,7 +162,7 @@ def place(entities: DataFrame, existing: DataFrame, targets: DataFrame, entity:
         small_side(writable.select(F.col(target).alias("_ok"))), F.col("_held") == F.col("_ok"), "left_semi"
     )
     out = entities.select(entity).join(held, entity, "left").join(F.broadcast(size), F.lit(True), "left")
-    slot = F.expr(f"CASE WHEN _size > 0 THEN pmod(xxhash64(`{entity}`), _size) END")
+    slot = F.when(F.col("_size") > 0, hash_slot(F.col(entity), F.col("_size")))
     out = out.withColumn("_slot", slot)
     out = out.join(ranked, F.col("_slot") == F.col("_at"), "left")
     return out.select(entity, F.coalesce("_held", target).alias(target))

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as ops
-from millrace.operators import hooks
+from millrace.operators import hooks, idsets, reduce
 from millrace.plans.registry import query
 from millrace.plans.views import LEDGER_SQL, TOKENS_SQL, ledger, lines
 from millrace.session import ship_with_tasks
@@ -68,6 +68,28 @@ def agg_merge_combine(spark, folder):
     return ops.combine_runs(rows, "user_id", "user_id long, n long, lo long, hi long", _spread)
 
 
+def _two_largest(rows: pd.DataFrame) -> pd.DataFrame:
+    """The two largest distinct values of each user, one row each, in columns."""
+    seconds = rows.loc[rows["second"].notna(), ["user_id", "second"]].set_axis(["user_id", "top"], axis=1)
+    values = pd.concat([rows.loc[rows["top"].notna(), ["user_id", "top"]], seconds.astype({"top": "float64"})])
+    ranked = values.drop_duplicates().sort_values("top", ascending=False).groupby("user_id", dropna=False)["top"]
+    return ranked.agg(top="first", second=lambda v: v.iloc[1] if len(v) > 1 else None).reset_index()
+
+
+@query("agg_second_largest", """
+SELECT user_id, max(v) AS second FROM (
+  SELECT user_id, CAST(event_id % 97 AS DOUBLE) AS v, max(CAST(event_id % 97 AS DOUBLE)) OVER (PARTITION BY user_id) AS top FROM events)
+WHERE v < top GROUP BY user_id""")
+def agg_second_largest(spark, folder):
+    rows = table(spark, folder, "events").select("user_id", (F.col("event_id") % 97).cast("double").alias("v"))
+    found = reduce.aggregate(
+        rows, "user_id", "user_id long, top double, second double", "user_id long, second double",
+        partial=lambda batch: _two_largest(batch.rename(columns={"v": "top"}).assign(second=None)),
+        merge=_two_largest, finish=lambda states: states[["user_id", "second"]],
+    )
+    return found.where("second is not null")
+
+
 @query("agg_null_keys", """
 SELECT coalesce(k, 'null') AS k, count(*) AS n_rows, count(v) AS n, CAST(sum(v) AS BIGINT) AS total
 FROM (SELECT nullif(l_returnflag, 'R') AS k, nullif(l_linenumber, 1) AS v FROM lineitem) GROUP BY k""")
@@ -101,6 +123,11 @@ def agg_ids_by_group_dense(spark, folder):
     return ops.ids_by_group(ledger(spark, folder), "g", "attempt", 4, 40).fillna({"attempt": -1})
 
 
+@query("agg_ids_bitmaps", f"WITH {LEDGER_SQL} SELECT attempt, count(DISTINCT l_partkey) AS n FROM ledger GROUP BY attempt")
+def agg_ids_bitmaps(spark, folder):
+    return idsets.cardinality(idsets.bitmaps(ledger(spark, folder), ["attempt"], "l_partkey"), ["attempt"])
+
+
 @query("agg_ids_hash_sharded", f"WITH {LEDGER_SQL} SELECT DISTINCT g % 5 AS shard, g, attempt FROM ledger")
 def agg_ids_hash_sharded(spark, folder):
     return ops.shard_ids(ledger(spark, folder), "g", "attempt", 5)
@@ -263,3 +290,74 @@ def hook_group_heads(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     heads = hooks.heads_by(orders, F.expr("o_custkey div 10"), [F.col("o_orderkey")])
     return heads.select(F.expr("o_custkey div 10").alias("block"), "o_orderkey")
+
+
+def _drawdown(key, pages):
+    """The deepest fall below an earlier value: needs the order, holds two numbers."""
+    top, fall = float("-inf"), 0.0
+    for page in pages:
+        highs = page["o_totalprice"].cummax().clip(lower=top)
+        fall, top = max(fall, float((highs - page["o_totalprice"]).max())), float(highs.iloc[-1])
+    yield pd.DataFrame({"o_custkey": [key[0]], "fall": [fall]})
+
+
+@query("hook_reduce", """
+SELECT o_custkey, max(high - o_totalprice) AS fall FROM (
+  SELECT o_custkey, o_totalprice, max(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS high FROM orders)
+GROUP BY o_custkey""")
+def hook_reduce(spark, folder):
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    return reduce.reduce_groups(orders, ["o_custkey"], ["o_orderkey"], "o_custkey long, fall double", _drawdown, page_rows=8)
+
+
+def _orders_and_balance(key, orders, customers):
+    n, first = 0, None
+    for page in orders:
+        n, first = n + len(page), int(page["o_orderkey"].iloc[0]) if first is None else first
+    balance = next((float(page["c_acctbal"].iloc[0]) for page in customers), None)
+    yield pd.DataFrame({"k": [key[0]], "n": [n], "first": pd.array([first], "Int64"), "balance": pd.array([balance], "Float64")})
+
+
+@query("hook_reduce_pairs", """
+WITH o AS (SELECT o_custkey AS k, count(*) AS n, min(o_orderkey) AS "first" FROM orders WHERE o_custkey % 3 > 0 GROUP BY 1),
+c AS (SELECT c_custkey AS k, CAST(c_acctbal AS DOUBLE) AS balance FROM customer WHERE c_custkey % 3 < 2)
+SELECT coalesce(o.k, c.k) AS k, coalesce(n, 0) AS n, "first", balance FROM o FULL JOIN c ON c.k = o.k""")
+def hook_reduce_pairs(spark, folder):
+    orders = table(spark, folder, "orders").where("o_custkey % 3 > 0").select(F.col("o_custkey").alias("k"), "o_orderkey")
+    customers = table(spark, folder, "customer").where("c_custkey % 3 < 2").select(
+        F.col("c_custkey").alias("k"), F.col("c_acctbal").cast("double").alias("c_acctbal")
+    )
+    schema = "k long, n long, first long, balance double"
+    return reduce.reduce_pairs(orders, customers, ["k"], schema, _orders_and_balance, (["o_orderkey"], []), page_rows=8)
+
+
+class _Runs:
+    """Table function: runs of order keys at most 40 apart."""
+
+    def __init__(self):
+        self.supplier = self.start = self.stop = None
+        self.n = 0
+
+    def eval(self, row):
+        if self.n and row["l_orderkey"] - self.stop > 40:
+            yield self.supplier, self.start, self.stop, self.n
+            self.n = 0
+        if not self.n:
+            self.supplier, self.start = row["l_suppkey"], row["l_orderkey"]
+        self.stop, self.n = row["l_orderkey"], self.n + 1
+
+    def terminate(self):
+        if self.n:
+            yield self.supplier, self.start, self.stop, self.n
+
+
+@query("hook_table_function", """
+WITH gaps AS (
+  SELECT l_suppkey, l_orderkey,
+         CASE WHEN l_orderkey - lag(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) > 40 THEN 1 ELSE 0 END AS new
+  FROM lineitem),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey ROWS UNBOUNDED PRECEDING) AS run FROM gaps)
+SELECT l_suppkey, min(l_orderkey) AS start, max(l_orderkey) AS stop, count(*) AS n FROM runs GROUP BY l_suppkey, run""")
+def hook_table_function(spark, folder):
+    rows = table(spark, folder, "lineitem").select("l_suppkey", "l_orderkey")
+    return hooks.table_function(rows, _Runs, "l_suppkey long, start long, stop long, n long", ["l_suppkey"], ["l_orderkey"])

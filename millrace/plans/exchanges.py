@@ -51,6 +51,12 @@ def xchg_chain(spark, folder):
     return exchange.chained(keys, "l_orderkey", _partitions(spark), 2 * _partitions(spark))
 
 
+@query("conservation_observed", "SELECT count(*) AS written, count(*) AS fetched, 1 AS same FROM orders")
+def conservation_observed(spark, folder):
+    out = exchange.moved(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"), _partitions(spark), "o_orderkey")[1]
+    return out.withColumn("same", F.col("same").cast("int"))
+
+
 @query("conservation_check", """
 SELECT o_orderstatus, count(*) AS written, count(*) AS fetched, 1 AS same FROM orders GROUP BY o_orderstatus""")
 def conservation_check(spark, folder):

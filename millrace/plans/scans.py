@@ -94,7 +94,10 @@ def route_by_huge_group(spark, folder):
     return src.route_huge_groups(rows, "l_suppkey", F.col("len"), 15300)
 
 
-@query("sink_hash_spread")
+@query("sink_hash_spread", f"""
+WITH {LEDGER_SQL} SELECT l_orderkey, l_linenumber, g,
+       CAST(CAST('0x' || substr(md5(concat_ws('_', g, l_orderkey, l_linenumber)), 1, 15) AS BIGINT) % 7 AS INTEGER) AS sink
+FROM ledger""")
 def sink_hash_spread(spark, folder):
     rows = ledger(spark, folder).select("l_orderkey", "l_linenumber", "g")
     return src.hash_spread(rows, ["g", "l_orderkey", "l_linenumber"], 7)

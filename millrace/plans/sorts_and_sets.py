@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import sets, sorts
+from millrace.operators import idsets, sets, sorts
 from millrace.plans.registry import query
 from millrace.plans.views import LEDGER_ORDER, LEDGER_SQL, ORDER_SQL, TOKENS_SQL, ledger, lines, sizes
 from millrace.sources import table
@@ -63,6 +63,15 @@ def set_union_distinct(spark, folder):
     ])
 
 
+@query("set_union_bitmaps", """
+SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer UNION SELECT user_id FROM events""")
+def set_union_bitmaps(spark, folder):
+    return idsets.union_distinct([
+        _ids(spark, folder, "orders", "o_custkey"), _ids(spark, folder, "customer", "c_custkey"),
+        _ids(spark, folder, "events", "user_id"),
+    ], "id")
+
+
 @query("set_union_all", """
 SELECT o_custkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer UNION ALL SELECT user_id FROM events""")
 def set_union_all(spark, folder):

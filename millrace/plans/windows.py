@@ -74,6 +74,36 @@ def win_chunk_by_size_strict(spark, folder):
     return _chunk_columns(chunking.chunk(rows, ["g"], LEDGER_ORDER, F.col("len"), 300, "l_orderkey", strict=True))
 
 
+_WALK_SQL = _recursive_sql(_STEPS_SQL, "g", 200, ">=").split("SELECT g, CAST(start AS BIGINT)")[0]
+
+
+@query("win_chunk_members", f"""{_WALK_SQL}
+SELECT w.g, CAST(w.start AS BIGINT) AS "offset", CAST(max(acc) AS BIGINT) AS total,
+       string_agg(w.l_orderkey || ':' || CAST(acc - s.len AS BIGINT) || ':' || s.len, ',' ORDER BY w.pos) AS members
+FROM walk w JOIN steps s ON s.g = w.g AND s.pos = w.pos GROUP BY w.g, w.start""")
+def win_chunk_members(spark, folder):
+    rows = ledger(spark, folder)
+    chunks = chunking.chunk(rows, ["g"], LEDGER_ORDER, F.col("len"), 200, "l_orderkey", carry={"line": F.col("l_linenumber")})
+    placed = F.transform("members", lambda m: F.concat_ws(":", *[m[f].cast("string") for f in ("id", "offset", "length")]))
+    return chunks.select("g", "offset", "total", F.array_join(placed, ",").alias("members"))
+
+
+@query("win_chunk_cut_apart", f"""
+WITH {SEQ_SQL} SELECT g, l_orderkey AS id, CAST(upto - len AS BIGINT) AS "offset", len AS length, l_linenumber AS line FROM seq""")
+def win_chunk_cut_apart(spark, folder):
+    rows = ledger(spark, folder)
+    chunks = chunking.chunk(rows, ["g"], LEDGER_ORDER, F.col("len"), 200, "l_orderkey", carry={"line": F.col("l_linenumber")}, page_rows=16)
+    return chunking.cut_apart(chunks)
+
+
+@query("win_chunk_unpack", """
+SELECT lang, doc_id AS id, md5(coalesce(text, '')) AS digest, 1 AS ok FROM documents""")
+def win_chunk_unpack(spark, folder):
+    docs = table(spark, folder, "documents").select("lang", "doc_id", F.encode("text", "UTF-8").alias("body"))
+    back = chunking.unpack(chunking.pack(docs, ["lang"], ["doc_id"], "doc_id", "body", 100_000))
+    return back.select("lang", "id", F.md5("payload").alias("digest"), F.col("ok").cast("int").alias("ok"))
+
+
 @query("win_chunk_islands", _recursive_sql(f"""WITH RECURSIVE {SEQ_SQL},
 kept AS (SELECT *, rn - row_number() OVER (PARTITION BY g ORDER BY rn) AS island FROM seq WHERE attempt <= 5),
 steps AS MATERIALIZED (
@@ -254,7 +284,13 @@ def win_prefer_healthy_k(spark, folder):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "round")
 
 
-@query("win_sticky_hash_place")
+@query("win_sticky_hash_place", """
+WITH writable AS (SELECT s_suppkey AS target, row_number() OVER (ORDER BY s_suppkey) - 1 AS at FROM supplier WHERE s_acctbal > 0),
+size AS (SELECT count(*) AS n FROM writable)
+SELECT c_custkey, coalesce(held.target, hashed.target) AS target
+FROM customer CROSS JOIN size
+LEFT JOIN writable held ON c_acctbal > 5000 AND held.target = c_custkey % 120
+LEFT JOIN writable hashed ON hashed.at = CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 15) AS BIGINT) % n""")
 def win_sticky_hash_place(spark, folder):
     customers = table(spark, folder, "customer")
     targets = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("target"), "s_acctbal")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.ranges import range_of
-from millrace.functions.text import range_key
+from millrace.functions.text import hash_slot, range_key
 from millrace.sizing import small_side
 
 
@@ -55,4 +55,4 @@ def sink_routed(df: DataFrame, path: str, tier: str = "tier") -> None:
 def hash_spread(df: DataFrame, keys: list[str], sinks: int, out: str = "sink") -> DataFrame:
     """Choose one of ``sinks`` targets by a hash of the key columns joined with ``_``; never negative."""
     key = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
-    return df.withColumn(out, F.pmod(F.hash(key), F.lit(sinks)))
+    return df.withColumn(out, hash_slot(key, sinks).cast("int"))

@@ -34,7 +34,7 @@ SPLIT = [
     "win_chunk_islands", "win_merge_ranges", "win_merge_near_ranges", "win_resume_page", "win_hysteresis",
     "win_round_robin_buckets",
     "win_contiguous_buckets", "agg_group_by_key", "cogroup_merge", "sort_secondary_position", "hook_grouping",
-    "win_prefer_healthy_k", "st_size_batches",
+    "win_prefer_healthy_k", "st_size_batches", "win_chunk_members", "win_chunk_cut_apart", "win_chunk_unpack",
 ]
 
 
