@@ -47,17 +47,12 @@ def fn_pack_attempt_id(spark, folder):
 
 
 @query("fn_crc32", """
-WITH steps AS (
-  SELECT list(list_reduce(list_concat([i], range(8)), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
-              ORDER BY i) AS t
-  FROM range(256) r(i)),
-bytes AS (
-  SELECT doc_id, text IS NULL AS gone, list_transform(
-           range(1, 1 + octet_length(encode(text))), lambda i: CAST('0x' || substr(hex(encode(text)), CAST(2 * i - 1 AS INTEGER), 2) AS BIGINT)) AS b
-  FROM documents)
-SELECT doc_id, CASE WHEN NOT gone THEN
-  xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) END AS crc
-FROM bytes, steps""")
+WITH bytes AS (
+  SELECT doc_id, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b FROM documents)
+SELECT doc_id, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x:
+         list_reduce(list_concat([xor(c, x)], [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]), lambda a, bit: xor(a >> 1, 3988292384 * (a & 1)))),
+       4294967295) AS crc
+FROM bytes""")
 def fn_crc32(spark, folder):
     return table(spark, folder, "documents").select("doc_id", fn.crc32(F.col("text")).alias("crc"))
 
