@@ -15,6 +15,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,6 +42,9 @@ REMEMBERED, RUN = 300_000, 1 << 20
 # The published pre-tokenizer pattern of byte-level BPE (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Before each space that something other than white space follows.
+_SPLIT = re.compile(r"(?= \S)").split
+
 
 def byte_letters() -> dict[str, int]:
     """The letter by which byte-level vocabularies write each byte: itself if printable, else one above 255."""
@@ -272,16 +276,7 @@ class Encoder:
     def segments(text: str) -> list[str]:
         """Parts that the pattern treats alone: it never joins what stands before and after a space that is followed by
         something other than white space, and such a space belongs to what follows."""
-        if not text:
-            return []
-        parts = text.split(" ")
-        out = [parts[0]]
-        for part in parts[1:]:
-            if part and not part[0].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
-        return out if out[0] else out[1:]
+        return [s for s in _SPLIT(text) if s]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = []
@@ -289,9 +284,9 @@ class Encoder:
             parts = self.added.split(text) if self.added and "<" in text else [text]
             pieces.append([[p] if i % 2 else self.segments(p) for i, p in enumerate(parts)])
         special = {w: np.array([i], "<u4").tobytes() for w, i in self.vocabulary.added.items()}
-        self.learn({s for own in pieces for p in own[::2] for s in p})
-        found = self.known
-        return [b"".join([special[p[0]] if i % 2 else b"".join([found[s] for s in p]) for i, p in enumerate(own)]) for own in pieces]
+        self.learn(set().union(*[p for own in pieces for p in own[::2]]))
+        found = self.known.__getitem__
+        return [b"".join([special[p[0]] if i % 2 else b"".join(map(found, p)) for i, p in enumerate(own)]) for own in pieces]
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """As ``encode``, in runs of texts of about RUN characters, so that few segments are held at once."""
