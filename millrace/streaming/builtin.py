@@ -17,7 +17,8 @@ def st_dedupe(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFr
 def idle_stream(stream: DataFrame, entity: str, ts: str, ttl_seconds: int, delay: str = "0 seconds") -> DataFrame:
     """Sessions that ended because the entity was idle for more than the TTL; emitted once they are over.
 
-    A row exactly TTL after the previous one still belongs to its session, hence the extra microsecond.
+    A row exactly TTL after the previous one still belongs to its session, hence the extra microsecond.  Rows more than
+    ``delay`` behind the newest row of the earlier micro-batches are dropped; ``run.drain_counted`` counts them.
     """
     gap = f"{ttl_seconds} seconds 1 microseconds"
     sessions = stream.withWatermark(ts, delay).groupBy(entity, F.session_window(ts, gap).alias("_w"))

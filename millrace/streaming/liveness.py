@@ -30,6 +30,8 @@ def liveness(stream: DataFrame, entity: str, ts: str, status: str, timeout_secon
 
     An entity whose last beat is more than the timeout before the watermark is reported LOST and forgotten; its
     next beat registers it again.  A task reads the beats of an entity in Arrow batches and holds the last one.
+    The watermark is ``delay`` behind the newest beat of the earlier micro-batches; beats older than it are dropped, so
+    ``delay`` should be as long as beats may be late.  ``run.drain_counted`` tells how many were dropped.
     """
     beats = stream.withWatermark(ts, delay).select(entity, ts, status, F.unix_micros(ts).alias("_us"))
     kind = stream.schema[entity].dataType.simpleString()

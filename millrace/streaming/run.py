@@ -28,6 +28,11 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
 
 def drain(stream: DataFrame, label: str) -> DataFrame:
     """Run an append-mode stream over all input there is and return what it wrote."""
+    return drain_counted(stream, label)[0]
+
+
+def drain_counted(stream: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As ``drain``, with the number of rows that came after the watermark and were dropped by a stateful operator."""
     spark = stream.sparkSession
     base = scratch_path(spark, label)
     query = (
@@ -35,7 +40,8 @@ def drain(stream: DataFrame, label: str) -> DataFrame:
         .option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    return spark.read.schema(stream.schema).parquet(f"{base}/out"), late
 
 
 def latest(stream: DataFrame, label: str) -> DataFrame:

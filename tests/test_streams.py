@@ -218,3 +218,12 @@ def test_quotas_follow_their_files(spark):
     lines = st.follow_quotas(spark, folder).withColumnRenamed("owner", "o")
     verdicts, live = st.quota(stream, "o", "e", "at", lines, default=2)
     assert rows(live.select("o", "e")) == [("a", 0), ("b", 0), ("b", 1)]
+
+
+def test_late_rows_are_counted_and_a_delay_keeps_them(spark):
+    batches = [[(1, at(1000))], [(2, at(1010))], [(3, at(10)), (2, at(1011))], [(1, at(5000))]]
+    stream = feed(spark, "late", batches, "e int, ts timestamp")
+    ended, late = st.drain_counted(st.idle_stream(stream, "e", "ts", 60), "late")
+    assert late == 1 and 3 not in {r.e for r in ended.collect()}
+    ended, late = st.drain_counted(st.idle_stream(stream, "e", "ts", 60, "1 hour"), "kept")
+    assert late == 0 and (3, at(10), at(10), 1) in rows(ended)
