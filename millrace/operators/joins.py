@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -75,15 +76,18 @@ def cross(inputs: list[DataFrame], names: list[str], copies: str = "n") -> DataF
     """All combinations of one column of each input, as a bag: each combination once, with its number of copies.
 
     Equal values of an input are counted first, so the work grows with the distinct values; the product itself is what
-    the caller asks for.  Spark chooses how to carry it out.
+    the caller asks for.  Spark chooses how to carry it out.  ``copies`` is a long; if the largest number of copies is
+    beyond a long, the column is decimal(38,0) instead, so the counts stay exact.
     """
     bags = [
-        df.groupBy(F.col(df.columns[0]).alias(name)).agg(F.count(F.lit(1)).alias(f"_n{i}"))
+        persist_table(df.groupBy(F.col(df.columns[0]).alias(name)).agg(F.count(F.lit(1)).alias(f"_n{i}")), "bag")
         for i, (df, name) in enumerate(zip(inputs, names))
     ]
+    most = math.prod(bag.agg(F.max(f"_n{i}")).first()[0] or 0 for i, bag in enumerate(bags))
+    kind = "long" if most < 1 << 63 else "decimal(38,0)"
     product = reduce(lambda a, b: a.crossJoin(b), bags)
-    total = reduce(lambda a, b: a * b, [F.col(f"_n{i}") for i in range(len(bags))])
-    return product.select(*names, total.alias(copies))
+    total = reduce(lambda a, b: a * b, [F.col(f"_n{i}").cast(kind) for i in range(len(bags))])
+    return product.select(*names, total.cast(kind).alias(copies))
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:

@@ -169,6 +169,15 @@ def test_combine_runs_spills_held_keys(spark):
 def test_cross_counts_copies(spark):
     a, b = spark.createDataFrame([(1,), (1,), (2,)], "a int"), spark.createDataFrame([(7,), (7,)], "b int")
     assert rows(joins.cross([a, b], ["a", "b"])) == [(1, 7, 4), (2, 7, 2)]
+    assert joins.cross([a, b], ["a", "b"]).schema["n"].dataType.simpleString() == "bigint"
+    assert rows(joins.cross([a, b.limit(0)], ["a", "b"])) == []
+
+
+def test_cross_counts_more_copies_than_a_long_holds(spark):
+    same = spark.range(1000).select(F.lit(1).alias("a"))
+    other = same.unionAll(same.limit(1).select(F.lit(2)))
+    got = rows(joins.cross([same] * 6 + [other], list("abcdefg")))
+    assert got == [(1, 1, 1, 1, 1, 1, 1, 10**21), (1, 1, 1, 1, 1, 1, 2, 10**18)]
 
 
 def test_null_keys(spark):
