@@ -69,12 +69,19 @@ def combine_runs(
     is for combiners that built-in aggregates cannot express; those need no such help.
     """
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        # Rows wait until they are as many as the combined ones, so a combined row is not combined anew for every batch.
+        held, waiting, rows = None, [], 0
         for batch in batches:
-            held = combine(batch if held is None else pd.concat([held, batch], ignore_index=True))
-            if len(held) > held_keys:
-                yield held
-                held = None
+            waiting.append(batch)
+            rows += len(batch)
+            if held is None or rows >= min(len(held), held_keys):
+                held = combine(pd.concat([*([] if held is None else [held]), *waiting], ignore_index=True))
+                waiting, rows = [], 0
+                if len(held) > held_keys:
+                    yield held
+                    held = None
+        if waiting:
+            held = combine(pd.concat([*([] if held is None else [held]), *waiting], ignore_index=True))
         if held is not None and len(held):
             yield held
 

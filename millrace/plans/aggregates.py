@@ -72,8 +72,12 @@ def _two_largest(rows: pd.DataFrame) -> pd.DataFrame:
     """The two largest distinct values of each user, one row each, in columns."""
     seconds = rows.loc[rows["second"].notna(), ["user_id", "second"]].set_axis(["user_id", "top"], axis=1)
     values = pd.concat([rows.loc[rows["top"].notna(), ["user_id", "top"]], seconds.astype({"top": "float64"})])
-    ranked = values.drop_duplicates().sort_values("top", ascending=False).groupby("user_id", dropna=False)["top"]
-    return ranked.agg(top="first", second=lambda v: v.iloc[1] if len(v) > 1 else None).reset_index()
+    ranked = values.drop_duplicates().sort_values(["user_id", "top"], ascending=[True, False], ignore_index=True)
+    user = ranked["user_id"]
+    # A row follows another of its user, null users too.
+    follows = (user == user.shift()) | (user.isna() & user.shift().isna() & (ranked.index > 0))
+    below = ranked["top"].shift(-1).where(follows.shift(-1, fill_value=False))
+    return ranked.assign(second=below.astype("float64"))[~follows].reset_index(drop=True)
 
 
 @query("agg_second_largest", """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace import functions as fn
 from millrace import sources as src
 from millrace.operators import aggregates, audit, exchange, joins, ordered, picking, placement, project, sets, sorts
+from millrace.plans.aggregates import _two_largest
 from millrace.session import scratch_path
 
 
@@ -166,6 +167,27 @@ def test_combine_runs_spills_held_keys(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_combine_runs_seldom_combines_a_row_anew(spark):
+    def add(frame):
+        frame = frame.groupby("k", as_index=False).agg(v=("v", "sum"), times=("times", "max"))
+        return frame.assign(times=frame["times"] + 1)
+
+    df = spark.range(0, 2000, 1, 1).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"), F.lit(0).cast("long").alias("times"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    got = aggregates.combine_runs(df, "k", "k long, v long, times long", add).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.k, r.v) for r in got) == [(k, 1) for k in range(2000)]
+    # Of 200 batches of a map task: about once for each doubling.
+    assert max(r.times for r in got) < 20
+
+
+def test_two_largest_values_of_each_user():
+    nan = float("nan")
+    frame = pd.DataFrame({"user_id": [1, 1, 1, 2, nan, nan, 3, 3, 4], "top": [5.0, 5, 7, 1, 2, 3, nan, 4, nan], "second": [6.0, nan, nan, 1, nan, nan, nan, 4, nan]})
+    got = _two_largest(frame).astype(object).where(lambda f: f.notna(), None)
+    assert [tuple(r) for r in got[["user_id", "top", "second"]].to_numpy()] == [(1, 7, 6), (2, 1, None), (3, 4, None), (None, 3, 2)]
+
+
 def test_cross_counts_copies(spark):
     a, b = spark.createDataFrame([(1,), (1,), (2,)], "a int"), spark.createDataFrame([(7,), (7,)], "b int")
     assert rows(joins.cross([a, b], ["a", "b"])) == [(1, 7, 4), (2, 7, 2)]
