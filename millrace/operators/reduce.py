@@ -7,10 +7,13 @@ that they cannot express.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,8 @@ ship_with_tasks(__name__)
 PAGE_ROWS = 10_000
 
 Frames = Iterator[pd.DataFrame]
+# A function may also yield a row of the result as a tuple, which costs far less than a frame of one row.
+Results = Iterator[pd.DataFrame | tuple]
 
 
 def aggregate(
@@ -42,47 +47,95 @@ def aggregate(
     return combine_runs(states, key, state, merge, held_keys).mapInPandas(each(finish), schema)
 
 
+class _Rows:
+    """Rows of an Arrow batch as pandas frames: turned to pandas once, not for each page."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows.combine_chunks()
+        kinds = [(i, f, f.type) for i, f in enumerate(self.rows.schema)]
+        # Pandas turns integers to floats and booleans to objects among nulls: a page with such nulls is turned by itself.
+        holes = [(i, f) for i, f, t in kinds if (pa.types.is_integer(t) or pa.types.is_boolean(t)) and self.rows[i].null_count]
+        # So are nested values, whose type may depend on the others of the batch.
+        self.nested = any(pa.types.is_nested(t) for _, _, t in kinds)
+        self.missing = None
+        if self.nested:
+            return
+        filled = self.rows
+        if holes:
+            absent = np.zeros(len(filled), dtype=bool)
+            for i, field in holes:
+                absent |= filled[i].is_null().to_numpy()
+                filled = filled.set_column(i, field, filled[i].fill_null(pa.scalar(0).cast(field.type)))
+            self.missing = np.append(0, np.cumsum(absent))
+        self.frame = filled.to_pandas()
+
+    def page(self, start: int, stop: int) -> pd.DataFrame:
+        if self.nested or (self.missing is not None and self.missing[stop] > self.missing[start]):
+            return self.rows.slice(start, stop - start).to_pandas()
+        page = self.frame.iloc[start:stop].copy()
+        page.index = pd.RangeIndex(stop - start)
+        return page
+
+
 class _Groups:
-    """Groups of sorted Arrow batches, read one after another; a page ends where its batch, group or side ends."""
+    """Groups of sorted Arrow batches, read one after another; a page ends where its batch, group or side ends.
+
+    ``columns`` has for each side the names of its columns in the batches and in its frames.  With two sides the last key tells them apart.
+    """
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], keys: list[str], page_rows: int):
-        self.batches, self.keys, self.page_rows = iter(batches), keys, page_rows
-        self.rows: pa.Table | None = None
+    def __init__(self, batches: Iterator[pa.RecordBatch], keys: list[str], page_rows: int, columns: list[dict[str, str]]):
+        self.batches, self.keys, self.page_rows, self.columns = iter(batches), keys, page_rows, columns
         self._load()
 
     def _load(self) -> None:
-        """The next batch that has rows, with the number of the last row of its first run."""
+        """The next batch that has rows: where its runs of equal keys begin and end, their keys, and the rows of each side."""
+        self.run, self.heads = 0, []
         for batch in self.batches:
             if batch.num_rows:
-                self.rows = pa.Table.from_batches([batch])
+                rows = pa.Table.from_batches([batch])
+                fresh = np.zeros(batch.num_rows, dtype=bool)
+                for key in self.keys:
+                    fresh[1:] |= _changes(rows[key].combine_chunks())
+                fresh[0] = True
+                starts = np.flatnonzero(fresh)
+                self.bounds = [*starts.tolist(), batch.num_rows]
+                self.heads = list(zip(*[rows[key].take(pa.array(starts)).to_pylist() for key in self.keys], strict=True))
+                self.sides = []
+                for side, names in enumerate(self.columns):
+                    mine = rows[self.keys[-1]].to_numpy() == side if len(self.columns) > 1 else np.ones(batch.num_rows, dtype=bool)
+                    part = rows.filter(pa.array(mine)) if len(self.columns) > 1 else rows
+                    self.sides.append((np.append(0, np.cumsum(mine)), _Rows(part.select(list(names)).rename_columns(list(names.values())))))
                 return
-        self.rows = None
+
+    def ended(self) -> bool:
+        return not self.heads
 
     def head(self) -> tuple:
-        return tuple(self.rows[k][0].as_py() for k in self.keys)
-
-    def pages(self, key: tuple) -> Iterator[pa.Table]:
-        """The rows up to the next key."""
-        while self.rows is not None and _equal(self.head(), key):
-            run = self._run()
-            for start in range(0, run, self.page_rows):
-                page = self.rows.slice(start, min(self.page_rows, run - start))
-                yield page
-            if run < self.rows.num_rows:
-                self.rows = self.rows.slice(run)
+        return self.heads[self.run]
+
+    def pages(self, key: tuple) -> Iterator[Callable[[], pd.DataFrame]]:
+        """The rows up to the next key, each page as a function that makes its frame."""
+        while self.heads and _equal(self.head(), key):
+            before, rows = self.sides[key[-1] if len(self.columns) > 1 else 0]
+            start, stop = int(before[self.bounds[self.run]]), int(before[self.bounds[self.run + 1]])
+            for at in range(start, stop, self.page_rows):
+                yield functools.partial(rows.page, at, min(at + self.page_rows, stop))
+            self.run += 1
+            if self.run < len(self.heads):
                 return
             self._load()
 
-    def _run(self) -> int:
-        """How many rows from the first on have its key: found by halving, as rows are sorted by it."""
-        first, low, high = self.head(), 1, self.rows.num_rows
-        while low < high:
-            middle = (low + high) // 2
-            if _equal(tuple(self.rows[k][middle].as_py() for k in self.keys), first):
-                low = middle + 1
-            else:
-                high = middle
-        return low
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """For each row but the first, whether its key is not that of the row before; nulls are equal, and so are NaNs and zeros."""
+    if pa.types.is_floating(column.type):
+        column = pc.add(column, pa.scalar(0.0, column.type))
+    try:
+        codes = column.dictionary_encode().indices.fill_null(-1).to_numpy()
+    except (pa.ArrowNotImplementedError, pa.ArrowInvalid):
+        values = column.to_pylist()
+        return np.array([not _equal((x,), (y,)) for x, y in zip(values[1:], values, strict=False)], dtype=bool)
+    return codes[1:] != codes[:-1]
 
 
 def _equal(a: tuple, b: tuple) -> bool:
@@ -90,23 +143,25 @@ def _equal(a: tuple, b: tuple) -> bool:
 
 
 def reduce_groups(
-    df: DataFrame, keys: list[str], order: list[str | Column], schema: str, function: Callable[[tuple, Frames], Frames],
+    df: DataFrame, keys: list[str], order: list[str | Column], schema: str, function: Callable[[tuple, Frames], Results],
     page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """``function(key, pages)`` for each group: its rows come in ``order``, in pages of at most ``page_rows``.
 
-    Pages the function does not read are passed over.  Null keys form a group.
+    Pages the function does not read are passed over.  Null keys form a group.  The function yields frames, or rows as tuples.
     """
     columns = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = _Groups(batches, keys, page_rows)
-        while groups.rows is not None:
+        groups = _Groups(batches, keys, page_rows, [{c: c for c in columns}])
+        out = _Out(target)
+        while not groups.ended():
             key = groups.head()
             pages = groups.pages(key)
-            yield from _out(function(key, (p.select(columns).to_pandas() for p in pages)), target)
+            yield from out.add(function(key, (page() for page in pages)))
             for _ in pages:
                 pass
+        yield from out.rest()
 
     target = _arrow(schema)
     placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
@@ -114,7 +169,7 @@ def reduce_groups(
 
 
 def reduce_pairs(
-    left: DataFrame, right: DataFrame, keys: list[str], schema: str, function: Callable[[tuple, Frames, Frames], Frames],
+    left: DataFrame, right: DataFrame, keys: list[str], schema: str, function: Callable[[tuple, Frames, Frames], Results],
     order: tuple[list[str], list[str]] = ((), ()), page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """``function(key, left pages, right pages)`` for each key of either input, like a co-group that is never held whole.
@@ -135,26 +190,26 @@ def reduce_pairs(
     ranks = [c for c in both.columns if c.startswith("_o")]
     columns = [keys + [c for c in df.columns if c not in keys] for df in (left, right)]
 
-    def side_of(tables: Iterator[pa.Table], side: int) -> Frames:
-        rest = [c for c in columns[side] if c not in keys]
-        for page in tables:
-            yield page.select([*keys, *[f"_{'lr'[side]}_{c}" for c in rest]]).rename_columns([*keys, *rest]).to_pandas()
+    sides = [{c: c if c in keys else f"_{'lr'[side]}_{c}" for c in columns[side]} for side in (0, 1)]
+    sides = [{there: here for here, there in names.items()} for names in sides]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = _Groups(batches, [*keys, "_side"], page_rows)
-        while groups.rows is not None:
+        groups = _Groups(batches, [*keys, "_side"], page_rows, sides)
+        out = _Out(target)
+        while not groups.ended():
             key = groups.head()[:-1]
             first, second = groups.pages((*key, 0)), groups.pages((*key, 1))
 
-            def after(tables=second, before=first) -> Iterator[pa.Table]:
+            def after(pages=second, before=first) -> Iterator[Callable[[], pd.DataFrame]]:
                 for _ in before:
                     pass
-                yield from tables
+                yield from pages
 
             rights = after()
-            yield from _out(function(key, side_of(first, 0), side_of(rights, 1)), target)
+            yield from out.add(function(key, (page() for page in first), (page() for page in rights)))
             for _ in rights:
                 pass
+        yield from out.rest()
 
     target = _arrow(schema)
     placed = both.repartition(*keys).sortWithinPartitions(*keys, "_side", *ranks).drop(*ranks)
@@ -168,7 +223,34 @@ def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(parsed)
 
 
-def _out(frames: Frames, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for frame in frames:
-        if len(frame):
-            yield from pa.Table.from_pandas(frame[schema.names], schema=schema, preserve_index=False).to_batches()
+class _Out:
+    """What a function yields for its groups, frames or single rows, sent on as batches of many."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema, self.kinds, self.held, self.rows = schema, None, [], 0
+
+    def add(self, results: Iterator[pd.DataFrame | tuple]) -> Iterator[pa.RecordBatch]:
+        for result in results:
+            single = isinstance(result, tuple)
+            if not single:
+                if not len(result):
+                    continue
+                result = result[self.schema.names]
+            # Frames of other types are not mixed, so that none changes its values.
+            kinds = tuple if single else tuple(result.dtypes)
+            if self.held and (kinds != self.kinds or self.rows >= PAGE_ROWS):
+                yield from self.rest()
+            self.held.append(result)
+            self.kinds, self.rows = kinds, self.rows + (1 if single else len(result))
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        if self.kinds is tuple:
+            columns = zip(*self.held, strict=True)
+            table = pa.Table.from_arrays([pa.array(c, f.type, from_pandas=True) for c, f in zip(columns, self.schema, strict=True)], schema=self.schema)
+        else:
+            frame = self.held[0] if len(self.held) == 1 else pd.concat(self.held, ignore_index=True)
+            table = pa.Table.from_pandas(frame, schema=self.schema, preserve_index=False)
+        self.held, self.rows = [], 0
+        yield from table.to_batches()

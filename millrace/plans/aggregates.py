@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -300,9 +301,10 @@ def _drawdown(key, pages):
     """The deepest fall below an earlier value: needs the order, holds two numbers."""
     top, fall = float("-inf"), 0.0
     for page in pages:
-        highs = page["o_totalprice"].cummax().clip(lower=top)
-        fall, top = max(fall, float((highs - page["o_totalprice"]).max())), float(highs.iloc[-1])
-    yield pd.DataFrame({"o_custkey": [key[0]], "fall": [fall]})
+        prices = page["o_totalprice"].to_numpy()
+        highs = np.fmax.accumulate(np.append(top, prices))[1:]
+        fall, top = max(fall, float(np.fmax.reduce(highs - prices))), float(np.where(np.isnan(prices[-1]), prices[-1], highs[-1]))
+    yield key[0], fall
 
 
 @query("hook_reduce", """

@@ -3,6 +3,7 @@
 import itertools
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,38 @@ def test_pairs_of_groups(spark, batch_rows, function):
     assert got == wanted
 
 
+def kinds(key, pages):
+    for page in pages:
+        yield key[0], len(page), str(page["v"].dtype), str(page["b"].dtype), [None if pd.isna(v) else int(v) for v in page["v"]][-1], list(page.index)[-1]
+
+
+def test_rows_as_tuples_and_pages_with_nulls(spark, batch_rows):
+    big = (1 << 62) + 1
+    data = [(1.0, big, True), (1.0, big + 2, True), (-0.0, 5, False), (0.0, 6, None), (float("nan"), 7, True), (float("nan"), 8, True), (None, None, True)]
+    df = spark.createDataFrame(data, "k double, v long, b boolean").coalesce(1)
+    got = reduce.reduce_groups(df, ["k"], ["v"], "k double, n int, v string, b string, last long, at int", kinds, page_rows=2).collect()
+    found = sorted((repr(r.k), r.n, r.v, r.b, r.last, r.at) for r in got if r.k in (1.0, 0.0) and r.n == 2)
+    assert ("1.0", 2, "int64", "bool", big + 2, 1) in found or spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "3"
+    assert {(r.last, r.v, r.b) for r in got} >= {(big + 2, "int64", "bool"), (6, "int64", "object"), (8, "int64", "bool"), (None, "float64", "bool")}
+
+
+def test_runs_of_keys():
+    for values, kind in [([1.0, 1.0, -0.0, 0.0, float("nan"), float("nan"), None, None], pa.float64()), ([None, "a", "a", "b"], pa.string()),
+                         ([{"x": 1}, {"x": 1}, None, {"x": 2}], pa.struct([("x", pa.int64())])), ([True, True, False], pa.bool_())]:
+        wanted = [not reduce._equal((x,), (y,)) for x, y in zip(values[1:], values)]
+        assert reduce._changes(pa.array(values, kind)).tolist() == wanted
+
+
+def test_results_of_many_groups_leave_in_one_batch():
+    schema = pa.schema([("k", pa.int64()), ("x", pa.float64())])
+    out = reduce._Out(schema)
+    early = [b for k in range(500) for b in out.add(iter([pd.DataFrame({"k": [k], "x": [None if k < 100 else 1.5]})]))]
+    early += [b for k in range(500) for b in out.add(iter([(k, float("nan"))]))]
+    batches = [*early, *out.rest()]
+    assert len(batches) == 3 and sum(b.num_rows for b in batches) == 1000
+    assert pa.Table.from_batches(batches)["x"].null_count == 600
+
+
 def longest(frame):
     return frame.sort_values("s", key=lambda s: s.str.len(), ascending=False, kind="stable").groupby("k", as_index=False, dropna=False).first()
 
