@@ -321,7 +321,7 @@ def _orders_and_balance(key, orders, customers):
     for page in orders:
         n, first = n + len(page), int(page["o_orderkey"].iloc[0]) if first is None else first
     balance = next((float(page["c_acctbal"].iloc[0]) for page in customers), None)
-    yield pd.DataFrame({"k": [key[0]], "n": [n], "first": pd.array([first], "Int64"), "balance": pd.array([balance], "Float64")})
+    yield key[0], n, first, balance
 
 
 @query("hook_reduce_pairs", """
