@@ -352,9 +352,13 @@ def _together(df: DataFrame, part: list[str], order: list[str | Column], others:
     """
     if all(isinstance(o, str) for o in order):
         df = df.select(*dict.fromkeys([*part, *order, *others]))
-    frame, split = with_slices(df, part, order)
-    keys = [*part, SLICE] if split else part
-    return (frame.repartition(*keys) if keys else frame.repartition(1)), split
+    frame, split = with_slices(df, part, order, by_bytes=True)
+    if split:
+        # More partitions than slices, so that few slices meet in one.
+        slices = frame.agg(F.max(SLICE)).first()[0] + 1
+        most = max(2 * slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return frame.repartition(most, *part, SLICE), True
+    return (frame.repartition(*part) if part else frame.repartition(1)), False
 
 
 def chunk(

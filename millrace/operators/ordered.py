@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import persist_table
-from millrace.sizing import biggest_group, group_row_limit, small_side
+from millrace.sizing import biggest_group, group_byte_limit, group_row_limit, heaviest_group, small_side
 
 SLICE = "_slice"
 
@@ -41,27 +41,29 @@ def first_rows(
     return top if rank else top.drop(name)
 
 
-def sliced(df: DataFrame, part: list[str], order: list[str | Column]) -> DataFrame:
+def sliced(df: DataFrame, part: list[str], order: list[str | Column], by_bytes: bool = False) -> DataFrame:
     """``df`` with a column ``_slice`` that grows with (part, order), written so that every pass sees the same slices.
 
-    A slice holds about half the row limit of one task.
+    A slice holds about half the row limit of one task, and with ``by_bytes`` at most about half its byte limit.
     """
-    limit = group_row_limit(df.sparkSession)
-    slices = max(2, math.ceil(2 * df.count() / limit))
+    rows, size = heaviest_group(df, []) if by_bytes else (df.count(), 0)
+    slices = max(2, math.ceil(2 * rows / group_row_limit(df.sparkSession)), math.ceil(2 * size / group_byte_limit(df.sparkSession)))
     placed = df.repartitionByRange(slices, *part, *order).withColumn(SLICE, F.spark_partition_id().cast("long"))
     return persist_table(placed, "slices")
 
 
 def with_slices(
-    df: DataFrame, part: list[str], order: list[str | Column], counted: DataFrame | None = None
+    df: DataFrame, part: list[str], order: list[str | Column], counted: DataFrame | None = None, by_bytes: bool = False
 ) -> tuple[DataFrame, bool]:
     """``df`` with ``_slice`` (0 everywhere if no group is too large for one task), and whether it was split.
 
-    ``counted`` is a frame that is cheaper to count and whose groups are at least as large.
+    ``counted`` is a frame that is cheaper to count and whose groups are at least as large.  ``by_bytes`` looks at the bytes
+    of groups too, for rows that may be wide.
     """
-    if biggest_group(df if counted is None else counted, part) <= group_row_limit(df.sparkSession):
+    rows, size = heaviest_group(df, part) if by_bytes else (biggest_group(df if counted is None else counted, part), 0)
+    if rows <= group_row_limit(df.sparkSession) and size <= group_byte_limit(df.sparkSession):
         return df.withColumn(SLICE, F.lit(0).cast("long")), False
-    return sliced(df, part, order), True
+    return sliced(df, part, order, by_bytes), True
 
 
 def same_keys(left: DataFrame, right: DataFrame, names: list[str], prefix: str) -> Column:

@@ -13,6 +13,8 @@ from millrace.session import persist_table
 
 # Rows of one group that a single task sorts and scans comfortably.
 GROUP_ROWS = 4_000_000
+# Bytes of one group that a single task sorts and scans: it may hold them several times.
+GROUP_BYTES = 128 << 20
 # Rows (ids and a few narrow columns) that may be copied to every executor.
 BROADCAST_ROWS = 100_000
 # Bytes of their values, at most.
@@ -23,6 +25,10 @@ def group_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.millrace.groupRows", str(GROUP_ROWS)))
 
 
+def group_byte_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.millrace.groupBytes", str(GROUP_BYTES)))
+
+
 def broadcast_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.millrace.broadcastRows", str(BROADCAST_ROWS)))
 
@@ -46,6 +52,17 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def width(column: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes in a row that is sorted, about; the fields of a struct are looked at one by one."""
+    if isinstance(kind, T.StructType):
+        return sum((width(column[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column).cast("long"), F.lit(0)) + 8
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))).cast("long"), F.lit(0)) + 8
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8).cast("long")
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is small in rows and in bytes; reads the widths of its first rows, as ``has_at_most`` reads rows."""
     rows, size = broadcast_row_limit(df.sparkSession), broadcast_byte_limit(df.sparkSession)
@@ -88,3 +105,11 @@ def biggest_group(df: DataFrame, keys: list[str]) -> int:
     # The largest by a top-1, which needs no second shuffle.
     most = df.groupBy(*keys).count().orderBy(F.desc("count")).limit(1).collect()
     return most[0]["count"] if most else 0
+
+
+def heaviest_group(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Row count of the group with the most rows, and bytes of the one with the most bytes, about; combines before the shuffle."""
+    wide = sum((width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.sum(wide).alias("_bytes"))
+    rows, size = groups.agg(F.max("_rows"), F.max("_bytes")).first()
+    return rows or 0, size or 0

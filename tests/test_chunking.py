@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.chunking import CLOSED, Cuts, chunk, chunk_islands, cut_apart, merge_ranges, pack, unpack
+from millrace.operators.chunking import CLOSED, Cuts, _together, chunk, chunk_islands, cut_apart, merge_ranges, pack, unpack
 
 
 def loop_chunks(sizes, limit, strict=False):
@@ -221,3 +221,17 @@ def test_chunks_are_cut_apart_again(spark, group_rows):
     whole = chunk(df, ["g"], ["i"], F.length("body"), 50, "i", strict=True, carry={"crc": F.crc32("body")})
     found = {(r.g, r.id): (r.offset, r.length, r.crc) for r in cut_apart(whole).collect()}
     assert len(found) == len(rows) and found[0, 0][:2] == (0, 0) and found[1, 4][:2] == (1, 4)
+
+
+def test_groups_of_few_wide_rows_are_split(spark):
+    rows = [("a" if i % 5 else None, i, bytes([i % 251]) * (i % 7 * 40)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, id long, body binary")
+    spark.conf.set("spark.millrace.groupBytes", "8000")
+    try:
+        assert _together(df, ["g"], ["id"], ["body"])[1] and not _together(df.limit(20), ["g"], ["id"], ["body"])[1]
+        packed = pack(df, ["g"], ["id"], "id", "body", 1000)
+        extents = sorted(tuple(r) for r in packed.where("g = 'a'").select("offset", "total", "n").collect())
+        assert extents == loop_chunks([len(b) for g, _, b in rows if g], 1000)
+        assert sorted(map(tuple, unpack(packed).collect()), key=str) == sorted([(*r, True) for r in rows], key=str)
+    finally:
+        spark.conf.unset("spark.millrace.groupBytes")

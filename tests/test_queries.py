@@ -44,6 +44,15 @@ def test_query_with_split_groups(spark, db, small_groups, name):
     assert difference(entry.queries()[name](spark, FOLDER), db, entry.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name, size", [("win_chunk_unpack", 60_000), ("audit_chunk_checksum", 60_000), ("win_chunk_members", 30_000)])
+def test_query_with_groups_split_by_bytes(spark, db, name, size):
+    spark.conf.set("spark.millrace.groupBytes", str(size))
+    try:
+        assert difference(entry.queries()[name](spark, FOLDER), db, entry.oracle_sql()[name]) is None
+    finally:
+        spark.conf.unset("spark.millrace.groupBytes")
+
+
 # Queries that send a side to all tasks only after its size was checked.
 CHECKED = [
     "filter_required", "filter_attempt_range", "filter_allowlist", "filter_denylist", "join_broadcast", "join_left_semi_ids",
