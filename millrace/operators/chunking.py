@@ -345,14 +345,22 @@ def greedy_chunks(
     return whole.unionByName(paged.select(*columns))
 
 
+def _varies(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_varies(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))
+
+
 def _together(df: DataFrame, part: list[str], order: list[str | Column], others: list[str]) -> tuple[DataFrame, bool]:
     """``with_slices``, with the rows of a group (of a group in a slice) in one partition.
 
-    Only the columns the scan needs are moved, unless the order is given by expressions.
+    Only the columns the scan needs are moved, unless the order is given by expressions.  Rows that carry texts or binaries may
+    be wide: then bytes count too when groups are split.
     """
+    wide = any(_varies(df.schema[c].dataType) for c in others)
     if all(isinstance(o, str) for o in order):
         df = df.select(*dict.fromkeys([*part, *order, *others]))
-    frame, split = with_slices(df, part, order, by_bytes=True)
+    frame, split = with_slices(df, part, order, by_bytes=wide)
     if split:
         # More partitions than slices, so that few slices meet in one.
         slices = frame.agg(F.max(SLICE)).first()[0] + 1
