@@ -19,6 +19,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,9 @@ LEXICON_WORDS = 32_768
 # A word is compiled only if it occurs once in so many characters; bounds what tasks send to find the most frequent.
 RAREST = 20_000_000
 # Segments, and words, whose tokens a Python worker remembers before it starts afresh; characters it encodes at once.
-REMEMBERED, RUN = 300_000, 1 << 20
+REMEMBERED, RUN = 450_000, 1 << 18
+# Bytes of texts in one Arrow batch: a worker holds them, their tokens and the result several times.
+BATCH_TEXT = 2 << 20
 
 # The published pre-tokenizer pattern of byte-level BPE (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -45,6 +48,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Before each space that something other than white space follows.
 _SPLIT = re.compile(r"(?= \S)").split
 
+# The rank of a pair that does not merge.
+_NONE = 1 << 60
+
 
 def byte_letters() -> dict[str, int]:
     """The letter by which byte-level vocabularies write each byte: itself if printable, else one above 255."""
@@ -66,6 +72,8 @@ class Vocabulary:
         # For the merge loop: rank by a pair packed in one number, and the id that each rank makes.
         self.ranks = {a << 32 | b: rank for (a, b), (rank, _) in self.merges.items()}
         self.made = {rank: made for rank, made in self.merges.values()}
+        # Every word begins as single bytes: the ranks of two bytes by position, which no hashing is needed for.
+        self.first = [self.ranks.get(a << 32 | b, _NONE) for a in self.of_byte for b in self.of_byte]
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -85,22 +93,23 @@ class Vocabulary:
 
     def merged(self, word: bytes) -> list[int]:
         """The ids of one pre-token: merge the pair of lowest rank, leftmost first, until none is left."""
-        ids = [self.of_byte[b] for b in word]
+        of_byte = self.of_byte
+        ids = [of_byte[b] for b in word]
         if len(ids) > 48:
             return self._merged_long(ids)
-        find, made, none = self.ranks.get, self.made, 1 << 60
-        ranks = [find(x << 32 | y, none) for x, y in zip(ids, ids[1:], strict=False)]
+        find, made, none, first = self.ranks.get, self.made, _NONE, self.first
+        ranks = [first[x << 8 | y] for x, y in zip(word, word[1:])]
         while ranks:
             rank = min(ranks)
             if rank == none:
                 break
             i = ranks.index(rank)
-            ids[i:i + 2] = [made[rank]]
-            del ranks[i]
+            del ids[i], ranks[i]
+            ids[i] = one = made[rank]
             if i:
-                ranks[i - 1] = find(ids[i - 1] << 32 | ids[i], none)
+                ranks[i - 1] = find(ids[i - 1] << 32 | one, none)
             if i < len(ranks):
-                ranks[i] = find(ids[i] << 32 | ids[i + 1], none)
+                ranks[i] = find(one << 32 | ids[i + 1], none)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
@@ -210,11 +219,17 @@ class Lexicon:
         return b"".join(x.tobytes() for x in [sizes, *(parts[p] for p in Lexicon.PARTS)])
 
     def __init__(self, path: str):
-        mapped = np.memmap(path, np.int64, "r")
+        # A plain view of the mapped file: memmap's own indexing costs more than what it reads.
+        mapped = np.asarray(np.memmap(path, np.int64, "r"))
         at = len(self.PARTS)
         for part, n in zip(self.PARTS, mapped[:at].tolist(), strict=True):
             setattr(self, part, mapped[at:at + n])
             at += n
+        # The ids as they are joined, and where those of each word begin there.
+        self.raw, self.begins = self.ids.astype("<u4").tobytes(), (self.starts * 4).tolist()
+
+    def tokens(self, rank: int) -> bytes:
+        return self.raw[self.begins[rank]:self.begins[rank + 1]]
 
     def ranks(self, words: list[bytes]) -> np.ndarray:
         """The rank of each word, -1 for words outside; all words take each step of the automaton at once."""
@@ -249,28 +264,28 @@ class Encoder:
         self.pattern = regex.compile(PATTERN)
         self.added = regex.compile("(" + "|".join(map(regex.escape, vocabulary.added)) + ")") if vocabulary.added else None
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def learn(self, segments: set[str]) -> None:
         """Find the tokens of segments not seen before."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(segments.difference(self.known))
-        cut = [self.pattern.findall(s) for s in new]
-        # A word comes in several segments, with other punctuation.
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        ids = self.words
+        find = self.pattern.findall
+        # A space and letters, here of ASCII only, are one word of the pattern.
+        cut = [[s] if s[0] == " " and s.isascii() and s[1:].isalpha() else find(s) for s in new]
+        # A word comes in several segments, with other punctuation; alone it is a segment too, with the same tokens.
+        ids = self.known
         words = sorted({w for x in cut for w in x}.difference(ids))
         raw = [w.encode() for w in words]
         for word, bare, rank in zip(words, raw, self.lexicon.ranks(raw).tolist(), strict=True):
             if rank >= 0:
-                found = self.lexicon.ids[self.lexicon.starts[rank]:self.lexicon.starts[rank + 1]]
+                ids[word] = self.lexicon.tokens(rank)
             else:
                 found = self.vocabulary.merged(bare)
-            ids[word] = np.asarray(found, "<u4").tobytes()
+                ids[word] = pack(f"<{len(found)}I", *found)
         for segment, found in zip(new, cut, strict=True):
-            self.known[segment] = b"".join([ids[w] for w in found])
+            if len(found) > 1:
+                ids[segment] = b"".join([ids[w] for w in found])
 
     @staticmethod
     def segments(text: str) -> list[str]:
@@ -300,8 +315,8 @@ class Encoder:
         yield from self.encode(run)
 
     def decode(self, tokens: bytes) -> str:
-        table = self.vocabulary.tokens
-        return b"".join([table[i] for i in np.frombuffer(tokens, "<u4").tolist()]).decode("utf-8", "replace")
+        token = self.vocabulary.tokens.__getitem__
+        return b"".join(map(token, np.frombuffer(tokens, "<u4").tolist())).decode("utf-8", "replace")
 
 
 def frequent_words(docs: DataFrame, limit: int, text: str = "text") -> list[str]:
@@ -351,7 +366,7 @@ def build(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text: str = "t
 
 def encode_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text") -> Column:
     """The token ids of a text."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("array<int>")
     def encoded(texts: pd.Series) -> pd.Series:
@@ -362,7 +377,7 @@ def encode_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
 
 def decode_column(spark: SparkSession, tokenizer: Tokenizer, ids: str = "ids") -> Column:
     """The text of token ids; null ids give an empty text."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("string")
     def decoded(tokens: pd.Series) -> pd.Series:
@@ -374,7 +389,7 @@ def decode_column(spark: SparkSession, tokenizer: Tokenizer, ids: str = "ids") -
 
 def tokens_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text") -> Column:
     """Struct of the token ids and the hash of the text decoded from them, from one encoding."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("ids array<int>, decoded_sha256 string")
     def tokens(texts: pd.Series) -> pd.DataFrame:
@@ -387,7 +402,7 @@ def tokens_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
 
 def digest_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text") -> Column:
     """Struct of the number of tokens, the hash of the ids, and the hash of the text decoded from them."""
-    bound_batches(spark)
+    bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digested(texts: pd.Series) -> pd.DataFrame:

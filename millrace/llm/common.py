@@ -30,10 +30,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Cut Arrow batches by size: many narrow rows to a batch, few long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

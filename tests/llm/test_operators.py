@@ -292,3 +292,17 @@ def test_wrapped_notices_are_found_once(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: [(x["line"], x["last"], x["family"]) for x in r["found"]] for r in licences.scan(docs, licences.train(docs)).collect()}
     assert found == {1: [(1, 2, "GPL")], 2: [(0, 0, "GPL")], 3: [(0, 1, "Apache-2.0"), (2, 2, "MIT"), (3, 4, "GPL")], 4: []}
+
+
+def test_tokens_of_single_words_are_remembered_once(tmp_path):
+    from tokenizers import Tokenizer
+
+    vocabulary = bpe.Vocabulary.load(bpe.public_path())
+    (tmp_path / "lexicon").write_bytes(bpe.Lexicon.dump([b" the", b"the"], vocabulary))
+    encoder = bpe.Encoder(vocabulary, bpe.Lexicon(str(tmp_path / "lexicon")))
+    assert type(encoder.lexicon.edges) is np.ndarray
+    texts = ["the the qzxv, qzxv. it's  12\n\n x", " é\u00a0ab <|endoftext|>", "'sx ''s " + "ab" * 40, ""]
+    own = Tokenizer.from_file(bpe.public_path())
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.known[" the"] == encoder.lexicon.tokens(0) and not hasattr(encoder, "words")
