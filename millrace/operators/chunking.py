@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -201,6 +202,47 @@ def _merge_steps(his: list[int], outs: list[int]) -> tuple[list[int], list[int]]
     return hi, out
 
 
+class Running:
+    """Adds ``_seq`` (from 1) and the running sums ``_a`` and ``_b`` of ``_size`` to sorted rows that come in batches.
+
+    Every run of equal keys begins at its ``_base_seq`` and ``_base``; only its first row keeps ``_open``.
+    """
+
+    def __init__(self, keys: list[str]):
+        self.keys, self.seq, self.total = keys, 0, 0
+        self.head: pa.Table | None = None
+
+    def feed(self, rows: pa.Table) -> pa.Table:
+        size, base, number, opened = (rows[name].to_numpy() for name in ("_size", "_base", "_base_seq", "_open"))
+        n = len(size)
+        fresh = np.zeros(n, dtype=bool)
+        fresh[0] = self.head is None
+        for key in self.keys:
+            column = rows[key].combine_chunks()
+            # Grouping takes -0.0 and 0.0 as equal.
+            column = pc.add(column, pa.scalar(0.0, column.type)) if pa.types.is_floating(column.type) else column
+            codes = column.dictionary_encode().indices.fill_null(-1).to_numpy()
+            fresh[1:] |= codes[1:] != codes[:-1]
+            fresh[0] = fresh[0] or not _same(self.head[key][0], column[0])
+        heads = np.flatnonzero(fresh)
+        run = np.cumsum(fresh)
+        # What precedes each run of this batch; the first may have begun in an earlier one.
+        before = np.append(self.total, base[heads])
+        passed = np.cumsum(size)
+        skipped = np.append(0, passed[heads] - size[heads])
+        b = passed + (before - skipped)[run]
+        # Whole numbers wrap and come back right unless a group's own sum is too large.
+        about = np.cumsum(size, dtype=np.float64)
+        about = about + (before.astype(np.float64) - np.append(0.0, about[heads] - size[heads]))[run]
+        if np.abs(about).max() >= 2.0 ** 63:
+            raise OverflowError("the sizes of a group add up to more than a long holds")
+        seq = np.arange(n) - np.append(-1 - self.seq, heads - number[heads] - 1)[run]
+        self.head, self.seq, self.total = rows.select(self.keys).slice(n - 1), int(seq[-1]), int(b[-1])
+        columns = {name: rows[name] for name in rows.column_names if name not in ("_size", "_base", "_base_seq", "_open")}
+        since, opened = np.zeros(n, np.int64), np.where(fresh, opened, CLOSED)
+        return pa.table(columns | {name: pa.array(x) for name, x in (("_seq", seq), ("_a", b - size), ("_b", b), ("_since", since), ("_open", opened))})
+
+
 def _fields(df: DataFrame, names: list[str]) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
@@ -322,6 +364,11 @@ def greedy_chunks(
     else:
         narrow = narrow.withColumn("_open", F.lit(CLOSED))
     cut_rows = narrow.sortWithinPartitions(*keys, "_seq").mapInArrow(cut, T.StructType(fields))
+    return _joined_up(cut_rows, part, members, split, empty, page_rows)
+
+
+def _joined_up(cut_rows: DataFrame, part: list[str], members: str | None, split: bool, empty: bool, page_rows: int) -> DataFrame:
+    """The chunks of ``greedy_chunks`` from what the scan of each partition gives."""
     columns = [*part, "start", "at", "stop", "n", *(["members"] if members else [])]
     if not split:
         return (cut_rows if empty else cut_rows.where("stop > start")).select(*columns)
@@ -345,15 +392,81 @@ def greedy_chunks(
     return whole.unionByName(paged.select(*columns))
 
 
+def _chunks_in_order(
+    frame: DataFrame, part: list[str], order: list[str | Column], limit: int, members: str | None, split: bool, empty: bool,
+    page_rows: int,
+) -> DataFrame:
+    """``greedy_chunks`` over the running sums of ``_size``, which the scan itself adds up.
+
+    Rows are sorted once and read as a stream, so a task holds one sort; a window and a second sort would hold them again.
+    """
+    keys = [*part, SLICE] if split else part
+    numbers = ("start", "at", "stop", "n", "first")
+    fields = [*_fields(frame, keys), *[T.StructField(n, T.LongType()) for n in numbers]]
+    if members:
+        member = T.StructType([T.StructField(members, frame.schema[members].dataType), *[T.StructField(c, T.LongType()) for c in ("_a", "_b")]])
+        fields.append(T.StructField("members", T.ArrayType(member)))
+    carried = [members] if members and members not in keys else []
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        adds, scan, last = Running(keys), Scan(keys, limit, "_member" if members else None, page_rows), None
+        for batch in batches:
+            if batch.num_rows:
+                last = adds.feed(pa.Table.from_batches([batch]))
+                if members:
+                    parts = [last[c].combine_chunks() for c in (members, "_a", "_b")]
+                    last = last.append_column("_member", pa.StructArray.from_arrays(parts, [members, "_a", "_b"]))
+                yield from scan.feed(last).to_batches()
+        if last is not None:
+            yield from scan.finish(last).to_batches()
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        adds = Running(keys)
+        for batch in batches:
+            if batch.num_rows:
+                yield from adds.feed(pa.Table.from_batches([batch])).select([*keys, "_seq", "_a", "_b", "_since"]).to_batches()
+
+    def in_order(rows: DataFrame, *columns: str | Column) -> DataFrame:
+        return rows.sortWithinPartitions(*keys, *order).select(*keys, "_size", *columns)
+
+    if not split:
+        zero = F.lit(0).cast("long")
+        rows = in_order(frame, zero.alias("_base"), zero.alias("_base_seq"), F.lit(CLOSED).alias("_open"), *carried)
+        return _joined_up(rows.mapInArrow(cut, T.StructType(fields)), part, members, split, empty, page_rows)
+    # What precedes each slice in its group.  Rows: at most slices + groups.
+    before = Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    sums = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_sum"))
+    sums = sums.select(*[F.col(k).alias("_e_" + k) for k in keys], F.sum("_n").over(before).alias("_base_seq"), F.sum("_sum").over(before).alias("_base"))
+    sums = persist_table(sums.where("_base_seq is not null"), "before")
+    based = frame.join(F.broadcast(sums), same_keys(frame, sums, keys, "_e_"), "left").select(
+        frame["*"], F.coalesce("_base", F.lit(0)).alias("_base"), F.coalesce("_base_seq", F.lit(0)).alias("_base_seq")
+    )
+    numbered = in_order(based, "_base", "_base_seq", F.lit(CLOSED).alias("_open")).mapInArrow(
+        number, T.StructType([*_fields(frame, keys), *[T.StructField(c, T.LongType()) for c in ("_seq", "_a", "_b", "_since")]])
+    )
+    opens = _open_at_slices(numbered, part, limit).where(F.col("_open") != CLOSED)
+    # A chunk can be open only at a slice that begins inside its group: fewer rows than slices.
+    opens = opens.select(*[F.col(k).alias("_o_" + k) for k in keys], "_open")
+    seeded = based.join(F.broadcast(opens), same_keys(based, opens, keys, "_o_"), "left").select(
+        based["*"], F.coalesce("_open", F.lit(CLOSED)).alias("_open")
+    )
+    rows = in_order(seeded, "_base", "_base_seq", "_open", *carried)
+    return _joined_up(rows.mapInArrow(cut, T.StructType(fields)), part, members, split, empty, page_rows)
+
+
 def _varies(kind: T.DataType) -> bool:
     if isinstance(kind, T.StructType):
         return any(_varies(f.dataType) for f in kind.fields)
     return isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))
 
 
-def _together(df: DataFrame, part: list[str], order: list[str | Column], others: list[str]) -> tuple[DataFrame, bool]:
+def _together(
+    df: DataFrame, part: list[str], order: list[str | Column], others: list[str], alone: bool = False
+) -> tuple[DataFrame, bool]:
     """``with_slices``, with the rows of a group (of a group in a slice) in one partition.
 
+    ``alone`` is for plans without windows: each slice gets a partition of its own, and large groups do not meet in one.
+
     Only the columns the scan needs are moved, unless the order is given by expressions.  Rows that carry texts or binaries may
     be wide: then bytes count too when groups are split.
     """
@@ -364,8 +477,12 @@ def _together(df: DataFrame, part: list[str], order: list[str | Column], others:
     if split:
         # More partitions than slices, so that few slices meet in one.
         slices = frame.agg(F.max(SLICE)).first()[0] + 1
+        if alone:
+            return frame.repartitionById(slices, F.col(SLICE).cast("int")), True
         most = max(2 * slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         return frame.repartition(most, *part, SLICE), True
+    if alone and part:
+        return frame.repartitionByRange(*part), False
     return (frame.repartition(*part) if part else frame.repartition(1)), False
 
 
@@ -384,10 +501,8 @@ def chunk(
     if carry:
         sized = sized.withColumn("_carried", F.struct(F.col(members).alias("id"), *[c.alias(n) for n, c in carry.items()]))
     held = "_carried" if carry else members
-    frame, split = _together(sized, part, order, ["_size", *([held] if members else [])])
-    rows = run_over(frame, part, order, split, {"_seq": F.lit(1).cast("long"), "_b": F.col("_size")})
-    rows = rows.withColumn("_a", F.col("_b") - F.col("_size")).withColumn("_since", F.lit(0).cast("long"))
-    return _as_extents(greedy_chunks(rows, part, limit + 1 if strict else limit, held, split, strict, page_rows), carry)
+    frame, split = _together(sized, part, order, ["_size", *([held] if members else [])], alone=True)
+    return _as_extents(_chunks_in_order(frame, part, order, limit + 1 if strict else limit, held, split, strict, page_rows), carry)
 
 
 def cut_apart(chunks: DataFrame) -> DataFrame:

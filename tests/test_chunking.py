@@ -3,12 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.chunking import CLOSED, Cuts, _together, chunk, chunk_islands, cut_apart, merge_ranges, pack, unpack
+from millrace.operators.chunking import CLOSED, Cuts, Running, _together, chunk, chunk_islands, cut_apart, merge_ranges, pack, unpack
 
 
 def loop_chunks(sizes, limit, strict=False):
@@ -235,3 +236,27 @@ def test_groups_of_few_wide_rows_are_split(spark):
         assert sorted(map(tuple, unpack(packed).collect()), key=str) == sorted([(*r, True) for r in rows], key=str)
     finally:
         spark.conf.unset("spark.millrace.groupBytes")
+
+
+def test_a_task_sorts_a_group_once(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("g"), "id", F.lit(2).cast("long").alias("len"))
+    chunks = chunk(rows, ["g"], ["id"], F.col("len"), 10, "id", carry={"x": F.col("len")})
+    plan = chunks._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" not in plan and plan.count("Sort [") == 1
+    found = chunks.where("g = 1").orderBy("offset").first()
+    assert found["total"] == 10 and [tuple(m) for m in found["members"]] == [(1 + 3 * i, 2 * i, 2, 2) for i in range(5)]
+
+
+@pytest.mark.parametrize("step", [1, 2, 5, 100])
+def test_running_sums_over_batches(step):
+    keys = [None, None, 0.0, -0.0, 0.0, 1.5, float("nan"), float("nan"), float("nan")]
+    size, base, number = [3, 1, -2, 5, 0, 7, 1, 1, 1], [0, 0, 10, 10, 10, 0, 4, 4, 4], [0, 0, 2, 2, 2, 0, 1, 1, 1]
+    rows = pa.table({"k": pa.array(keys, pa.float64()), "_size": size, "_base": base, "_base_seq": number, "_open": [9] * 9})
+    adds = Running(["k"])
+    out = pa.concat_tables([adds.feed(rows.slice(i, step)) for i in range(0, 9, step)])
+    assert out["_b"].to_pylist() == [3, 4, 8, 13, 13, 7, 5, 6, 7]
+    assert out["_a"].to_pylist() == [0, 3, 10, 8, 13, 0, 4, 5, 6]
+    assert out["_seq"].to_pylist() == [1, 2, 3, 4, 5, 1, 2, 3, 4]
+    assert out["_open"].to_pylist() == [9, CLOSED, 9, CLOSED, CLOSED, 9, 9, CLOSED, CLOSED]
+    with pytest.raises(OverflowError):
+        Running([]).feed(pa.table({"_size": [1 << 62, 1 << 62], "_base": [0, 0], "_base_seq": [0, 0], "_open": [CLOSED] * 2}))
