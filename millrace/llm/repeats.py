@@ -36,6 +36,8 @@ GROUP = 18
 WINDOW = LENGTH - GROUP + 1
 # Bytes of the first occurrence's document that share a key, and bytes of pieces in a shard, on average.
 STRETCH, SHARD_BYTES = 2048, 2 << 20
+# Bytes of documents whose anchors are found at once, about.
+RUN = 1 << 16
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -130,8 +132,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     order = lms[np.argsort(ranks)]
 
     top = int(text.max()) + 1
-    by_char = np.argsort(text[order], kind="stable")
-    bounds = np.searchsorted(text[order][by_char], np.arange(top + 1))
+    begin = text[order]
+    by_char = np.argsort(begin, kind="stable")
+    bounds = np.searchsorted(begin[by_char], np.arange(top + 1, dtype=begin.dtype))
     starts = [order[by_char[bounds[c]:bounds[c + 1]]] for c in range(top)]
 
     def induce(chars, first, wanted):
@@ -179,10 +182,16 @@ def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
     todo = np.flatnonzero(~derived)
     length = np.zeros(n, np.int64)
     todo = todo[left[todo] >= 0]
-    while len(todo):  # the last character is unique, so every comparison ends
-        equal = text[todo + length[todo]] == text[left[todo] + length[todo]]
-        todo = todo[equal]
-        length[todo] += 1
+    # Four characters at a time while all four are equal, then one at a time; the last character is unique, so every
+    # comparison ends.
+    wide = np.concatenate([text, np.zeros(3, text.dtype)]).astype(np.uint64)
+    four = wide[:n] | wide[1:n + 1] << np.uint64(16) | wide[2:n + 2] << np.uint64(32) | wide[3:] << np.uint64(48)
+    for words, step in ((four, 4), (text, 1)):
+        here, at, other = todo, todo + length[todo], left[todo] + length[todo]
+        while len(here):
+            equal = words[at] == words[other]
+            here, at, other = here[equal], at[equal] + step, other[equal] + step
+            length[here] += step
     origin = np.maximum.accumulate(np.where(derived, 0, place))
     return length[origin] - (place - origin)
 
@@ -190,13 +199,14 @@ def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
 def repeated_ranges(pieces: list[bytes], docs: np.ndarray) -> list[list[tuple[int, int]]]:
     """Per piece the ranges covered by 50-byte strings that also start in a piece of a smaller document."""
     size = np.array([len(p) for p in pieces])
-    text = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.int64) + 2
+    # 16 bits: numpy sorts such keys by radix.
+    text = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.int16) + np.int16(2)
     start = np.cumsum(size + 1) - size - 1
     text[start + size] = 1  # between pieces
     text[-1] = 0
     array = suffix_array(text)
     shared = common_prefixes(text, array)[array] >= LENGTH
-    owner = np.searchsorted(start, array, "right") - 1
+    owner = np.append(np.repeat(np.arange(len(size)), size + 1), len(size) - 1)[array]
     inside = array + LENGTH <= start[owner] + size[owner]
     first = np.flatnonzero(~shared)
     least = np.minimum.reduceat(docs[owner], first)[np.cumsum(~shared) - 1]
@@ -217,11 +227,19 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     """(h, doc_id, same, at) for each anchor."""
     def found(batches):
         for batch in batches:
+            if not len(batch):
+                continue
             raw = [x.encode() for x in batch["text"]]
             ends = np.cumsum([len(x) for x in raw])
-            places, hashes = anchors(np.frombuffer(b"".join(raw), np.uint8), ends)
-            own = np.searchsorted(ends, places, "right")
             begin = np.concatenate([[0], ends[:-1]])
+            # Anchors never look beyond their document: a few documents at a time stay in the processor's cache.
+            cuts = np.flatnonzero(np.diff(begin // RUN, prepend=-1))
+            runs = []
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(raw)], strict=True):
+                at, found = anchors(np.frombuffer(b"".join(raw[i:j]), np.uint8), ends[i:j] - begin[i])
+                runs.append((at + begin[i], found))
+            places, hashes = (np.concatenate(x) for x in zip(*runs, strict=True))
+            own = np.searchsorted(ends, places, "right")
             yield pd.DataFrame({
                 "h": hashes.view(np.int64), "doc_id": batch["doc_id"].to_numpy()[own], "same": batch["same"].to_numpy()[own],
                 "at": (places - begin[own]).astype(np.int32),

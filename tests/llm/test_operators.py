@@ -306,3 +306,18 @@ def test_tokens_of_single_words_are_remembered_once(tmp_path):
     for _ in range(2):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]
     assert encoder.known[" the"] == encoder.lexicon.tokens(0) and not hasattr(encoder, "words")
+
+
+def test_anchors_in_runs_of_documents(monkeypatch):
+    class Frame:
+        def mapInPandas(self, function, schema):
+            return function
+
+    rng = np.random.default_rng(3)
+    texts = ["", "short", *("".join(rng.choice(list("abé "), int(n))) for n in rng.integers(0, 400, 40)), ""]
+    batch = pd.DataFrame({"doc_id": range(len(texts)), "same": range(len(texts)), "text": texts})
+    found = []
+    for run in (1, 700, 1 << 30):
+        monkeypatch.setattr(repeats, "RUN", run)
+        found.append(pd.concat(repeats.anchor_rows(Frame())(iter([batch, batch[:0]]))).values.tolist())
+    assert found[0] and found[0] == found[1] == found[2]
