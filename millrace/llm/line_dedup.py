@@ -2,9 +2,11 @@
 
 A line is compared lower-cased with white space collapsed.  Equal lines share a class, named by a 64-bit hash.  Class
 signatures are cut into bands; classes that agree in a band meet in a bucket.  Each member is compared exactly with the
-bucket's commonest class; a member that is not similar to it is then compared with all others of the bucket that are not
-yet in its component.  So no pair of a bucket that could join two components is left out, and no bucket lists all its
-pairs.  Of each component the first line by (doc_id, line number) stays.
+bucket's commonest class; a member that is not similar to it must still meet the others of its buckets that are not yet in
+its component.  Those that can be similar share one of their rarest shingles (a prefix filter: sets of similarity 0.8 agree
+in a shingle of the first fifth in any common order), so only such pairs are listed and compared.  So no pair of a bucket
+that could join two components is left out, and no bucket lists all its pairs.  Of each component the first line by
+(doc_id, line number) stays.
 
 Defined cases: null text counts as empty; lines without a word always stay; lines shorter than a shingle are one shingle;
 a null doc_id comes before all others; rows that repeat both doc_id and text are one document and get equal results.
@@ -12,6 +14,9 @@ a null doc_id comes before all others; rows that repeat both doc_id and text are
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +35,8 @@ SHINGLE, SIMILARITY, BANDS, ROWS = 8, 0.8, 14, 5
 NAMES = 1_000_000
 # Characters of lines whose shingles a comparison remembers.
 REMEMBERED = 500_000
+# Counters of shingles, and those sent in one row.  Shingles that share a counter look more frequent; the result is the same.
+COUNTERS, BLOCK = 1 << 22, 1 << 16
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -37,9 +44,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     # The list is never empty; the plain form of explode would split once more in a filter.
     cut = docs.select("doc_id", F.xxhash64(text).alias("same"), F.posexplode_outer(F.split(text, "\n", -1)).alias("line", "raw"))
-    # Only white space that is not already one space is replaced.
-    norm = F.lower(F.trim(F.regexp_replace("raw", r"\s{2,}|[^\S ]", " ")))
-    return cut.where(F.col("raw").rlike(r"\S")).select("doc_id", "same", "line", norm.alias("norm")).withColumn("cid", F.xxhash64("norm"))
+    # Only white space that is not already one space is replaced; most lines have none, which is seen without a pattern.
+    spaced = functools.reduce(operator.or_, (F.contains("raw", F.lit(x)) for x in ("  ", "\t", "\x0b", "\f", "\r")))
+    norm = F.lower(F.trim(F.when(spaced, F.regexp_replace("raw", r"\s{2,}|[^\S ]", " ")).otherwise(F.col("raw"))))
+    worded = cut.where(F.ltrim("raw", F.lit(" \t\x0b\f\r")) != "")
+    return worded.select("doc_id", "same", "line", norm.alias("norm")).withColumn("cid", F.xxhash64("norm"))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -48,8 +57,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def band_hashes(texts: list[str]) -> np.ndarray:
-    """A (text, band) matrix of hashes; texts that agree in a band's rows agree in its hash."""
+def shingle_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the shingles of all texts, one after the other, and where each text's begin."""
     # Short lines are filled up to one shingle, so every text has at least one.
     padded = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in texts]
     chars = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -63,9 +72,14 @@ def band_hashes(texts: list[str]) -> np.ndarray:
     ends = start + length
     for k in range(1, SHINGLE):
         inside[(ends - k)[ends - k < len(rolled)]] = False
-    starts = np.concatenate([[0], np.cumsum(length - SHINGLE + 1)[:-1]])
+    return _mix(rolled[inside]), np.concatenate([[0], np.cumsum(length - SHINGLE + 1)[:-1]])
+
+
+def band_hashes(texts: list[str]) -> np.ndarray:
+    """A (text, band) matrix of hashes; texts that agree in a band's rows agree in its hash."""
+    hashes, starts = shingle_hashes(texts)
     # 32 bits each: numpy multiplies and compares them several at a time.  Chance agreements only add pairs to compare.
-    short = (_mix(rolled[inside]) >> np.uint64(32)).astype(np.uint32)
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
     turned = np.empty_like(short)
     out = np.zeros((len(texts), BANDS), np.uint64)
     odd = _mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
@@ -157,38 +171,110 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(close("left", "right")).select("a", "b")
 
 
+def distinct_shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash of 56 bits) of the different shingles of each of up to 256 texts."""
+    hashes, starts = shingle_hashes(texts)
+    own = np.repeat(np.arange(len(texts), dtype=np.uint64), np.diff(np.append(starts, len(hashes))))
+    # The text's number takes 8 bits, the hash the others: one sort of numbers.
+    keys = np.sort(own << np.uint64(56) | hashes >> np.uint64(8))
+    keys = keys[np.append(True, keys[1:] != keys[:-1])]
+    return (keys >> np.uint64(56)).astype(np.int64), keys & np.uint64((1 << 56) - 1)
+
+
+def prefixes(texts: list[str], counts: np.ndarray) -> pd.DataFrame:
+    """(text, token, size, ahead): the rarest shingles of each text, its number of shingles, and those not rarer than this.
+
+    Two sets of similarity s share s of the larger one's shingles, so they agree in one of the first 1 - s of either, if
+    all texts have their shingles in one order.  That order is by count; it need not be exact, only the same for all.
+    """
+    own, hashes = distinct_shingles(texts)
+    order = np.lexsort((hashes, counts[hashes % np.uint64(len(counts))], own))
+    own, hashes = own[order], hashes[order]
+    size = np.bincount(own, minlength=len(texts))
+    place = np.arange(len(own)) - (np.cumsum(size) - size)[own]
+    size = size[own]
+    # The small number keeps a product that is whole from being rounded up.
+    use = place <= size - np.ceil(SIMILARITY * size - 1e-6)
+    return pd.DataFrame({"text": own[use], "token": hashes[use].view(np.int64), "size": size[use], "ahead": (size - place)[use]})
+
+
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """About how many of the texts have a shingle, by its hash modulo COUNTERS."""
+    def count(batches):
+        found = np.zeros(COUNTERS, np.int32)
+        for batch in batches:
+            norm = batch["norm"].tolist()
+            for i in range(0, len(norm), 200):
+                hashes = distinct_shingles(norm[i:i + 200])[1]
+                np.add.at(found, hashes % np.uint64(COUNTERS), 1)
+        rows = [(k, x.tobytes()) for k, x in enumerate(np.split(found, COUNTERS // BLOCK)) if x.any()]
+        yield pd.DataFrame(rows, columns=["block", "counts"])
+
+    def add(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.int32).astype(np.int64) for x in blocks["counts"])
+        return pd.DataFrame({"block": [key[0]], "counts": [total.tobytes()]})
+
+    rows = texts.select("norm").mapInPandas(count, "block int, counts binary")
+    out = np.zeros(COUNTERS, np.int64)
+    # A fixed number of counters, whatever the input.
+    for k, x in rows.groupBy("block").applyInPandas(add, "block int, counts binary").collect():
+        out[k * BLOCK:(k + 1) * BLOCK] = np.frombuffer(x, np.int64)
+    return out.clip(max=2**31 - 1).astype(np.int32)
+
+
+def rare_pairs(members: DataFrame) -> DataFrame:
+    """The pairs (a, b) of members (cid, apart, c, norm) that may be similar, of different c and at least one apart.
+
+    A pair is listed if it shares one of the rarest shingles of both, and so many others follow in both that the sets can
+    reach SIMILARITY.  The first shingle a similar pair shares fulfils this, so every similar pair is listed.
+    """
+    counts = members.sparkSession.sparkContext.broadcast(shingle_counts(members))
+
+    def cut(batches):
+        for batch in batches:
+            for i in range(0, len(batch), 200):
+                part = batch[i:i + 200]
+                found = prefixes(part["norm"].tolist(), counts.value)
+                at = found.pop("text").to_numpy()
+                yield found.assign(**{x: part[x].to_numpy()[at] for x in ("cid", "apart", "c")})[["token", "cid", "apart", "c", "size", "ahead"]]
+
+    tokens = persist_table(members.select("cid", "apart", "c", "norm").mapInPandas(cut, "token long, cid long, apart boolean, c long, size int, ahead int"), "tokens")
+    left, right = tokens.where("apart").alias("x"), tokens.alias("y")
+    fits = F.expr(f"least(x.ahead, y.ahead) * {1 + SIMILARITY}D >= (x.size + y.size) * {SIMILARITY}D - 1e-6D")
+    # Of two that are both apart, one order is enough.
+    met = left.join(right, F.expr("x.token = y.token and x.c != y.c and (not y.apart or x.cid < y.cid)") & fits)
+    return met.select(F.expr("least(x.cid, y.cid)").alias("a"), F.expr("greatest(x.cid, y.cid)").alias("b")).distinct()
+
+
 def line_components(lines: DataFrame) -> DataFrame:
     """(id, component) of the classes that are similar to another class."""
     found = persist_table(buckets(lines), "buckets")
     names = persist_table(found.select("cid").distinct(), "names")
     wanted = F.broadcast(names) if has_at_most(names, NAMES) else names
     texts = persist_table(lines.select("cid", "norm").join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "texts")
-    pivot = persist_table(found.groupBy("band").agg(F.max_by("cid", F.struct("seen", "cid")).alias("pivot")), "pivots")
+    pivot = found.groupBy("band").agg(F.max_by("cid", F.struct("seen", "cid")).alias("pivot"))
     paired = persist_table(found.join(pivot, "band").where("cid != pivot").select("band", "cid", "pivot"), "paired")
     stars = paired.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
     near = persist_table(_similar(stars, texts), "near")
     known = persist_table(components(near), "known")
-    # What is not similar to its bucket's commonest class meets the others of the bucket, unless they are connected.
-    apart = paired.join(near, (F.col("cid") == F.col("a")) & (F.col("pivot") == F.col("b")), "left_anti")
-    own = found.join(known, F.col("cid") == F.col("id"), "left").select("band", "cid", F.coalesce("component", "cid").alias("c"))
-    own = persist_table(own, "own")
-    left = persist_table(apart.select("band", "cid").join(own, ["band", "cid"]), "apart").select("band", F.col("cid").alias("a"), F.col("c").alias("ca"))
-    right = own.select("band", F.col("cid").alias("b"), F.col("c").alias("cb"))
-    open_pairs = left.join(right, (left["band"] == right["band"]) & (F.col("ca") != F.col("cb"))).join(
-        pivot.withColumnRenamed("band", "of"), (F.col("of") == right["band"]) & (F.col("b") != F.col("pivot"))
-    )
-    more = _similar(open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts)
-    return components(near.unionAll(more))
+    # What is not similar to its bucket's commonest class meets the others of its buckets, unless they are connected.
+    marked = paired.join(near.withColumn("near", F.lit(True)), (F.col("cid") == F.col("a")) & (F.col("pivot") == F.col("b")), "left")
+    marked = marked.join(known, F.col("cid") == F.col("id"), "left").select("band", "cid", F.col("near").isNull().alias("apart"), F.coalesce("component", "cid").alias("c"))
+    marked = persist_table(marked, "marked")
+    unsettled = marked.groupBy("band").agg(F.bool_or("apart").alias("some"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("some and lo != hi")
+    members = marked.join(unsettled.select("band"), "band", "left_semi").groupBy("cid").agg(F.bool_or("apart").alias("apart"), F.min("c").alias("c"))
+    members = persist_table(members.join(texts, "cid"), "members")
+    return components(near.unionAll(_similar(rare_pairs(members), texts)))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, same, removed): the sorted numbers of lines that go, for documents that lose any."""
     bound_batches(docs.sparkSession)
-    lines = lines_of(docs)
+    lines = persist_table(lines_of(docs), "lines")
     near = persist_table(line_components(lines), "components")
     # doc_id and line in one number, which Spark combines in place; null ids come first.
     place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(38,0)")) * F.lit(str(2**31)).cast("decimal(12,0)") + F.col("line")
-    placed = persist_table(lines.select("doc_id", "same", "line", "cid"), "lines").withColumn("place", place.cast("decimal(38,0)"))
+    placed = lines.select("doc_id", "same", "line", "cid").withColumn("place", place.cast("decimal(38,0)"))
     classes = placed.groupBy("cid").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     grouped = persist_table(classes.join(near, F.col("cid") == F.col("id"), "left").where("n > 1 or component is not null").select(
         "cid", F.coalesce("component", "cid").alias("component"), "place"), "grouped")
@@ -199,10 +285,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 
 def _kept_text(text: Column, removed: Column) -> Column:
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    gone = F.coalesce(removed, F.array().cast("array<int>"))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))
-    return F.when(F.size(gone) == 0, text).otherwise(F.array_join(kept, "\n"))
+    # The text is split once: a list inside the function would be made anew for each of its lines.
+    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(removed, i))
+    return F.when(removed.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -217,7 +302,8 @@ def dedup(docs: DataFrame) -> DataFrame:
 def op2_line_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (line numbers), kept_sha256 (of the text that stays)."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    before = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long"))
+    text = F.coalesce("text", F.lit(""))
+    before = docs.withColumn("n_lines", (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long"))
     return dedup(before).select(
         "doc_id", "n_lines", F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.array_join(F.coalesce("__removed", F.array().cast("array<int>")), ",").alias("removed"),

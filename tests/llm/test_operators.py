@@ -258,6 +258,44 @@ def test_lines_of_repeated_shingles_are_similar_at_any_length(spark):
     assert {r["doc_id"]: r["__removed"] or [] for r in out} == wanted and wanted[2] == [0]
 
 
+def test_near_copies_that_are_not_similar_do_not_all_meet(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(60)]
+    texts = {}
+    for i in range(200):  # copies of one line with 4 words of their own (similarity about 0.57); the last 20 are near the first 20
+        own = list(texts[i - 180].split() if i >= 180 else words)
+        for k in rng.choice(60, 1 if i >= 180 else 4, replace=False):
+            own[k] = "".join(rng.choice(list("nopqrstu"), 5))
+        texts[i] = " ".join(own)
+    listed, found = [], line_dedup._similar
+
+    def similar(pairs, lines):
+        listed.append(pairs.count())
+        return found(pairs, lines)
+
+    monkeypatch.setattr(line_dedup, "_similar", similar)
+    out = line_dedup.dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["__removed"] or [] for r in out} == brute.removed_lines(texts)
+    assert sum(listed) < 200 * 199 // 2 // 5
+
+
+def test_prefixes_of_similar_lines_agree():
+    rng = np.random.default_rng(5)
+    base = "".join(rng.choice(list("abcd "), 300))
+    texts = [base, base[:270], base + "xyz" * 9, "-" * 10, "-" * 80, "short", "", "tiny"]
+    counts = rng.integers(0, 3, 64)
+    rows = line_dedup.prefixes(texts, counts)
+    tokens = {i: dict(zip(x["token"], x["ahead"], strict=True)) for i, x in rows.groupby("text")}
+    size = dict(zip(rows["text"], rows["size"], strict=True))
+    sets = [brute.shingles(x) for x in texts]
+    assert [size[i] for i in range(len(texts))] == [len(x) for x in sets]
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                shared = tokens[a].keys() & tokens[b].keys()
+                assert any(9 * min(tokens[a][t], tokens[b][t]) >= 4 * (size[a] + size[b]) for t in shared)
+
+
 def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
     rows = [(None, LONG, 1), (None, "some clean text", 2), (5, f"{LONG} and more", 3), (5, "another clean text", 4), (6, LONG, 5)]
     items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
