@@ -5,8 +5,8 @@ signatures are cut into bands; classes that agree in a band meet in a bucket.  E
 bucket's commonest class; a member that is not similar to it must still meet the others of its buckets that are not yet in
 its component.  Those that can be similar share one of their rarest shingles (a prefix filter: sets of similarity 0.8 agree
 in a shingle of the first fifth in any common order), so only such pairs are listed and compared.  So no pair of a bucket
-that could join two components is left out, and no bucket lists all its pairs.  Of each component the first line by
-(doc_id, line number) stays.
+that could join two components is left out.  Lines that differ from one text in little more than the similarity allows
+(about 0.66 and more) still mostly meet.  Of each component the first line by (doc_id, line number) stays.
 
 Defined cases: null text counts as empty; lines without a word always stay; lines shorter than a shingle are one shingle;
 a null doc_id comes before all others; rows that repeat both doc_id and text are one document and get equal results.
