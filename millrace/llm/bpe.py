@@ -38,7 +38,7 @@ LEXICON_WORDS = 32_768
 # A word is compiled only if it occurs once in so many characters; bounds what tasks send to find the most frequent.
 RAREST = 20_000_000
 # Segments, and words, whose tokens a Python worker remembers before it starts afresh; characters it encodes at once.
-REMEMBERED, RUN = 450_000, 1 << 18
+REMEMBERED, RUN = 150_000, 1 << 18
 # Bytes of texts in one Arrow batch: a worker holds them, their tokens and the result several times.
 BATCH_TEXT = 2 << 20
 
@@ -61,17 +61,18 @@ def byte_letters() -> dict[str, int]:
 
 @dataclass
 class Vocabulary:
-    """Ids of single bytes, the bytes of each id, merges as (id, id) -> (rank, id), and added tokens."""
+    """Ids of single bytes, the bytes of each id, merges as rows (id, id, id made) by rank, and added tokens."""
 
     of_byte: list[int]
     tokens: list[bytes]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    merges: np.ndarray
     added: dict[str, int]
 
     def __post_init__(self):
         # For the merge loop: rank by a pair packed in one number, and the id that each rank makes.
-        self.ranks = {a << 32 | b: rank for (a, b), (rank, _) in self.merges.items()}
-        self.made = {rank: made for rank, made in self.merges.values()}
+        left, right, made = self.merges.T
+        self.ranks = dict(zip((left << 32 | right).tolist(), range(len(made)), strict=True))
+        self.made = made.tolist()
         # Every word begins as single bytes: the ranks of two bytes by position, which no hashing is needed for.
         self.first = [self.ranks.get(a << 32 | b, _NONE) for a in self.of_byte for b in self.of_byte]
 
@@ -88,7 +89,7 @@ class Vocabulary:
         for word, i in added.items():
             tokens[i] = word.encode()
         pairs = (m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"])
-        merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        merges = np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs], np.int64).reshape(-1, 3)
         return cls([vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])], tokens, merges, added)
 
     def merged(self, word: bytes) -> list[int]:
@@ -119,8 +120,8 @@ class Vocabulary:
 
         def offer(i):
             j = after[i] if i >= 0 else -1
-            if i >= 0 and j >= 0 and (found := self.merges.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+            if i >= 0 and j >= 0 and (rank := self.ranks.get(ids[i] << 32 | ids[j])) is not None:
+                heapq.heappush(heap, (rank, i, ids[i], ids[j], self.made[rank]))
 
         for i in range(len(ids) - 1):
             offer(i)
@@ -268,7 +269,9 @@ class Encoder:
     def learn(self, segments: set[str]) -> None:
         """Find the tokens of segments not seen before."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            # What this run uses is likely to come again; most of the rest came once.
+            known = self.known
+            self.known = {s: known[s] for s in segments if s in known}
         new = list(segments.difference(self.known))
         find = self.pattern.findall
         # A space and letters, here of ASCII only, are one word of the pattern.
@@ -339,12 +342,8 @@ class Tokenizer:
     file: str
 
     def encoder(self) -> Encoder:
-        """One per Python worker and lexicon."""
-        kept = globals().setdefault("_encoders", {})
-        if self.file not in kept:
-            kept.clear()
-            kept[self.file] = Encoder(Vocabulary(*self.vocabulary.value), Lexicon(SparkFiles.get(self.file)))
-        return kept[self.file]
+        """One for a task, which lets it go at its end: a Python worker that waits for its next task holds nothing."""
+        return Encoder(Vocabulary(*self.vocabulary.value), Lexicon(SparkFiles.get(self.file)))
 
 
 def build(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text: str = "text") -> Tokenizer:
@@ -369,8 +368,10 @@ def encode_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
     bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("array<int>")
-    def encoded(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(x, "<u4").astype("int32") for x in tokenizer.encoder().encode_all(list(texts))])
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = tokenizer.encoder()
+        for texts in batches:
+            yield pd.Series([np.frombuffer(x, "<u4").astype("int32") for x in encoder.encode_all(list(texts))])
 
     return encoded(F.coalesce(F.col(text), F.lit("")))
 
@@ -380,9 +381,10 @@ def decode_column(spark: SparkSession, tokenizer: Tokenizer, ids: str = "ids") -
     bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("string")
-    def decoded(tokens: pd.Series) -> pd.Series:
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = tokenizer.encoder()
-        return pd.Series([encoder.decode(np.asarray([] if x is None else x, "<u4").tobytes()) for x in tokens])
+        for tokens in batches:
+            yield pd.Series([encoder.decode(np.asarray([] if x is None else x, "<u4").tobytes()) for x in tokens])
 
     return decoded(F.col(ids))
 
@@ -392,10 +394,11 @@ def tokens_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
     bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("ids array<int>, decoded_sha256 string")
-    def tokens(texts: pd.Series) -> pd.DataFrame:
+    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = tokenizer.encoder()
-        rows = [(np.frombuffer(x, "<i4"), hashlib.sha256(encoder.decode(x).encode()).hexdigest()) for x in encoder.encode_all(list(texts))]
-        return pd.DataFrame(rows, columns=["ids", "decoded_sha256"])
+        for texts in batches:
+            rows = [(np.frombuffer(x, "<i4"), hashlib.sha256(encoder.decode(x).encode()).hexdigest()) for x in encoder.encode_all(list(texts))]
+            yield pd.DataFrame(rows, columns=["ids", "decoded_sha256"])
 
     return tokens(F.coalesce(F.col(text), F.lit("")))
 
@@ -405,12 +408,13 @@ def digest_column(spark: SparkSession, tokenizer: Tokenizer, text: str = "text")
     bound_batches(spark, BATCH_TEXT)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digested(texts: pd.Series) -> pd.DataFrame:
+    def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = tokenizer.encoder()
-        rows = []
-        for tokens in encoder.encode_all(list(texts)):
-            rows.append((len(tokens) // 4, hashlib.sha256(tokens).hexdigest(), hashlib.sha256(encoder.decode(tokens).encode()).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for texts in batches:
+            rows = []
+            for tokens in encoder.encode_all(list(texts)):
+                rows.append((len(tokens) // 4, hashlib.sha256(tokens).hexdigest(), hashlib.sha256(encoder.decode(tokens).encode()).hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digested(F.coalesce(F.col(text), F.lit("")))
 

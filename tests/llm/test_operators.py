@@ -347,6 +347,20 @@ def test_tokens_of_single_words_are_remembered_once(tmp_path):
     assert encoder.known[" the"] == encoder.lexicon.tokens(0) and not hasattr(encoder, "words")
 
 
+def test_encoder_keeps_what_the_run_uses_and_no_more(tmp_path, monkeypatch):
+    vocabulary = bpe.Vocabulary.load(bpe.public_path())
+    # Pairs as numbers, not as objects of which every Python worker would hold fifty thousand.
+    assert type(vocabulary.merges) is np.ndarray and len(vocabulary.merges) == len(vocabulary.ranks)
+    (tmp_path / "lexicon").write_bytes(bpe.Lexicon.dump([], vocabulary))
+    encoder = bpe.Encoder(vocabulary, bpe.Lexicon(str(tmp_path / "lexicon")))
+    expected = encoder.encode(["a qzxv b", "a qzxv c", "ab" * 40])
+    monkeypatch.setattr(bpe, "REMEMBERED", 2)
+    kept = encoder.known[" qzxv"]
+    assert encoder.encode(["a qzxv c"]) == expected[1:2]
+    assert encoder.known[" qzxv"] is kept and set(encoder.known) == {"a", " qzxv", " c"}
+    assert encoder.encode(["a qzxv b", "a qzxv c", "ab" * 40]) == expected
+
+
 def test_anchors_in_runs_of_documents(monkeypatch):
     class Frame:
         def mapInPandas(self, function, schema):
