@@ -86,15 +86,23 @@ def classify(text: np.ndarray) -> np.ndarray:
 
 
 def rank_by_doubling(names: np.ndarray) -> np.ndarray:
-    """Ranks of the suffixes of the reduced string; each round doubles the number of names compared."""
+    """Ranks of the suffixes of the reduced string, whose names tell how many are smaller; each round doubles the number of
+    names compared.  Only suffixes that are not told apart yet are sorted again."""
     rank, step, n = names.astype(np.int64), 1, len(names)
-    while True:
-        following = np.zeros(n, np.int64)
-        following[:n - step] = rank[step:] + 1 if step < n else 0
-        _, rank = np.unique(rank * (n + 2) + following, return_inverse=True)
-        if int(rank.max(initial=0)) == n - 1 or step >= n:
-            return rank
+    at = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+    while len(at):
+        following = np.where(at + step < n, rank[np.minimum(at + step, n - 1)] + 1, 0)
+        key = rank[at] * (n + 1) + following
+        order = np.argsort(key)
+        key, at = key[order], at[order]
+        old = rank[at]
+        new_old = np.append(True, old[1:] != old[:-1])
+        new_key = np.append(True, key[1:] != key[:-1])
+        place = np.arange(len(at))
+        rank[at] = old + np.maximum.accumulate(np.where(new_key, place, 0)) - np.maximum.accumulate(np.where(new_old, place, 0))
+        at = at[~(new_key & np.append(new_key[1:], True))]
         step *= 2
+    return rank
 
 
 def name_substrings(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -128,8 +136,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     small = classify(text)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     names = name_substrings(text, small, lms)
-    ranks = names if len(np.unique(names)) == len(names) else rank_by_doubling(names)
-    order = lms[np.argsort(ranks)]
+    order = np.empty_like(lms)
+    order[rank_by_doubling(names)] = lms
 
     top = int(text.max()) + 1
     begin = text[order]
@@ -174,14 +182,16 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 def common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
     """For each place, the length it shares with its left neighbour in the array (the permuted common prefixes)."""
     n = len(text)
-    left = np.full(n, -1)
+    left = np.empty(n, np.int64)
     left[array[1:]] = array[:-1]
+    left[array[0]] = 0
     place = np.arange(n)
-    derived = (place > 0) & (left > 0)
-    derived[derived] = text[place[derived] - 1] == text[left[derived] - 1]
+    before = np.append(text.dtype.type(-1), text[:-1])
+    derived = before == before[left]
+    derived[0] = False
     todo = np.flatnonzero(~derived)
     length = np.zeros(n, np.int64)
-    todo = todo[left[todo] >= 0]
+    todo = todo[todo != array[0]]
     # Four characters at a time while all four are equal, then one at a time; the last character is unique, so every
     # comparison ends.
     wide = np.concatenate([text, np.zeros(3, text.dtype)]).astype(np.uint64)
@@ -206,12 +216,15 @@ def repeated_ranges(pieces: list[bytes], docs: np.ndarray) -> list[list[tuple[in
     text[-1] = 0
     array = suffix_array(text)
     shared = common_prefixes(text, array)[array] >= LENGTH
+    # Only suffixes that share with a neighbour: each run of them begins with one that does not share with its left.
+    near = shared.copy()
+    near[:-1] |= shared[1:]
+    array, shared = array[near], shared[near]
     owner = np.append(np.repeat(np.arange(len(size)), size + 1), len(size) - 1)[array]
     inside = array + LENGTH <= start[owner] + size[owner]
-    first = np.flatnonzero(~shared)
-    least = np.minimum.reduceat(docs[owner], first)[np.cumsum(~shared) - 1]
-    hit = np.flatnonzero(inside & (docs[owner] > least))
-    place = np.sort(array[hit])
+    first, own = np.flatnonzero(~shared), docs[owner]
+    least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(own)))) if len(own) else own
+    place = np.sort(array[inside & (own > least)])
     out: list[list[tuple[int, int]]] = [[] for _ in pieces]
     if len(place):
         cut = np.flatnonzero(np.diff(place) > LENGTH) + 1

@@ -361,6 +361,39 @@ def test_encoder_keeps_what_the_run_uses_and_no_more(tmp_path, monkeypatch):
     assert encoder.encode(["a qzxv b", "a qzxv c", "ab" * 40]) == expected
 
 
+def test_only_suffixes_not_told_apart_are_sorted_again(monkeypatch):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([np.arange(10, 74), rng.permutation(4000) + 100, np.arange(10, 74), [5]])
+    names = np.searchsorted(np.sort(values), values)
+    sizes = []
+
+    def counted(function):
+        return lambda x, *a, **b: sizes.append(len(x)) or function(x, *a, **b)
+
+    for name in ("argsort", "unique"):
+        monkeypatch.setattr(np, name, counted(getattr(np, name)))
+    ranks = repeats.rank_by_doubling(names)
+    monkeypatch.undo()
+    suffixes = sorted(range(len(values)), key=lambda i: values[i:].tolist())
+    assert np.argsort(ranks).tolist() == suffixes
+    assert 0 < sum(sizes) < 1000
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_ranges_of_pieces(seed):
+    rng = np.random.default_rng(seed)
+    source = rng.integers(97, 99 + 8 * (seed % 2), 400).astype(np.uint8).tobytes()
+    cuts = [(int(a), int(a) + int(n)) for a, n in zip(rng.integers(0, 250, 12), rng.integers(1, 150, 12), strict=True)]
+    pieces, docs = [source[a:b] for a, b in cuts], rng.integers(0, 5, 12)
+    first: dict[bytes, int] = {}
+    for piece, doc in zip(pieces, docs.tolist(), strict=True):
+        for i in range(len(piece) - 49):
+            first[piece[i:i + 50]] = min(doc, first.get(piece[i:i + 50], doc))
+    for piece, doc, found in zip(pieces, docs.tolist(), repeats.repeated_ranges(pieces, docs), strict=True):
+        covered = {k for i in range(len(piece) - 49) if first[piece[i:i + 50]] < doc for k in range(i, i + 50)}
+        assert {k for a, b in found for k in range(a, b)} == covered
+
+
 def test_anchors_in_runs_of_documents(monkeypatch):
     class Frame:
         def mapInPandas(self, function, schema):
