@@ -73,7 +73,8 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         prints.withColumn("cell", cell).select("id", "fp", F.explode(F.array("cell", *near)).alias("cell"))
         .where("cell is not null")
     )
-    a, b = placed.alias("a"), placed.alias("b")
+    # Spark takes the cells for as few rows as the fingerprints, which are 33 times fewer: it must not broadcast them.
+    a, b = placed.alias("a").hint("merge"), placed.alias("b").hint("merge")
     close = (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance)
     return a.join(b, (F.col("a.cell") == F.col("b.cell")) & close).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
 

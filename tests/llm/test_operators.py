@@ -407,3 +407,9 @@ def test_anchors_in_runs_of_documents(monkeypatch):
         monkeypatch.setattr(repeats, "RUN", run)
         found.append(pd.concat(repeats.anchor_rows(Frame())(iter([batch, batch[:0]]))).values.tolist())
     assert found[0] and found[0] == found[1] == found[2]
+
+
+def test_cells_are_not_broadcast(spark):
+    pairs = simhash.links(spark.createDataFrame([(1, 0b1), (2, 0b11), (3, 0xFF << 20)], "id long, fp long"))
+    assert {tuple(sorted(r)) for r in pairs.collect()} == {(1, 2)}
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
