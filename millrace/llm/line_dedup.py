@@ -239,7 +239,7 @@ def rare_pairs(members: DataFrame) -> DataFrame:
                 yield found.assign(**{x: part[x].to_numpy()[at] for x in ("cid", "apart", "c")})[["token", "cid", "apart", "c", "size", "ahead"]]
 
     tokens = persist_table(members.select("cid", "apart", "c", "norm").mapInPandas(cut, "token long, cid long, apart boolean, c long, size int, ahead int"), "tokens")
-    left, right = tokens.where("apart").alias("x"), tokens.alias("y")
+    left, right = tokens.where("apart").alias("x").hint("merge"), tokens.alias("y").hint("merge")
     fits = F.expr(f"least(x.ahead, y.ahead) * {1 + SIMILARITY}D >= (x.size + y.size) * {SIMILARITY}D - 1e-6D")
     # Of two that are both apart, one order is enough.
     met = left.join(right, F.expr("x.token = y.token and x.c != y.c and (not y.apart or x.cid < y.cid)") & fits)
@@ -253,7 +253,8 @@ def line_components(lines: DataFrame) -> DataFrame:
     wanted = F.broadcast(names) if has_at_most(names, NAMES) else names
     texts = persist_table(lines.select("cid", "norm").join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "texts")
     pivot = found.groupBy("band").agg(F.max_by("cid", F.struct("seen", "cid")).alias("pivot"))
-    paired = persist_table(found.join(pivot, "band").where("cid != pivot").select("band", "cid", "pivot"), "paired")
+    # Bands are sorted in the file, which is so small that Spark would broadcast many more rows than it thinks; so are tokens.
+    paired = persist_table(found.hint("merge").join(pivot, "band").where("cid != pivot").select("band", "cid", "pivot"), "paired")
     stars = paired.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
     near = persist_table(_similar(stars, texts), "near")
     known = persist_table(components(near), "known")

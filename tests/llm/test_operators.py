@@ -413,3 +413,19 @@ def test_cells_are_not_broadcast(spark):
     pairs = simhash.links(spark.createDataFrame([(1, 0b1), (2, 0b11), (3, 0xFF << 20)], "id long, fp long"))
     assert {tuple(sorted(r)) for r in pairs.collect()} == {(1, 2)}
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bands_and_tokens_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def written(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(line_dedup, "persist_table", written)
+    members = spark.createDataFrame([(1, True, 1, LONG), (2, True, 2, LONG + "!"), (3, True, 3, "z" * 50)], "cid long, apart boolean, c long, norm string")
+    pairs = line_dedup.rare_pairs(members)
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    line_dedup.line_components(line_dedup.lines_of(spark.createDataFrame([(1, LONG), (2, LONG + "!")], "doc_id long, text string")))
+    assert "Broadcast" not in plans["paired"]
