@@ -3,7 +3,8 @@
 Every byte covered by a 50-byte string that also starts in a document with a smaller doc_id is removed.
 
 1. Anchors: in any 50 bytes, the byte groups of smallest hash are chosen by content alone, so equal strings have equal
-   anchors.  Anchors are sorted inside tasks and read as a stream; those met in two documents survive.
+   anchors.  Anchors are sorted inside tasks and read as a stream; those met in two documents survive, if 16 bytes before
+   or after them are equal too: of two strings of 50 bytes around one group, one side has so many or more.
 2. Around surviving anchors the text is cut into pieces, keyed by the place of the anchor's first occurrence.  Equal
    pieces are kept once, under their smallest document; in all others they go whole.
 3. Pieces are dealt to shards by key.  A shard's suffix array comes from induced sorting: suffixes are classified,
@@ -20,13 +21,15 @@ nor lose anything; rows with the same doc_id do not remove each other; rows that
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bound_batches, query, table
-from millrace.session import persist_table, ship_with_tasks
+from millrace.session import drop_table, persist_table, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -34,10 +37,14 @@ LENGTH = 50
 # Bytes of an anchor, and group starts in a window of LENGTH bytes.
 GROUP = 18
 WINDOW = LENGTH - GROUP + 1
+# Bytes beside an anchor that tell, on one side or the other, whether a string around it can be shared.
+SIDE = (LENGTH - GROUP) // 2
 # Bytes of the first occurrence's document that share a key, and bytes of pieces in a shard, on average.
 STRETCH, SHARD_BYTES = 2048, 2 << 20
 # Bytes of documents whose anchors are found at once, about.
 RUN = 1 << 16
+# Parts of the documents that are shuffled to their anchors one after the other.
+ROUNDS = 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,10 +62,13 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[:len(x) - (width - size)], x[width - size:]) if size < width else x
 
 
-def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the anchors in concatenated documents that end at ``ends``."""
+def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, hashes, before, after) of the anchors in concatenated documents that end at ``ends``.
+
+    The last two are hashes of 16 bits, never 0, of the bytes on either side, which may be those of another document.
+    """
     if len(text) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in range(3))
     wide = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     word = wide[:-8].copy()
     for k in range(1, 8):
@@ -72,7 +82,11 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     edge = np.zeros(WINDOW - 1, np.uint64)
     chosen = _sliding(np.concatenate([edge, least, edge]), WINDOW, np.maximum)
     places = np.flatnonzero(chosen == hashes)
-    return places, hashes[places]
+    sides = []
+    for first in (places - SIDE, places + GROUP):
+        left, right = (word[(first + k).clip(0, len(word) - 1)] for k in (0, SIDE - 8))
+        sides.append((_mix(_mix(left) + right) >> np.uint64(48)).clip(min=1))
+    return places, hashes[places], *sides
 
 
 def classify(text: np.ndarray) -> np.ndarray:
@@ -237,7 +251,9 @@ def repeated_ranges(pieces: list[bytes], docs: np.ndarray) -> list[list[tuple[in
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """(h, doc_id, same, at) for each anchor."""
+    """(h, doc_id, same, spot) for each anchor: in ``spot`` its place above what ``anchors`` tells of the bytes before and after
+    it, 16 bits each, 0 where the document has too few.
+    """
     def found(batches):
         for batch in batches:
             if not len(batch):
@@ -249,26 +265,47 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
             cuts = np.flatnonzero(np.diff(begin // RUN, prepend=-1))
             runs = []
             for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(raw)], strict=True):
-                at, found = anchors(np.frombuffer(b"".join(raw[i:j]), np.uint8), ends[i:j] - begin[i])
-                runs.append((at + begin[i], found))
-            places, hashes = (np.concatenate(x) for x in zip(*runs, strict=True))
+                at, *found = anchors(np.frombuffer(b"".join(raw[i:j]), np.uint8), ends[i:j] - begin[i])
+                runs.append((at + begin[i], *found))
+            places, hashes, before, after = (np.concatenate(x) for x in zip(*runs, strict=True))
             own = np.searchsorted(ends, places, "right")
+            at = places - begin[own]
+            before = np.where(at < SIDE, 0, before.astype(np.int64))
+            after = np.where(ends[own] - places < GROUP + SIDE, 0, after.astype(np.int64))
             yield pd.DataFrame({
                 "h": hashes.view(np.int64), "doc_id": batch["doc_id"].to_numpy()[own], "same": batch["same"].to_numpy()[own],
-                "at": (places - begin[own]).astype(np.int32),
+                "spot": at << 32 | before << 16 | after,
             })
 
-    return docs.mapInPandas(found, "h long, doc_id long, same long, at int")
+    return docs.mapInPandas(found, "h long, doc_id long, same long, spot long")
+
+
+def sharing(group: np.ndarray, doc: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    """Whether each anchor has one of its group in another document with equal bytes before it, or with equal bytes after it."""
+    out = np.zeros(len(group), bool)
+    for side in (spot >> 16 & 0xFFFF, spot & 0xFFFF):
+        known = np.flatnonzero(side)
+        if len(known):
+            code = group[known] << 16 | side[known]
+            order = np.argsort(code)
+            code, known = code[order], known[order]
+            first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            many = np.maximum.reduceat(doc[known], first) != np.minimum.reduceat(doc[known], first)
+            out[known] |= np.repeat(many, np.diff(np.append(first, len(known))))
+    return out
 
 
 def shared_anchors(rows: DataFrame) -> DataFrame:
-    """(doc_id, same, at, key): anchors met in two documents or more, with the place of their first occurrence."""
+    """(doc_id, same, spot): anchors around which two documents or more may share a string; ``spot`` is a key, made from the
+    place of the anchor's first occurrence, above its place.
+    """
     def kept(batches):
         run = None  # hash, first document, key, and the rows of the first document held back
         for batch in batches:
-            h, doc, at = (batch[c].to_numpy() for c in ("h", "doc_id", "at"))
+            h, doc, spot = (batch[c].to_numpy() for c in ("h", "doc_id", "spot"))
             if not len(h):
                 continue
+            at = spot >> 32
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1])
             spans = np.append(cuts, len(h))
             again = run is not None and h[0] == run[0]
@@ -285,6 +322,9 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
             waiting = run[4] if again and not many[0] else None
             last = len(cuts) - 1
             use = many[group]
+            # An anchor that other batches may have too is not looked at more closely, as only some of its rows are here.
+            whole = use & (group != last) & ~((group == 0) & again)
+            use[whole] = sharing(group[whole], doc[whole], spot[whole])
             if use.any():
                 yield _keyed(batch[use], head_doc[group[use]], head_at[group[use]])
             tail = None if many[last] else batch[group == last]
@@ -296,43 +336,46 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
         first = np.asarray(doc).astype(np.uint64)
         part = (np.asarray(at) // STRETCH).astype(np.uint64)
         key = _mix(_mix(np.broadcast_to(first, len(batch)).copy()) + np.broadcast_to(part, len(batch)).copy())
-        return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "same": batch["same"].to_numpy(), "at": batch["at"].to_numpy(), "key": key.view(np.int64)})
+        # Stretches that get one key only share a shard.
+        spot = (key >> np.uint64(32) << np.uint64(32)).view(np.int64) | batch["spot"].to_numpy() >> 32
+        return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "same": batch["same"].to_numpy(), "spot": spot})
 
-    spread = rows.repartition("h").sortWithinPartitions("h", "doc_id", "at")
-    return spread.mapInPandas(kept, "doc_id long, same long, at int, key long")
+    spread = rows.repartition("h").sortWithinPartitions("h", "doc_id", "spot")
+    return spread.mapInPandas(kept, "doc_id long, same long, spot long")
 
 
 def cut_pieces(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(doc_id, same, begin, key, piece): the text around consecutive anchors of one key."""
-    gathered = found.groupBy("doc_id", "same").agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("spots"))
-    joined = docs.join(gathered, ["doc_id", "same"]).select(
-        "doc_id", "same", "text", F.col("spots.at").alias("ats"), F.col("spots.key").alias("keys")
-    )
+    # A document's anchors come from all tasks, so there is nothing to gather before they are dealt out.
+    gathered = found.repartition("doc_id", "same").groupBy("doc_id", "same").agg(F.sort_array(F.collect_set("spot")).alias("spots"))
+    joined = docs.join(gathered, ["doc_id", "same"]).select("doc_id", "same", "text", "spots")
 
     def cut(batches):
         for batch in batches:
             rows = []
-            for doc_id, same, text, ats, keys in batch.itertuples(index=False):
-                raw = text.encode()
-                ats, keys = np.asarray(ats, np.int64), np.asarray(keys, np.int64)
-                order = np.argsort(keys, kind="stable")
-                ats, keys = ats[order], keys[order]
+            for doc_id, same, text, spots in batch.itertuples(index=False):
+                raw, spots = text.encode(), np.asarray(spots, np.int64)
+                ats, keys = spots & 0xFFFFFFFF, spots >> 32
                 apart = np.flatnonzero((np.diff(keys) != 0) | (np.diff(ats) > LENGTH + WINDOW)) + 1
                 for a, k in zip(np.split(ats, apart), keys[np.append(0, apart)].tolist(), strict=True):
                     begin, end = max(0, int(a[0]) - WINDOW + 1), min(len(raw), int(a[-1]) + LENGTH)
                     rows.append((doc_id, same, begin, k, raw[begin:end]))
             yield pd.DataFrame(rows, columns=["doc_id", "same", "begin", "key", "piece"])
 
-    return joined.mapInPandas(cut, "doc_id long, same long, begin int, key long, piece binary").where(F.length("piece") >= LENGTH)
+    return joined.mapInPandas(cut, "doc_id long, same long, begin int, key int, piece binary").where(F.length("piece") >= LENGTH)
 
 
-def covered_ranges(pieces: DataFrame) -> DataFrame:
-    """(doc_id, same, begin, end) of what goes."""
-    named = persist_table(pieces.withColumn("name", F.unhex(F.md5("piece"))), "pieces")
+def covered_ranges(named: DataFrame) -> DataFrame:
+    """(doc_id, same, spans) of what goes; ``named`` is a table of pieces with their names, which is dropped."""
     distinct = named.groupBy("key", "name").agg(F.min("doc_id").alias("first"))
-    one = persist_table(named.join(distinct, ["key", "name"]).select("*", (F.col("doc_id") == F.col("first")).alias("own")), "owned")
-    unique = one.where("own").select("key", "name", "doc_id", "piece").dropDuplicates(["key", "name"])
-    total = unique.agg(F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()[0]
+    own = F.col("doc_id") == F.col("first")
+    one = named.join(distinct, ["key", "name"]).select(
+        "doc_id", "same", "begin", "key", "name", F.length("piece").alias("size"), own.alias("own"), F.when(own, F.col("piece")).alias("piece")
+    )
+    one = persist_table(one, "owned", tidy=True)
+    drop_table(named)
+    unique = one.where("own").select("key", "name", "doc_id", "size", "piece").dropDuplicates(["key", "name"])
+    total = unique.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shards = max(1, int(total) // SHARD_BYTES)
 
     def solve(shard: pd.DataFrame) -> pd.DataFrame:
@@ -341,11 +384,16 @@ def covered_ranges(pieces: DataFrame) -> DataFrame:
         rows = [(k, n, a, b) for k, n, own in zip(shard["key"], shard["name"], found, strict=True) for a, b in own]
         return pd.DataFrame(rows, columns=["key", "name", "a", "b"])
 
-    solved = unique.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInPandas(solve, "key long, name binary, a int, b int")
-    solved = persist_table(solved, "solved")
-    own = one.where("own").select("key", "name", "doc_id", "same", "begin").join(solved, ["key", "name"])
-    whole = one.where("not own").select("doc_id", "same", F.col("begin"), (F.col("begin") + F.length("piece")).alias("end"))
-    return own.select("doc_id", "same", (F.col("begin") + F.col("a")).alias("begin"), (F.col("begin") + F.col("b")).alias("end")).unionByName(whole)
+    unique = unique.drop("size").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    solved = persist_table(unique.groupBy("shard").applyInPandas(solve, "key int, name binary, a int, b int"), "solved", tidy=True)
+    first = one.where("own").select("key", "name", "doc_id", "same", "begin").join(solved, ["key", "name"])
+    first = first.select("doc_id", "same", (F.col("begin") + F.col("a")).alias("begin"), (F.col("begin") + F.col("b")).alias("end"))
+    whole = one.where("not own").select("doc_id", "same", F.col("begin"), (F.col("begin") + F.col("size")).alias("end"))
+    gone = first.unionByName(whole).groupBy("doc_id", "same").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
+    gone = persist_table(gone, "gone", tidy=True)
+    drop_table(one)
+    drop_table(solved)
+    return gone
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -354,10 +402,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("same"))
     use = docs.where("doc_id is not null")
-    found = persist_table(shared_anchors(anchor_rows(use)), "anchors")
-    gone = covered_ranges(cut_pieces(use.dropDuplicates(["doc_id", "same"]), found.distinct()))
-    gone = gone.groupBy("doc_id", "same").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"))
-    gone = persist_table(gone, "gone").withColumnsRenamed({"doc_id": "__id", "same": "__same"})
+    # Each step's shuffle files and tables go as soon as the next table is written, so the disk holds one step at a time.
+    found = persist_table(shared_anchors(anchor_rows(use)), "anchors", tidy=True)
+    parts = []
+    for k in range(ROUNDS):
+        mine = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == k
+        cut = cut_pieces(use.where(mine).dropDuplicates(["doc_id", "same"]), found.where(mine))
+        parts.append(persist_table(cut.withColumn("name", F.unhex(F.md5("piece"))), "pieces", tidy=True))
+    drop_table(found)
+    gone = covered_ranges(functools.reduce(DataFrame.unionByName, parts)).withColumnsRenamed({"doc_id": "__id", "same": "__same"})
     joined = docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.col("same") == F.col("__same")), "left")
     cut = F.pandas_udf(cut_out, "kept binary, spans array<struct<begin:int,end:int>>")
     return joined.select("doc_id", "text", cut(F.col("text"), F.col("spans.begin"), F.col("spans.end")).alias("cut")).select("doc_id", "text", "cut.*")

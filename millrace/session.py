@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# Whether Spark deletes a query's shuffle files when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(master: str | None = None, app: str = "millrace", **extra: str) -> SparkSession:
     """A session with SETTINGS; ``extra`` keys use ``__`` for dots, e.g. ``spark__ui__enabled='false'``."""
@@ -65,14 +68,34 @@ def release_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def persist_table(df: DataFrame, label: str) -> DataFrame:
+def persist_table(df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Used where several passes must see exactly the same rows and row placement, also after executors are lost.
+    Used where several passes must see exactly the same rows and row placement, also after executors are lost.  With
+    ``tidy`` the shuffle files of the write go when it ends; else they stay until the driver happens to collect its garbage.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(CLEAN_UP, None)
+    try:
+        if tidy:
+            spark.conf.set(CLEAN_UP, "true")
+        df.write.parquet(path)
+    finally:
+        if tidy and before is None:
+            spark.conf.unset(CLEAN_UP)
+        elif tidy:
+            spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the table that ``persist_table`` gave; results that are still to be computed from it are void afterwards."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if _run_folder(spark).split(":", 1)[-1].lstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_with_tasks(module: str) -> None:

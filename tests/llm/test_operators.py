@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import millrace.llm as llm
-from millrace.llm import bpe, components, decontaminate, identifiers, licences, line_dedup, quality_gam, repeats, robust_rules, simhash, toxicity
+from millrace.llm import bpe, common, components, decontaminate, identifiers, licences, line_dedup, quality_gam, repeats, robust_rules, simhash, toxicity
+from millrace.session import shared_dir
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -429,3 +432,47 @@ def test_bands_and_tokens_are_not_broadcast(spark, monkeypatch):
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
     line_dedup.line_components(line_dedup.lines_of(spark.createDataFrame([(1, LONG), (2, LONG + "!")], "doc_id long, text string")))
     assert "Broadcast" not in plans["paired"]
+
+
+@pytest.mark.parametrize("rows", [7, 50_000])
+def test_strings_shared_at_the_edges_of_documents(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "BATCH_ROWS", rows)
+    rng = np.random.default_rng(9)
+
+    def filler(n):
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n))
+
+    shared = [filler(n) for n in (34, 49, 50, 50, 51, 66, 90)]
+    texts = {}
+    for i in range(60):
+        s = shared[i % 7]
+        texts[i] = [s, s + filler(40), filler(40) + s, filler(17) + s + filler(17), filler(5) + s + filler(90) + s][i % 5]
+    out = repeats.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    wanted = brute.repeats(texts)
+    assert {r["doc_id"]: (len(r["text"]), len(r["text"]) - len(r["kept"]), len(r["spans"]), brute.sha(bytes(r["kept"]))) for r in out} == wanted
+    assert sum(w[1] for w in wanted.values()) > 1000
+
+
+def test_anchors_of_short_shared_strings_are_dropped(spark):
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 300)) for _ in range(20)]
+    texts = [t[:140] + "a phrase of thirty bytes here " + t[170:] for t in texts] + [texts[0][:100] + texts[1][:100]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("same", F.xxhash64("text")).coalesce(1)
+    assert {r["doc_id"] for r in repeats.shared_anchors(repeats.anchor_rows(rows)).collect()} <= {0, 1, 20}
+
+
+def test_repeats_leave_one_table_and_no_shuffle_files(spark):
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    scratch = f"{shared_dir(spark).removeprefix('file://')}/millrace/{spark.sparkContext.applicationId}"
+    tables, old = set(os.listdir(scratch)) if os.path.isdir(scratch) else set(), files()
+    texts = [(i, LONG * (1 + i % 3) + "x" * i) for i in range(30)]
+    found = repeats.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string"))
+    left = set(os.listdir(scratch)) - tables
+    assert [x.split("-")[0] for x in left] == ["gone"]
+    # The bytes of the pieces are added up by a query of two shuffles that writes no table.
+    assert len({x.split("_")[1] for x in files() - old}) <= 2
+    assert found.where("octet_length(kept) < octet_length(text)").count() == 29
